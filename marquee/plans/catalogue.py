@@ -30,16 +30,20 @@ def stored(spark: SparkSession, root: str, stamp: bool = False) -> DataFrame:
     return decode_messages(encode_messages(messages(spark, root)), stamp=stamp)
 
 
-def silver(spark: SparkSession, root: str, materialize: bool = True) -> DataFrame:
-    """Silver rows.  With ``materialize`` they are written as JSONL to the shared work
-    folder and read back with the fixed schema, as the analytics would read them; the
-    write also ends the lineage of the joins upstream."""
+def silver(spark: SparkSession, root: str, materialize: bool = True, fmt: str = "parquet") -> DataFrame:
+    """Silver rows.  With ``materialize`` they are written to the shared work folder and
+    read back, as the analytics read them; the write also ends the lineage of the joins
+    upstream.  ``fmt="json"`` writes the JSONL layout (NULL fields omitted) and reads it
+    back with the fixed schema."""
     rows = silver_from_stored(stored(spark, root))
     if not materialize:
         return rows
     path = work_path(spark, "silver")
-    write_jsonl(rows, path)
-    return read_silver(spark, path)
+    if fmt == "json":
+        write_jsonl(rows, path)
+        return read_silver(spark, path)
+    rows.write.mode("overwrite").format(fmt).save(path)
+    return spark.read.format(fmt).load(path)
 
 
 def avg_rating_by_genre(silver_df: DataFrame, min_count: int = 50) -> DataFrame:

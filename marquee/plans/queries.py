@@ -180,7 +180,7 @@ def q_dataset_profile(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_jsonl_roundtrip(spark: SparkSession, root: str) -> DataFrame:
-    return catalogue.silver(spark, root, materialize=True)
+    return catalogue.silver(spark, root, materialize=True, fmt="json")
 
 
 def q_silver_avg_by_genre(spark: SparkSession, root: str) -> DataFrame:

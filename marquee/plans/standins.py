@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.dates import stamp_text
-from marquee.operators.lookup import bounded_broadcast
 from marquee.sources.readers import table
 
 # Regions whose nation names are known to the category dimension.
@@ -55,24 +54,25 @@ def nation_names(spark: SparkSession, root: str) -> DataFrame:
     """Category dimension ``(id, name)``: nations of the named regions only."""
     n = table(spark, root, "nation")
     r = table(spark, root, "region").filter(F.col("r_name").isin(*NAMED_REGIONS))
-    return n.join(bounded_broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select(
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
         F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
 
 
 def shipments(spark: SparkSession, root: str) -> DataFrame:
     """Line items with both parties: order, customer and supplier columns attached.
 
-    ``lineitem ⋈ orders`` is a shuffle join on the order key (both sides grow with the
-    data); customer and supplier are attached by key, broadcast only after their size is
-    checked, otherwise shuffled.
+    All three are equi-joins on keys of tables that grow with the data, so no side is
+    forced to broadcast: the planner broadcasts a side only when its file statistics are
+    under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks actual sizes at run
+    time; otherwise they are sort-merge joins on the key.
     """
     li = table(spark, root, "lineitem")
     o = table(spark, root, "orders")
     c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     s = table(spark, root, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
-    j = j.join(bounded_broadcast(c), j["o_custkey"] == c["c_custkey"])
-    return j.join(bounded_broadcast(s), j["l_suppkey"] == s["s_suppkey"])
+    j = j.join(c, j["o_custkey"] == c["c_custkey"])
+    return j.join(s, j["l_suppkey"] == s["s_suppkey"])
 
 
 def raw_catalogue(spark: SparkSession, root: str) -> DataFrame:

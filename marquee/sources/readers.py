@@ -11,9 +11,19 @@ from marquee.functions.values import to_number
 from marquee.schemas import GENRE_DOC, RAW_PAGE, SILVER, SILVER_TEXT
 
 
-def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's parallelism) when
+    its scan yields fewer splits, e.g. one file with a single row group, so the per-row
+    work fused onto the scan is not done by one task.  A large table already has at
+    least that many splits and is returned unchanged (no extra shuffle)."""
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def table(spark: SparkSession, root: str, name: str, spread_small: bool = True) -> DataFrame:
     """``<root>/<name>.parquet`` (the driver's test tables)."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return spread(spark, df) if spread_small else df
 
 
 def read_table(spark: SparkSession, fmt: str, path: str | None = None, options: dict | None = None,
