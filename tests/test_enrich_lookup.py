@@ -1,0 +1,118 @@
+"""Raw record enrichment, dimension lookups, landed pages and the category document."""
+
+import json
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from marquee.operators.dedup import dedup_first
+from marquee.operators.enrich import enrich_records
+from marquee.operators.lookup import bounded_broadcast, lookup_name, lookup_names
+from marquee.schemas import MESSAGE_FIELDS, RAW_RECORD
+from marquee.sources.readers import genre_dim_from_doc, records_from_pages
+
+GENRES = [(28, "Action"), (12, "Adventure"), (18, "Drama")]
+
+
+def dim(spark):
+    return spark.createDataFrame(GENRES, "id int, name string")
+
+
+def py_enrich(rec, mapping):
+    """Model of the record mapping (defaults for missing or NULL fields)."""
+    g = lambda k, d: rec.get(k) if rec.get(k) is not None else d
+    ids = g("genre_ids", [])
+    rd = g("release_date", "")
+    try:
+        year = int(rd.split("-")[0]) if rd else 0
+    except ValueError:
+        year = 0
+    return dict(id=rec.get("id"), title=g("title", ""), original_title=g("original_title", ""), year=year,
+                rating=round(g("vote_average", 0.0), 1), votes=g("vote_count", 0),
+                genres=[mapping.get(i, f"Unknown_{i}") for i in ids], genre_ids=ids, overview=g("overview", ""),
+                popularity=g("popularity", 0.0), adult=g("adult", False), original_language=g("original_language", ""),
+                poster_path=g("poster_path", ""), backdrop_path=g("backdrop_path", ""), release_date=rd,
+                source="now_playing", fetched_at="2024-05-01 10:00:00")
+
+
+RECORDS = [
+    {"id": 1, "title": "A", "genre_ids": [28, 99, 28], "release_date": "2024-01-15", "vote_average": 7.25},
+    {"id": 2, "title": "B", "genre_ids": [], "release_date": "", "vote_average": 6.85},
+    {"id": 3, "title": "C", "release_date": "20x", "vote_average": 0.35},
+    {"id": 4, "vote_average": None, "genre_ids": None},
+    {"id": 1, "title": "A-again", "genre_ids": [18], "release_date": "2023-01-01", "vote_average": 1.0},
+]
+
+
+def raw_df(spark):
+    rows = [{**{f.name: None for f in RAW_RECORD.fields}, **r, "seq": i} for i, r in enumerate(RECORDS)]
+    schema = StructType(RAW_RECORD.fields + [StructField("seq", IntegerType())])
+    return spark.createDataFrame(rows, schema)
+
+
+def test_enrich_matches_model(spark):
+    out = enrich_records(raw_df(spark), dim(spark), source="Now Playing", fetched_at="2024-05-01 10:00:00",
+                         first_by=["seq"])
+    assert out.columns == MESSAGE_FIELDS
+    got = {r.id: r.asDict() for r in out.collect()}
+    mapping = dict(GENRES)
+    seen = set()
+    exp = {}
+    for r in RECORDS:                       # first wins by arrival
+        if r["id"] in seen:
+            continue
+        seen.add(r["id"])
+        exp[r["id"]] = py_enrich(r, mapping)
+    assert got == exp
+
+
+def test_enrich_missing_columns_use_defaults(spark):
+    raw = spark.createDataFrame([(7, [12])], "id int, genre_ids array<int>")
+    r = enrich_records(raw, dim(spark), source="Popular", fetched_at=F.lit("2024-01-01 00:00:00"), dedup=False).first()
+    assert (r.title, r.year, r.rating, r.votes, r.genres, r.adult, r.poster_path, r.source) == \
+        ("", 0, 0.0, 0, ["Adventure"], False, "", "popular")
+
+
+def test_lookup_paths_agree(spark):
+    df = spark.createDataFrame([(1, [28, 5, 28, None]), (2, []), (3, None), (4, [18])], "k int, ids array<int>")
+    small = lookup_names(df, "ids", dim(spark), "id", "name", "names")
+    large = lookup_names(df, "ids", dim(spark), "id", "name", "names", row_key=["k"], max_map_entries=0)
+    a = {r.k: r.names for r in small.collect()}
+    b = {r.k: r.names for r in large.collect()}
+    assert a == b == {1: ["Action", "Unknown_5", "Action", "Unknown_None"], 2: [], 3: None, 4: ["Drama"]}
+
+
+def test_lookup_name_scalar(spark):
+    df = spark.createDataFrame([(1, 28), (2, 7), (3, None)], "k int, g int")
+    got = {r.k: r.name for r in lookup_name(df, "g", dim(spark), "id", "name", "name").collect()}
+    assert got == {1: "Action", 2: "Unknown_7", 3: "Unknown_None"}
+
+
+def test_bounded_broadcast_respects_bound(spark):
+    from marquee.operators.lookup import has_at_most
+    assert has_at_most(dim(spark), 3) and not has_at_most(dim(spark), 2)
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(50)
+    assert big.join(bounded_broadcast(small, 10), big["k"] == small["id"]).count() == 50
+
+
+def test_pages_and_genre_doc(spark):
+    pages = [json.dumps({"page": 1, "results": [{"id": 5, "title": "x", "genre_ids": [28]},
+                                                 {"id": 6, "title": "y", "genre_ids": []}]}),
+             json.dumps({"page": 2, "results": []}), json.dumps({"page": 3})]
+    from marquee.schemas import GENRE_DOC, RAW_PAGE
+    p = spark.createDataFrame([(v,) for v in pages], "value string").select(
+        F.from_json("value", RAW_PAGE).alias("d")).select("d.*")
+    recs = records_from_pages(p)
+    assert [(r.page, r.pos, r.id) for r in recs.orderBy("page", "pos").collect()] == [(1, 0, 5), (1, 1, 6)]
+    doc = spark.createDataFrame([(json.dumps({"genres": [{"id": 28, "name": "Action"}]}),), ("{}",)], "value string")
+    d = genre_dim_from_doc(doc.select(F.from_json("value", GENRE_DOC).alias("d")).select("d.*"))
+    assert [tuple(r) for r in d.collect()] == [(28, "Action")]
+
+
+def test_dedup_first_hot_key_and_nulls(spark):
+    rows = [(1, "2024-01-02", "b")] * 3000 + [(1, "2024-01-01", "z"), (1, None, "a"), (None, "2024-01-05", "n1"),
+                                              (None, "2024-01-04", "n2"), (2, "2024-01-03", "c")]
+    df = spark.createDataFrame(rows, "id int, ts string, v string").repartition(6)
+    got = {r.id: (r.ts, r.v) for r in dedup_first(df, ["id"], ["ts"]).collect()}
+    assert got == {1: ("2024-01-01", "z"), None: ("2024-01-04", "n2"), 2: ("2024-01-03", "c")}
