@@ -25,9 +25,19 @@ def messages(spark: SparkSession, root: str) -> DataFrame:
                           fetched_at=F.col("landed_at"), first_by=RAW_FIRST_BY)
 
 
-def stored(spark: SparkSession, root: str, stamp: bool = False) -> DataFrame:
-    """Documents as the stream appends them: messages through JSON and back."""
-    return decode_messages(encode_messages(messages(spark, root)), stamp=stamp)
+def stored(spark: SparkSession, root: str, stamp: bool = False, materialize: bool = True) -> DataFrame:
+    """Documents as the stream appends them: messages through JSON and back.
+
+    With ``materialize`` they are written as a Parquet table in the shared work folder and
+    read back, as the batch ETL reads the store.  Fused into one plan instead, Catalyst
+    would push the ETL's filter below the decode and repeat the JSON work per use.
+    """
+    docs = decode_messages(encode_messages(messages(spark, root)), stamp=stamp)
+    if not materialize:
+        return docs
+    path = work_path(spark, "stored")
+    docs.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def silver(spark: SparkSession, root: str, materialize: bool = True, fmt: str = "parquet") -> DataFrame:

@@ -184,15 +184,15 @@ def q_jsonl_roundtrip(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_silver_avg_by_genre(spark: SparkSession, root: str) -> DataFrame:
-    return catalogue.avg_rating_by_genre(catalogue.silver(spark, root))
+    return catalogue.avg_rating_by_genre(catalogue.silver(spark, root, materialize=False))
 
 
 def q_silver_top10_by_year(spark: SparkSession, root: str) -> DataFrame:
-    return catalogue.top_by_year(catalogue.silver(spark, root))
+    return catalogue.top_by_year(catalogue.silver(spark, root, materialize=False))
 
 
 def q_silver_rating_buckets(spark: SparkSession, root: str) -> DataFrame:
-    return catalogue.rating_buckets(catalogue.silver(spark, root))
+    return catalogue.rating_buckets(catalogue.silver(spark, root, materialize=False))
 
 
 TSV_SCHEMA = StructType([StructField("genre", StringType()), StructField("avg_rating", StringType()),

@@ -20,9 +20,16 @@ def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
-def table(spark: SparkSession, root: str, name: str, spread_small: bool = True) -> DataFrame:
+# Tables that carry the per-row work of a query (facts and long texts); dimensions are
+# left as scanned, since they are joined by key or broadcast.
+WIDE_TABLES = frozenset({"lineitem", "orders", "part", "events", "documents", "pages", "conversations"})
+
+
+def table(spark: SparkSession, root: str, name: str, spread_small: bool | None = None) -> DataFrame:
     """``<root>/<name>.parquet`` (the driver's test tables)."""
     df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    if spread_small is None:
+        spread_small = name in WIDE_TABLES
     return spread(spark, df) if spread_small else df
 
 
