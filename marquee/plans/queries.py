@@ -6,10 +6,6 @@ results are rendered as text so that results compare across engines.
 
 from __future__ import annotations
 
-import json
-import os
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
@@ -18,17 +14,16 @@ from marquee.functions.dates import stamp_text, year_from_text
 from marquee.functions.text import py_round, strip_text
 from marquee.functions.values import clamp_range, floor_at, to_number
 from marquee.operators.analytics import avg_by_group, bucket_histogram, topk_by_group
-from marquee.operators.clean import explode_categories, keep_nonempty, profile
+from marquee.operators.clean import keep_nonempty, profile
 from marquee.operators.dedup import dedup_first
-from marquee.operators.lookup import lookup_name, lookup_names
+from marquee.operators.lookup import MAP_ENTRIES, has_at_most, lookup_name, lookup_names
 from marquee.operators.messages import decode_messages, encode_messages
 from marquee.operators.preview import batch_preview
 from marquee.plans import catalogue
 from marquee.plans.standins import nation_names, order_lines, part_ratings, raw_catalogue, shipments
 from marquee.session import work_path
-from marquee.sinks.writers import write_jsonl, write_small_result
-from marquee.sources.readers import genre_dim_from_doc, read_genre_doc, read_pages, read_silver, \
-    records_from_pages, table
+from marquee.sinks.writers import write_small_result
+from marquee.sources.readers import genre_dim_from_doc, read_genre_doc, read_pages, records_from_pages, table
 from marquee.streaming.ingest import (BatchCounter, batch_sink, dedup_stream, message_stream, read_stream,
                                       start_ingest)
 
@@ -216,6 +211,8 @@ def q_catalog_pages(spark: SparkSession, root: str) -> DataFrame:
     pages_path = work_path(spark, "pages")
     pages.write.mode("overwrite").text(pages_path)
     dim = nation_names(spark, root)
+    if not has_at_most(dim, MAP_ENTRIES):
+        raise ValueError("the category document holds the whole dimension; it must stay small")
     doc_path = work_path(spark, "genre-doc")
     (dim.agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("id", "name"))).alias("genres"))).alias("value"))
         .write.mode("overwrite").text(doc_path))
