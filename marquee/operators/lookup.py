@@ -60,8 +60,11 @@ def lookup_names(df: DataFrame, ids: str, dim: DataFrame, dim_key: str, dim_name
     if has_at_most(d, max_map_entries):
         m = d.agg(F.map_from_entries(F.collect_list(F.struct("__k", "__name")))).scalar()
         # A subquery may not sit inside a lambda: project the map once, then reference it.
-        return df.withColumn("__map", m).withColumn(out, F.transform(F.col(ids), lambda g: F.coalesce(
-            F.try_element_at(F.col("__map"), g), unknown_name(g, fallback_prefix)))).drop("__map")
+        names = F.transform(F.col(ids), lambda g: F.coalesce(F.try_element_at(F.col("__map"), g),
+                                                             unknown_name(g, fallback_prefix)))
+        keep = [F.col(c) for c in df.columns if c != out]
+        return df.select(*keep, m.alias("__map")).select(*[F.col(c) for c in df.columns if c != out],
+                                                         names.alias(out))
     if not row_key:
         raise ValueError("row_key (unique per row) is required for a large dimension")
     row_key = list(row_key)

@@ -211,6 +211,10 @@ FROM raw r LEFT JOIN dim d1 ON d1.id = r.genre_ids[1] LEFT JOIN dim d2 ON d2.id
 SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events""",
     "stream_dedup": """
 SELECT DISTINCT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
+FROM events""",
+    "message_sink": """
+SELECT CAST(event_id AS VARCHAR) AS key,
+       to_json(struct_pack(event_id := event_id, event_type := event_type, value := value)) AS value
 FROM events""",
     "stream_metrics": """
 SELECT count(*) AS rows, count(*) AS input_rows, count(*) AS callback_rows FROM events""",

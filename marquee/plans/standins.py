@@ -38,7 +38,8 @@ def order_lines(spark: SparkSession, root: str) -> DataFrame:
     return flag, ``fetched_at`` ship-date text.
     """
     li = table(spark, root, "lineitem").select("l_orderkey", "l_discount", "l_returnflag", "l_shipdate")
-    o = table(spark, root, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+    o = table(spark, root, "orders", spread_small=False).select(
+        "o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     return j.select(
         F.col("l_orderkey").alias("movie_id"),
@@ -67,7 +68,7 @@ def shipments(spark: SparkSession, root: str) -> DataFrame:
     time; otherwise they are sort-merge joins on the key.
     """
     li = table(spark, root, "lineitem")
-    o = table(spark, root, "orders")
+    o = table(spark, root, "orders", spread_small=False)
     c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     s = table(spark, root, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
