@@ -1,10 +1,10 @@
-"""First-wins de-duplication as an aggregate (partial on the map side, skew-safe)."""
+"""First-wins de-duplication: ``row_number() = 1`` under a total order (skew-safe)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
@@ -19,35 +19,30 @@ def _orderable(t: DataType) -> bool:
     return True
 
 
-def first_order_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]):
+def first_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> list[Column]:
     """The total order behind "first": ``order_by`` ascending with NULLs last, then every
     other orderable column ascending with NULLs last, so the pick never depends on
     arrival order or on which task saw a row first."""
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    orderable = [c for c in rest if _orderable(df.schema[c].dataType)]
-    fields = []
-    for i, c in enumerate(list(order_by) + orderable):
-        fields += [F.col(c).isNull().alias(f"__null{i}"), F.col(c).alias(f"__v{i}")]
-    return F.struct(*fields), list(order_by) + orderable, [c for c in rest if c not in orderable]
+    cols = list(order_by) + [c for c in rest if _orderable(df.schema[c].dataType)]
+    return [F.col(c).asc_nulls_last() for c in cols]
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Keep one row per ``keys``: the first by ``order_by`` (then all other columns).
 
-    Expressed as ``min`` over a struct rather than ``row_number`` over a window: the
-    aggregate is computed partially before the shuffle, so a key that holds a third of
-    all rows is reduced to one row per map task instead of being sorted in one task.
-    NULL keys form one group, like a Python set that holds ``None``.
+    ``row_number() = 1`` over the key lets Catalyst place a partial ``WindowGroupLimit``
+    before the shuffle: each map task sorts its rows and sends on only its first row per
+    key, so a key that holds a third of all rows costs one row per task in the exchange,
+    not a third of the data in one reducer.  The sort is code-generated and spills, where
+    a ``min`` over a struct of all columns would fall back to an interpreted sort
+    aggregate.  NULL keys form one group, like a Python set that holds ``None``.
     """
-    keys, order_by = list(keys), list(order_by)
-    ordkey, ordered_cols, other_cols = first_order_key(df, keys, order_by)
-    aggs = [F.min(ordkey).alias("__first")]
-    if other_cols:
-        aggs.append(F.min_by(F.struct(*[F.col(c) for c in other_cols]), ordkey).alias("__other"))
-    g = df.groupBy(*keys).agg(*aggs)
-    out = {c: F.col(c) for c in keys}
-    for i, c in enumerate(ordered_cols):
-        out[c] = F.col("__first").getField(f"__v{i}")
-    for c in other_cols:
-        out[c] = F.col("__other").getField(c)
-    return g.select(*[out[c].alias(c) for c in df.columns])
+    keys = list(keys)
+    order = first_order(df, keys, order_by)
+    if not order:  # nothing to order by: every row of a key is equal on orderable columns
+        return df.dropDuplicates(keys)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return (df.withColumn("__rn", F.row_number().over(w))
+              .filter(F.col("__rn") == 1)
+              .drop("__rn"))
