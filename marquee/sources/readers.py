@@ -11,18 +11,34 @@ from marquee.functions.values import to_number
 from marquee.schemas import GENRE_DOC, RAW_PAGE, SILVER, SILVER_TEXT
 
 
-def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's parallelism) when
-    its scan yields fewer splits, e.g. one file with a single row group, so the per-row
-    work fused onto the scan is not done by one task.  A large table already has at
-    least that many splits and is returned unchanged (no extra shuffle)."""
+def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None,
+           by: tuple[str, ...] = ()) -> DataFrame:
+    """Hash-partition ``df`` over ``min_partitions`` (default: the cluster's parallelism)
+    when its scan yields fewer splits, e.g. one file with a single row group, so the
+    per-row work fused onto the scan is not done by one task.  A large table already has
+    at least that many splits and is returned unchanged (no extra shuffle).
+
+    ``by`` names a unique key of the table: hashing it spreads rows evenly whatever the
+    skew of the analytic keys, and is deterministic on retry without the full local sort
+    a round-robin repartition needs for that.
+    """
     want = min_partitions or spark.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *by) if by else df.repartition(want)
 
 
-# Tables that carry the per-row work of a query (facts and long texts); dimensions are
-# left as scanned, since they are joined by key or broadcast.
-WIDE_TABLES = frozenset({"lineitem", "orders", "part", "events", "documents", "pages", "conversations"})
+# Tables that carry the per-row work of a query (facts and long texts), with their unique
+# keys; dimensions are left as scanned, since they are joined by key or broadcast.
+WIDE_TABLES = {
+    "lineitem": ("l_orderkey", "l_linenumber"),
+    "orders": ("o_orderkey",),
+    "part": ("p_partkey",),
+    "events": ("event_id",),
+    "documents": ("doc_id",),
+    "pages": ("page_id",),
+    "conversations": ("conv_id", "turn"),
+}
 
 
 def table(spark: SparkSession, root: str, name: str, spread_small: bool | None = None) -> DataFrame:
@@ -30,7 +46,7 @@ def table(spark: SparkSession, root: str, name: str, spread_small: bool | None =
     df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
     if spread_small is None:
         spread_small = name in WIDE_TABLES
-    return spread(spark, df) if spread_small else df
+    return spread(spark, df, by=WIDE_TABLES.get(name, ())) if spread_small else df
 
 
 def read_table(spark: SparkSession, fmt: str, path: str | None = None, options: dict | None = None,
