@@ -116,6 +116,27 @@ SELECT id, title, original_title, year, rating, votes, array_to_string(genres, '
 SILVER_REST = ("title, original_title, year, rating, votes, overview, popularity, original_language, "
                "release_date, source")
 
+PROFILE_SQL = f"""WITH {CHAIN}
+SELECT (SELECT count(*) FROM clean) AS rows_in,
+       (SELECT count(*) FROM clean WHERE len(genres) > 0) AS rows_valid,
+       (SELECT count(*) FROM silver) AS rows_silver,
+       (SELECT count(DISTINCT movie_id) + COALESCE(max(CASE WHEN movie_id IS NULL THEN 1 ELSE 0 END), 0)
+        FROM silver) AS distinct_ids,
+       (SELECT count(DISTINCT genre) + COALESCE(max(CASE WHEN genre IS NULL THEN 1 ELSE 0 END), 0)
+        FROM silver) AS distinct_genres"""
+
+TAB = "chr(9)"
+ANALYTICS_SQL = f"""
+SELECT 'avg_rating_by_genre' AS result, concat_ws({TAB}, genre, avg_rating, CAST(n AS VARCHAR)) AS line
+FROM (WITH {CHAIN} {_avg_sql('silver')}) a
+UNION ALL
+SELECT 'top10_by_year', concat_ws({TAB}, CAST(year AS VARCHAR), CAST(rank AS VARCHAR), title,
+                                  CAST(votes AS VARCHAR), rating)
+FROM (WITH {CHAIN}, {_topk_sql('silver', SILVER_REST)}) t
+UNION ALL
+SELECT 'rating_buckets', concat_ws({TAB}, bucket, CAST(n AS VARCHAR), pct)
+FROM (WITH {CHAIN}, {_hist_sql('silver')}) h"""
+
 ORACLES = {
     "avg_by_group": f"WITH {PART_WORDS} {_avg_sql('pr')}",
     "topk_by_group": f"""WITH t AS (
@@ -189,14 +210,7 @@ SELECT doc_id, n_chars FROM documents WHERE NOT regexp_matches({_strip('text')},
     "catalogue_messages": f"WITH {CHAIN} {MSG_SELECT}",
     "message_roundtrip": f"WITH {CHAIN} {MSG_SELECT}",
     "silver_etl": f"WITH {CHAIN} SELECT * FROM silver",
-    "dataset_profile": f"""WITH {CHAIN}
-SELECT (SELECT count(*) FROM clean) AS rows_in,
-       (SELECT count(*) FROM clean WHERE len(genres) > 0) AS rows_valid,
-       (SELECT count(*) FROM silver) AS rows_silver,
-       (SELECT count(DISTINCT movie_id) + COALESCE(max(CASE WHEN movie_id IS NULL THEN 1 ELSE 0 END), 0)
-        FROM silver) AS distinct_ids,
-       (SELECT count(DISTINCT genre) + COALESCE(max(CASE WHEN genre IS NULL THEN 1 ELSE 0 END), 0)
-        FROM silver) AS distinct_genres""",
+    "dataset_profile": PROFILE_SQL,
     "jsonl_roundtrip": f"WITH {CHAIN} SELECT * FROM silver",
     "silver_avg_by_genre": f"WITH {CHAIN} {_avg_sql('silver')}",
     "silver_top10_by_year": f"WITH {CHAIN}, {_topk_sql('silver', SILVER_REST)}",
@@ -207,6 +221,8 @@ SELECT r.id AS page, 0 AS pos, r.id, r.title,
        COALESCE(d1.name, 'Unknown_' || CAST(r.genre_ids[1] AS VARCHAR)) || '|' ||
        COALESCE(d2.name, 'Unknown_' || CAST(r.genre_ids[2] AS VARCHAR)) AS genres
 FROM raw r LEFT JOIN dim d1 ON d1.id = r.genre_ids[1] LEFT JOIN dim d2 ON d2.id = r.genre_ids[2]""",
+    "etl_job": PROFILE_SQL,
+    "analytics_job": ANALYTICS_SQL,
     "stream_append": """
 SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events""",
     "stream_dedup": """

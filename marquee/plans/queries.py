@@ -20,6 +20,7 @@ from marquee.operators.lookup import MAP_ENTRIES, has_at_most, lookup_name, look
 from marquee.operators.messages import decode_messages, encode_messages
 from marquee.operators.preview import batch_preview
 from marquee.plans import catalogue
+from marquee.plans.jobs import etl_report_frame, run_analytics, run_etl
 from marquee.plans.standins import nation_names, order_lines, part_ratings, raw_catalogue, shipments
 from marquee.session import work_path
 from marquee.sinks.writers import write_small_result
@@ -222,6 +223,26 @@ def q_catalog_pages(spark: SparkSession, root: str) -> DataFrame:
     return out.select("page", "pos", "id", "title", _text_array("genres").alias("genres"))
 
 
+def q_etl_job(spark: SparkSession, root: str) -> DataFrame:
+    """The batch ETL job on the stored documents: counts observed during the silver write,
+    distinct counts from the written silver."""
+    report = run_etl(spark, catalogue.stored(spark, root), work_path(spark, "silver-etl"))
+    return etl_report_frame(spark, report)
+
+
+def q_analytics_job(spark: SparkSession, root: str) -> DataFrame:
+    """ETL, then the three analytics over the written silver; every line of the three TSV
+    result files read back as text."""
+    report = run_etl(spark, catalogue.stored(spark, root), work_path(spark, "silver-etl"))
+    paths = run_analytics(spark, report.path, work_path(spark, "results"))
+    frames = [spark.read.text(p).select(F.lit(name).alias("result"), F.col("value").alias("line"))
+              for name, p in paths.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 # --- streaming --------------------------------------------------------------------------
 
 EVENT_MSG_SCHEMA = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
@@ -311,6 +332,8 @@ QUERIES = {
     "silver_rating_buckets": q_silver_rating_buckets,
     "tsv_roundtrip": q_tsv_roundtrip,
     "catalog_pages": q_catalog_pages,
+    "etl_job": q_etl_job,
+    "analytics_job": q_analytics_job,
     "stream_append": q_stream_append,
     "stream_dedup": q_stream_dedup,
     "message_sink": q_message_sink,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators.lookup import has_at_most
 from marquee.operators.messages import encode_messages
+from marquee.session import checkpoint_root
 
 # Largest result that may be merged into a single file by one task.
 SINGLE_FILE_ROWS = 1_000_000
@@ -30,9 +31,15 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 def write_small_result(df: DataFrame, path: str, order_by=None, max_rows: int = SINGLE_FILE_ROWS) -> None:
     """One merged, ordered TSV file for a result whose size is checked first; larger
-    results are written as ordered part files instead of being funnelled into one task."""
-    ordered = df.orderBy(*order_by) if order_by else df
-    if has_at_most(df, max_rows):
+    results are written as ordered part files instead of being funnelled into one task.
+
+    The result is checkpointed once into the shared checkpoint folder (partitions and
+    their order kept), so the size check and the write read the stored rows instead of
+    computing the analytic twice.
+    """
+    checkpoint_root(df.sparkSession)
+    ordered = (df.orderBy(*order_by) if order_by else df).checkpoint(eager=True)
+    if has_at_most(ordered, max_rows):
         tsv_lines(ordered).coalesce(1).write.mode("overwrite").text(path)
     else:
         write_tsv(ordered, path)
