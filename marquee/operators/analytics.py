@@ -69,17 +69,19 @@ def topk_by_group(df: DataFrame, id_col: str = "movie_id", group: str = "year",
     """Top ``k`` rows per ``group`` by ``score`` descending, ranked 1..n.
 
     Rows are first de-duplicated by ``id_col`` (first by ``first_by``) *before* validation,
-    then rows with a NULL title or rating, or with ``group``/``score`` not positive, are
-    dropped.  Ties on ``score`` are broken by ``id_col`` ascending.  Output
+    then rows with ``group``/``score`` NULL or not positive are dropped.  Silver lines omit
+    NULL fields, so a NULL title reads as ``""`` and a NULL rating as ``0``, and such rows
+    stay.  Ties on ``score`` are broken by ``id_col`` ascending.  Output
     ``(group, rank, title cut to title_len, score, rating text with 1 place)``.
 
     ``row_number() <= k`` lets Catalyst place a partial group limit before the shuffle,
     so at most ``k`` rows per group leave each task.
     """
     base = dedup_first(df, [id_col], first_by) if dedup else df
-    t = strip_text(F.col(title))
-    base = base.select(F.col(id_col), F.col(group), F.col(score), t.alias(title), F.col(rating))
-    cond = (F.col(group) > 0) & (F.col(score) > 0) & F.col(title).isNotNull() & F.col(rating).isNotNull()
+    t = strip_text(F.coalesce(F.col(title), F.lit("")))
+    r = F.coalesce(F.col(rating).cast("double"), F.lit(0.0))
+    base = base.select(F.col(id_col), F.col(group), F.col(score), t.alias(title), r.alias(rating))
+    cond = (F.col(group) > 0) & (F.col(score) > 0)
     if compat_delimiters:
         cond = cond & ~F.col(title).rlike(r"[|\n\r]")
     w = Window.partitionBy(group).orderBy(F.col(score).desc(), F.col(id_col).asc_nulls_last())

@@ -53,9 +53,10 @@ def _topk_sql(src: str, order_rest: str) -> str:
     return f"""
 d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY movie_id
                                 ORDER BY fetched_at, genre, {order_rest}) AS rn FROM {src}) WHERE rn = 1),
-v AS (SELECT movie_id, year, votes, {_strip('title')} AS title, rating FROM d),
+v AS (SELECT movie_id, year, votes, {_strip("COALESCE(title, '')")} AS title,
+             COALESCE(CAST(rating AS DOUBLE), 0.0) AS rating FROM d),
 k AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY votes DESC, movie_id) AS rk
-      FROM v WHERE year > 0 AND votes > 0 AND title IS NOT NULL AND rating IS NOT NULL)
+      FROM v WHERE year > 0 AND votes > 0)
 SELECT year, CAST(rk AS INTEGER) AS rank, left(title, 50) AS title, votes,
        format('{{:.1f}}', rating) AS rating
 FROM k WHERE rk <= 10"""

@@ -23,7 +23,7 @@ def model_topk(rows, k=10):
     """rows: dicts with movie_id, title, year, votes, rating, fetched_at, genre (+ others).
 
     First by (fetched_at, genre, then the remaining columns) per id, NULLs last; then
-    validation; votes desc, id asc.
+    validation as the mapper reads a silver line; votes desc, id asc.
     """
     def key(r):
         order = ["fetched_at", "genre"] + [c for c in r if c not in ("movie_id", "fetched_at", "genre")]
@@ -35,16 +35,18 @@ def model_topk(rows, k=10):
             first[r["movie_id"]] = r
     by_year = {}
     for r in first.values():
-        if r["title"] is None or r["rating"] is None or r["year"] is None or r["votes"] is None:
+        # a silver line omits NULL fields: a missing key reads as the mapper's default
+        line = {c: v for c, v in r.items() if v is not None}
+        year, votes = int(line.get("year", 0)), int(line.get("votes", 0))
+        if year <= 0 or votes <= 0:
             continue
-        if r["year"] <= 0 or r["votes"] <= 0:
-            continue
-        by_year.setdefault(r["year"], []).append(r)
+        by_year.setdefault(year, []).append((r["movie_id"], votes, line.get("title", "").strip(),
+                                             float(line.get("rating", 0))))
     out = []
     for y, rs in by_year.items():
-        rs.sort(key=lambda r: (-r["votes"], (r["movie_id"] is None, r["movie_id"] or 0)))
-        for i, r in enumerate(rs[:k], 1):
-            out.append((y, i, r["title"].strip()[:50], r["votes"], "{:.1f}".format(r["rating"])))
+        rs.sort(key=lambda r: (-r[1], (r[0] is None, r[0] or 0)))
+        for i, (_, votes, title, rating) in enumerate(rs[:k], 1):
+            out.append((y, i, title[:50], votes, "{:.1f}".format(rating)))
     return sorted(out)
 
 
