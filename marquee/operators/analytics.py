@@ -35,6 +35,7 @@ def avg_by_group(df: DataFrame, key: str = "genre", value: str = "rating", min_c
     ``exact_scale=s`` declares that values carry ``s`` decimals: they are summed as exact
     integers of ``10**-s`` units, so the average does not depend on how rows were split
     across tasks (a float sum does, in its last bits, which can flip a rounded digit).
+    A group with a value off that scale falls back to the float sum.
     """
     k = strip_text(F.col(key))
     if compat_delimiters:
@@ -52,11 +53,19 @@ def avg_by_group(df: DataFrame, key: str = "genre", value: str = "rating", min_c
         scale = float(10 ** exact_scale)
         # NaN and infinities have no fixed-point form; they decide the average on their own.
         special = F.when(F.isnan(F.col(value)) | (F.abs(F.col(value)) == F.lit(float("inf"))), F.col(value))
-        units = F.when(special.isNull(), F.round(F.col(value) * F.lit(scale))).try_cast("long")
+        scaled = F.when(special.isNull(), F.col(value) * F.lit(scale))
+        units = F.round(scaled).try_cast("long")
+        # A group holding a value off the declared scale (or too large for a long) keeps the
+        # plain float mean instead of a rounded one.
+        off_scale = (F.abs(scaled - F.round(scaled)) > F.lit(1e-6)) | (scaled.isNotNull() & units.isNull())
         agg = rows.filter(cond).groupBy(key).agg(F.sum(units).alias("__sum"), F.count(F.lit(1)).alias(count_name),
-                                                 F.sum(special).alias("__special"))
+                                                 F.sum(special).alias("__special"),
+                                                 F.sum(F.col(value)).alias("__fsum"),
+                                                 F.max(off_scale).alias("__off"))
+        n = F.col(count_name).cast("double")
         mean = F.coalesce(F.col("__special"),
-                          F.col("__sum").cast("double") / (F.col(count_name).cast("double") * F.lit(scale)))
+                          F.when(F.col("__off"), F.col("__fsum") / n)
+                           .otherwise(F.col("__sum").cast("double") / (n * F.lit(scale))))
     out = agg.filter(F.col(count_name) >= min_count).select(
         key, fixed(mean, decimals).alias(avg_name), count_name)
     return out.orderBy(key) if ordered else out

@@ -31,6 +31,16 @@ def test_avg_half_way_values(spark):
         assert avg_by_group(df, exact_scale=3).first().avg_rating == "{:.2f}".format(target)
 
 
+def test_avg_exact_scale_falls_back_off_scale(spark):
+    # g1 holds only one-decimal values (fixed point); g2 has a two-decimal value, which the
+    # fixed-point path would round away, so that group keeps the float mean.
+    rows = [("g1", 0.1)] * 30 + [("g1", 0.2)] * 30 + [("g2", 1.25)] * 30 + [("g2", 2.25)] * 30
+    df = spark.createDataFrame(rows, "genre string, rating double").repartition(3)
+    got = {r.genre: (r.avg_rating, r.n) for r in avg_by_group(df, exact_scale=1).collect()}
+    assert got["g1"] == ("0.15", 60)
+    assert got["g2"] == ("1.75", 60)  # rounding each value to one place first would give 1.80
+
+
 def test_avg_golden_reexpansion(spark):
     # 571 rows averaging 6.75 and 781 rows averaging 6.80 (one-decimal ratings)
     rows = [("Comedy", 6.7)] * 286 + [("Comedy", 6.8)] * 285
