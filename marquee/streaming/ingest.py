@@ -9,13 +9,14 @@ callback, checkpointed offsets).  The per-batch sink writes each batch into its
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marquee.operators.messages import decode_messages
+from marquee.operators.preview import batch_preview
 from marquee.schemas import MESSAGE
 from marquee.sinks.writers import append_batch
 
@@ -60,11 +61,15 @@ class BatchCounter:
 
 
 def batch_sink(path: str, fmt: str = "parquet", counter: BatchCounter | None = None,
-               on_batch: Callable[[DataFrame, int], None] | None = None):
+               on_batch: Callable[[DataFrame, int], None] | None = None,
+               preview: Callable[[int, list], None] | None = None,
+               preview_order: Sequence[str] = ("id",)):
     """``foreachBatch`` callback: idempotent append of the batch, then optional metrics.
 
-    The batch is persisted while it is written and counted, so the source is read once
-    per batch, and released at the end.
+    The batch is persisted while it is written, counted and previewed, so the source is
+    read once per batch, and released at the end.  ``preview(batch_id, lines)`` receives
+    the batch summary of ``batch_preview`` (the first 10 titles by ``preview_order``, the
+    batch size and the remainder): at most 10 rows reach the driver, never the batch.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -72,6 +77,8 @@ def batch_sink(path: str, fmt: str = "parquet", counter: BatchCounter | None = N
             append_batch(batch, path, batch_id, fmt)
             if counter is not None:
                 counter.record(batch_id, batch.count())
+            if preview is not None:
+                preview(batch_id, batch_preview(batch, list(preview_order)).collect())
             if on_batch is not None:
                 on_batch(batch, batch_id)
         finally:

@@ -80,11 +80,12 @@ def msg(i, title="t", fetched="2024-01-01 00:00:00"):
     return json.dumps({"id": i, "title": title, "genres": ["g"], "fetched_at": fetched})
 
 
-def run_available(spark, src, out, ckpt, dedup=False, counter=None):
+def run_available(spark, src, out, ckpt, dedup=False, counter=None, preview=None):
     stream = message_stream(read_stream(spark, "text", path=src, schema=VALUE))
     if dedup:
         stream = dedup_stream(stream, key="id", event_time="fetched_at", delay="1 hour")
-    q = start_ingest(stream, batch_sink(out, counter=counter), checkpoint=ckpt, trigger={"availableNow": True})
+    q = start_ingest(stream, batch_sink(out, counter=counter, preview=preview), checkpoint=ckpt,
+                     trigger={"availableNow": True})
     q.awaitTermination()
     return q
 
@@ -115,3 +116,17 @@ def test_stream_dedup_within_watermark(spark):
     run_available(spark, src, out, ckpt, dedup=True)
     got = spark.read.parquet(out)
     assert sorted(r.id for r in got.collect()) == [1, 2]
+
+
+def test_stream_batch_preview_is_bounded_and_null_safe(spark):
+    base = fresh("preview")
+    src, out, ckpt = (os.path.join(base, p) for p in ("in", "out", "ckpt"))
+    os.makedirs(src)
+    land(src, "a.json", [msg(i, title=f"title {i:02d}" + "x" * 50) for i in range(12)] + ["{bad"])
+    seen = {}
+    run_available(spark, src, out, ckpt, preview=lambda b, lines: seen.setdefault(b, lines))
+    (lines,) = seen.values()
+    assert [r.idx for r in lines] == list(range(1, 11))
+    assert {r.batch_rows for r in lines} == {13} and {r.more_rows for r in lines} == {3}
+    assert lines[0].title_line == " " * 45 and lines[0].genres_line == ""   # the malformed row (NULL id first)
+    assert lines[1].title_line == ("title 00" + "x" * 50)[:45] and lines[1].genres_line == "g"
