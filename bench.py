@@ -22,7 +22,7 @@ from marquee.session import local_session  # noqa: E402
 HEADLINE = [
     "avg_by_group", "topk_by_group", "bucket_histogram", "dedup_first", "id_name_lookup", "array_lookup",
     "catalogue_messages", "silver_etl", "dataset_profile", "silver_avg_by_genre", "silver_top10_by_year",
-    "silver_rating_buckets", "json_malformed", "stream_append",
+    "silver_rating_buckets", "json_malformed", "stream_append", "etl_job", "analytics_job",
 ]
 
 
