@@ -20,7 +20,7 @@ from marquee.sources.readers import read_silver
 
 
 def messages(spark: SparkSession, root: str) -> DataFrame:
-    raw = raw_catalogue(spark, root)
+    raw = raw_catalogue(spark, root, first_only=True)
     return enrich_records(raw, nation_names(spark, root), source=F.col("listing"),
                           fetched_at=F.col("landed_at"), first_by=RAW_FIRST_BY)
 

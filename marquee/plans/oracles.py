@@ -77,8 +77,15 @@ ship AS (SELECT l.*, o.*, c.c_name, c.c_nationkey, c.c_mktsegment, s.s_name, s.s
          JOIN customer c ON o.o_custkey = c.c_custkey
          JOIN supplier s ON l.l_suppkey = s.s_suppkey)"""
 
+# Raw listing records: the supplier is a left join (a line is never dropped by it).
+RAW_SHIP = """
+rship AS (SELECT l.*, o.*, c.c_name, c.c_nationkey, c.c_mktsegment, s.s_name, s.s_nationkey
+          FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+          JOIN customer c ON o.o_custkey = c.c_custkey
+          LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey)"""
+
 # raw → first per id → message → silver, as in the catalogue flow.
-CHAIN = f"""{DIM},{SHIP},
+CHAIN = f"""{DIM},{RAW_SHIP},
 raw AS (SELECT CAST(l_orderkey AS INTEGER) AS id, c_name AS title, s_name AS original_title,
                [s_nationkey, c_nationkey] AS genre_ids,
                strftime(o_orderdate, '%Y-%m-%d') AS release_date,
@@ -87,14 +94,14 @@ raw AS (SELECT CAST(l_orderkey AS INTEGER) AS id, c_name AS title, s_name AS ori
                l_extendedprice AS popularity, l_returnflag = 'R' AS adult,
                lower(l_linestatus) AS original_language, o_orderpriority AS listing,
                strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS landed_at, l_linenumber AS line_no
-        FROM ship),
+        FROM rship),
 firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY landed_at, line_no, title,
                           original_title, genre_ids, release_date, vote_average, vote_count, overview,
                           popularity, adult, original_language, listing) AS rn FROM raw) WHERE rn = 1),
 msg AS (SELECT f.id, f.title, f.original_title, {_year('f.release_date')} AS year,
                {_round1('f.vote_average')} AS rating, f.vote_count AS votes,
-               [COALESCE(d1.name, 'Unknown_' || CAST(f.genre_ids[1] AS VARCHAR)),
-                COALESCE(d2.name, 'Unknown_' || CAST(f.genre_ids[2] AS VARCHAR))] AS genres,
+               [COALESCE(d1.name, 'Unknown_' || COALESCE(CAST(f.genre_ids[1] AS VARCHAR), 'None')),
+                COALESCE(d2.name, 'Unknown_' || COALESCE(CAST(f.genre_ids[2] AS VARCHAR), 'None'))] AS genres,
                f.genre_ids, f.overview, f.popularity, f.adult, f.original_language,
                '' AS poster_path, '' AS backdrop_path, f.release_date,
                replace(lower(f.listing), ' ', '_') AS source, f.landed_at AS fetched_at
@@ -219,8 +226,8 @@ SELECT doc_id, n_chars FROM documents WHERE NOT regexp_matches({_strip('text')},
     "tsv_roundtrip": f"WITH {PART_WORDS} {_avg_sql('pr')}",
     "catalog_pages": f"""WITH {CHAIN}
 SELECT r.id AS page, 0 AS pos, r.id, r.title,
-       COALESCE(d1.name, 'Unknown_' || CAST(r.genre_ids[1] AS VARCHAR)) || '|' ||
-       COALESCE(d2.name, 'Unknown_' || CAST(r.genre_ids[2] AS VARCHAR)) AS genres
+       COALESCE(d1.name, 'Unknown_' || COALESCE(CAST(r.genre_ids[1] AS VARCHAR), 'None')) || '|' ||
+       COALESCE(d2.name, 'Unknown_' || COALESCE(CAST(r.genre_ids[2] AS VARCHAR), 'None')) AS genres
 FROM raw r LEFT JOIN dim d1 ON d1.id = r.genre_ids[1] LEFT JOIN dim d2 ON d2.id = r.genre_ids[2]""",
     "etl_job": PROFILE_SQL,
     "analytics_job": ANALYTICS_SQL,

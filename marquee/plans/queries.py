@@ -40,7 +40,7 @@ def q_avg_by_group(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_topk_by_group(spark: SparkSession, root: str) -> DataFrame:
-    return topk_by_group(order_lines(spark, root), k=10)
+    return topk_by_group(order_lines(spark, root, first_only=True), k=10)
 
 
 def q_bucket_histogram(spark: SparkSession, root: str) -> DataFrame:

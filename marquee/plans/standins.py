@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.dates import stamp_text
+from marquee.operators.dedup import first_candidates
 from marquee.sources.readers import table
 
 # Regions whose nation names are known to the category dimension.
@@ -30,14 +31,21 @@ def part_ratings(spark: SparkSession, root: str) -> DataFrame:
                     (F.col("p_size") / F.lit(5.0)).alias("rating"))
 
 
-def order_lines(spark: SparkSession, root: str) -> DataFrame:
+def order_lines(spark: SparkSession, root: str, first_only: bool = False) -> DataFrame:
     """Silver-like rows, one per line item of an order: the order is the listed item.
 
     ``movie_id`` order key, ``title`` order priority, ``year`` order year, ``votes``
     whole part of the total price, ``rating`` line discount in percent, ``genre`` line
     return flag, ``fetched_at`` ship-date text.
+
+    ``first_only`` keeps only the lines that can still be first of their order under the
+    top-k's de-duplication (smallest ``fetched_at``, then ``genre``) before the order join:
+    exact, since that join keeps or drops all lines of an order together, and the join and
+    de-duplication then see one row per order, limited per task before any shuffle.
     """
     li = table(spark, root, "lineitem").select("l_orderkey", "l_discount", "l_returnflag", "l_shipdate")
+    if first_only:
+        li = first_candidates(li, ["l_orderkey"], [stamp_text(F.col("l_shipdate")), F.col("l_returnflag")])
     o = table(spark, root, "orders", spread_small=False).select(
         "o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
@@ -76,16 +84,32 @@ def shipments(spark: SparkSession, root: str) -> DataFrame:
     return j.join(s, j["l_suppkey"] == s["s_suppkey"])
 
 
-def raw_catalogue(spark: SparkSession, root: str) -> DataFrame:
+def raw_catalogue(spark: SparkSession, root: str, first_only: bool = False) -> DataFrame:
     """Raw listing records (one per line item; an order appears once per line).
 
     ``genre_ids`` = ``[supplier nation, customer nation]`` (order and repeats matter),
     ``vote_average`` = discount % + tax × 10 (some above 10, so cleaning fires),
     ``listing`` = order priority (the source label), ``landed_at`` = ship-date stamp and
     ``line_no`` the line number: "first seen" is (landed_at, line_no, …).
+
+    ``first_only`` keeps only the lines that can still be the first of their order
+    (``RAW_FIRST_BY`` smallest) before any join, so all three joins move one row per order
+    instead of one per line.  The filter limits each key partially before its shuffle
+    (skew-safe) and leaves the lines partitioned by order key for the order join.  It is
+    exact because no join drops a single line: the order and its customer come with the
+    order key (all lines of an order stay or go together) and the supplier join is a left
+    join.
     """
-    sh = shipments(spark, root)
-    return sh.select(
+    li = table(spark, root, "lineitem")
+    o = table(spark, root, "orders", spread_small=False)
+    c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    s = table(spark, root, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    if first_only:
+        li = first_candidates(li, ["l_orderkey"], [stamp_text(F.col("l_shipdate")), F.col("l_linenumber")])
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    j = j.join(c, j["o_custkey"] == c["c_custkey"])
+    j = j.join(s, j["l_suppkey"] == s["s_suppkey"], "left")
+    return j.select(
         F.col("l_orderkey").cast("int").alias("id"),
         F.col("c_name").alias("title"),
         F.col("s_name").alias("original_title"),

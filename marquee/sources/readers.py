@@ -18,9 +18,8 @@ def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None
     per-row work fused onto the scan is not done by one task.  A large table already has
     at least that many splits and is returned unchanged (no extra shuffle).
 
-    ``by`` names a unique key of the table: hashing it spreads rows evenly whatever the
-    skew of the analytic keys, and is deterministic on retry without the full local sort
-    a round-robin repartition needs for that.
+    ``by`` names the table's key: hashing it is deterministic on retry without the full
+    local sort a round-robin repartition needs for that.
     """
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
@@ -28,10 +27,12 @@ def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None
     return df.repartition(want, *by) if by else df.repartition(want)
 
 
-# Tables that carry the per-row work of a query (facts and long texts), with their unique
-# keys; dimensions are left as scanned, since they are joined by key or broadcast.
+# Tables that carry the per-row work of a query (facts and long texts), with the key they
+# are spread by: the unique id, except line items, which go by order so that the per-order
+# steps downstream (first line of an order, order join) find them co-located and add no
+# shuffle.  Dimensions are left as scanned, since they are joined by key or broadcast.
 WIDE_TABLES = {
-    "lineitem": ("l_orderkey", "l_linenumber"),
+    "lineitem": ("l_orderkey",),
     "orders": ("o_orderkey",),
     "part": ("p_partkey",),
     "events": ("event_id",),
