@@ -2,10 +2,12 @@
 
 import json
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from marquee.operators.dedup import dedup_first
+from marquee.operators.dedup import dedup_first, first_candidates
 from marquee.operators.enrich import enrich_records
 from marquee.operators.lookup import bounded_broadcast, lookup_name, lookup_names
 from marquee.schemas import MESSAGE_FIELDS, RAW_RECORD
@@ -116,3 +118,20 @@ def test_dedup_first_hot_key_and_nulls(spark):
     df = spark.createDataFrame(rows, "id int, ts string, v string").repartition(6)
     got = {r.id: (r.ts, r.v) for r in dedup_first(df, ["id"], ["ts"]).collect()}
     assert got == {1: ("2024-01-01", "z"), None: ("2024-01-04", "n2"), 2: ("2024-01-03", "c")}
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([1, 2, 3, None]), st.sampled_from(["a", "b", None]),
+                          st.integers(0, 2), st.sampled_from(["x", "y", None])), max_size=60))
+def test_first_candidates_is_exact_prefilter(spark, rows):
+    df = spark.createDataFrame(rows, "id int, ts string, n int, v string").repartition(3)
+    direct = dedup_first(df, ["id"], ["ts", "n"])
+    via = dedup_first(first_candidates(df, ["id"], ["ts"]), ["id"], ["ts", "n"])
+    assert sorted(map(tuple, direct.collect()), key=repr) == sorted(map(tuple, via.collect()), key=repr)
+    # candidates keep every row tied on the leading column, and nothing else
+    cand = sorted(map(tuple, first_candidates(df, ["id"], ["ts"]).collect()), key=repr)
+    best = {}
+    for r in rows:
+        k = (r[1] is None, r[1] or "")
+        best[r[0]] = min(best.get(r[0], k), k)
+    assert cand == sorted((r for r in rows if (r[1] is None, r[1] or "") == best[r[0]]), key=repr)
