@@ -236,6 +236,11 @@ SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M
     "stream_dedup": """
 SELECT DISTINCT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
 FROM events""",
+    "stream_quarantine": """
+SELECT (SELECT count(*) FROM events) AS stored_rows,
+       (SELECT count(*) FROM documents) + (SELECT count(*) FROM events) AS dead_rows,
+       (SELECT count(*) FROM documents) + 2 * (SELECT count(*) FROM events) AS observed_rows,
+       (SELECT count(*) FROM documents) + (SELECT count(*) FROM events) AS observed_malformed""",
     "message_sink": """
 SELECT CAST(event_id AS VARCHAR) AS key,
        to_json(struct_pack(event_id := event_id, event_type := event_type, value := value)) AS value

@@ -25,8 +25,8 @@ from marquee.plans.standins import nation_names, order_lines, part_ratings, raw_
 from marquee.session import work_path
 from marquee.sinks.writers import write_small_result
 from marquee.sources.readers import genre_dim_from_doc, read_genre_doc, read_pages, records_from_pages, table
-from marquee.streaming.ingest import (BatchCounter, batch_sink, dedup_stream, message_stream, read_stream,
-                                      start_ingest)
+from marquee.streaming.ingest import (BatchCounter, batch_sink, dedup_stream, message_stream, observed_totals,
+                                      read_stream, start_ingest)
 
 
 def _text_array(c):
@@ -286,6 +286,33 @@ def q_stream_dedup(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(out).drop("processed_at", "batch_id")
 
 
+def q_stream_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Every event as a valid message, plus messages that carry no event id: each
+    document's text as ``{"title": ...}`` and each event's ``props`` object.  The stream
+    stores the first kind and sends the rest to the dead-letter table; counts come from
+    both tables and from the metrics observed on the stream."""
+    ev = table(spark, root, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    docs = table(spark, root, "documents")
+    landing = work_path(spark, "landing-mixed")
+    encode_messages(ev, EVENT_FIELDS).write.mode("overwrite").text(f"{landing}/events")
+    (docs.select(F.to_json(F.struct(F.col("text").alias("title"))).alias("value"))
+         .write.mode("overwrite").text(f"{landing}/documents"))
+    ev.select(F.coalesce(F.col("props"), F.lit("")).alias("value")).write.mode("overwrite").text(f"{landing}/props")
+    src = read_stream(spark, "text", options={"recursiveFileLookup": "true"}, path=landing,
+                      schema=StructType([StructField("value", StringType())]))
+    rows = message_stream(src, schema=EVENT_MSG_SCHEMA, metrics="ingest")
+    store, dead = work_path(spark, "stored"), work_path(spark, "dead-letter")
+    q = start_ingest(rows, batch_sink(store, dead_letter=dead, key="event_id"),
+                     checkpoint=work_path(spark, "stream-ckpt"), trigger={"availableNow": True})
+    q.awaitTermination()
+    obs = observed_totals(q, "ingest")
+    dead_rows = spark.read.parquet(dead).agg(F.count(F.lit(1))).scalar()
+    return spark.read.parquet(store).agg(F.count(F.lit(1)).alias("stored_rows")).select(
+        "stored_rows", dead_rows.alias("dead_rows"),
+        F.lit(obs.get("rows", 0)).cast("long").alias("observed_rows"),
+        F.lit(obs.get("malformed", 0)).cast("long").alias("observed_malformed"))
+
+
 def q_message_sink(spark: SparkSession, root: str) -> DataFrame:
     ev = table(spark, root, "events").select("event_id", "event_type", "value")
     return encode_messages(ev, ["event_id", "event_type", "value"], key="event_id")
@@ -336,6 +363,7 @@ QUERIES = {
     "analytics_job": q_analytics_job,
     "stream_append": q_stream_append,
     "stream_dedup": q_stream_dedup,
+    "stream_quarantine": q_stream_quarantine,
     "message_sink": q_message_sink,
     "stream_metrics": q_stream_metrics,
 }

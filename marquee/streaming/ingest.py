@@ -31,9 +31,31 @@ def read_stream(spark: SparkSession, fmt: str, options: dict | None = None, path
     return r.load(path) if path is not None else r.load()
 
 
-def message_stream(stream: DataFrame, value: str = "value", schema: StructType = MESSAGE) -> DataFrame:
-    """Key-less message values → typed rows + ``processed_at`` (stateless)."""
-    return decode_messages(stream, value=value, schema=schema, stamp=True)
+def message_stream(stream: DataFrame, value: str = "value", schema: StructType = MESSAGE,
+                   metrics: str | None = None) -> DataFrame:
+    """Key-less message values → typed rows + ``processed_at`` (stateless).
+
+    With ``metrics`` the stream is observed under that name: per micro-batch, ``rows``
+    decoded and ``malformed`` rows (no value for the first schema field, the key), reported
+    in the query progress (``observed_totals``) without an extra pass over the batch.
+    """
+    rows = decode_messages(stream, value=value, schema=schema, stamp=True)
+    if metrics is None:
+        return rows
+    key = schema.fields[0].name
+    return rows.observe(metrics, F.count(F.lit(1)).alias("rows"),
+                        F.count_if(F.col(key).isNull()).alias("malformed"))
+
+
+def observed_totals(query, name: str) -> dict[str, int]:
+    """Sum of the metrics observed under ``name`` over the query's recent progress reports
+    (the last ``spark.sql.streaming.numRecentProgressUpdates`` batches)."""
+    totals: dict[str, int] = {}
+    for p in query.recentProgress:
+        row = (p.get("observedMetrics") or {}).get(name)
+        for k, v in (row.asDict() if row is not None else {}).items():
+            totals[k] = totals.get(k, 0) + int(v)
+    return totals
 
 
 def dedup_stream(stream: DataFrame, key: str = "id", event_time: str = "fetched_at",
@@ -63,18 +85,25 @@ class BatchCounter:
 def batch_sink(path: str, fmt: str = "parquet", counter: BatchCounter | None = None,
                on_batch: Callable[[DataFrame, int], None] | None = None,
                preview: Callable[[int, list], None] | None = None,
-               preview_order: Sequence[str] = ("id",)):
+               preview_order: Sequence[str] = ("id",),
+               dead_letter: str | None = None, key: str = "id"):
     """``foreachBatch`` callback: idempotent append of the batch, then optional metrics.
 
     The batch is persisted while it is written, counted and previewed, so the source is
     read once per batch, and released at the end.  ``preview(batch_id, lines)`` receives
     the batch summary of ``batch_preview`` (the first 10 titles by ``preview_order``, the
     batch size and the remainder): at most 10 rows reach the driver, never the batch.
+    With ``dead_letter`` the rows without a ``key`` (malformed messages) are appended
+    there instead of the store, under the same ``batch_id``.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            append_batch(batch, path, batch_id, fmt)
+            if dead_letter is None:
+                append_batch(batch, path, batch_id, fmt)
+            else:
+                append_batch(batch.filter(F.col(key).isNotNull()), path, batch_id, fmt)
+                append_batch(batch.filter(F.col(key).isNull()), dead_letter, batch_id, fmt)
             if counter is not None:
                 counter.record(batch_id, batch.count())
             if preview is not None:

@@ -11,7 +11,8 @@ from marquee.operators.analytics import avg_by_group
 from marquee.schemas import SILVER, SILVER_FIELDS
 from marquee.sinks.writers import append_batch, write_jsonl, write_small_result, write_tsv
 from marquee.sources.readers import read_silver
-from marquee.streaming.ingest import BatchCounter, batch_sink, dedup_stream, message_stream, read_stream, start_ingest
+from marquee.streaming.ingest import (BatchCounter, batch_sink, dedup_stream, message_stream, observed_totals,
+                                      read_stream, start_ingest)
 
 VALUE = StructType([StructField("value", StringType())])
 
@@ -130,3 +131,18 @@ def test_stream_batch_preview_is_bounded_and_null_safe(spark):
     assert {r.batch_rows for r in lines} == {13} and {r.more_rows for r in lines} == {3}
     assert lines[0].title_line == " " * 45 and lines[0].genres_line == ""   # the malformed row (NULL id first)
     assert lines[1].title_line == ("title 00" + "x" * 50)[:45] and lines[1].genres_line == "g"
+
+
+def test_stream_dead_letter_and_observed_metrics(spark):
+    base = fresh("dead")
+    src, out, dead, ckpt = (os.path.join(base, p) for p in ("in", "out", "dead", "ckpt"))
+    os.makedirs(src)
+    land(src, "a.json", [msg(1), "{bad", msg(2), json.dumps({"title": "no id"}), ""])
+    stream = message_stream(read_stream(spark, "text", path=src, schema=VALUE), metrics="ingest")
+    q = start_ingest(stream, batch_sink(out, dead_letter=dead), checkpoint=ckpt, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2]
+    d = spark.read.parquet(dead)
+    assert d.count() == 3 and d.filter("id IS NOT NULL").count() == 0
+    assert sorted(r.title for r in d.filter("title IS NOT NULL").collect()) == ["no id"]
+    assert observed_totals(q, "ingest") == {"rows": 5, "malformed": 3}
