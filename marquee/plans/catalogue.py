@@ -37,7 +37,7 @@ def stored(spark: SparkSession, root: str, stamp: bool = False, materialize: boo
         return docs
     path = work_path(spark, "stored")
     docs.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(docs.schema).parquet(path)
 
 
 def silver(spark: SparkSession, root: str, materialize: bool = True, fmt: str = "parquet") -> DataFrame:

@@ -57,9 +57,12 @@ def run_etl(spark: SparkSession, stored: DataFrame, out_path: str, preview_n: in
     silver, o_silver = _observed(explode_categories(clean), "etl_rows_silver")
     write_jsonl(silver, out_path)
     written = read_silver(spark, out_path)
-    d = written.agg(count_distinct_with_null("movie_id").alias("ids"),
-                    count_distinct_with_null("genre").alias("genres")).first()
-    preview = preview_rows(written, list(PREVIEW_COLS), ["movie_id", "genre"], preview_n).collect()
+    distinct = written.agg(count_distinct_with_null("movie_id").alias("ids"),
+                           count_distinct_with_null("genre").alias("genres"))
+    first_rows = preview_rows(written, list(PREVIEW_COLS), ["movie_id", "genre"], preview_n)
+    with ThreadPoolExecutor(max_workers=2) as pool:  # two independent reads of the silver
+        d_f, p_f = pool.submit(distinct.first), pool.submit(first_rows.collect)
+        d, preview = d_f.result(), p_f.result()
     return EtlReport(out_path, int(o_in.get["rows"]), int(o_valid.get["rows"]), int(o_silver.get["rows"]),
                      int(d["ids"]), int(d["genres"]), [r.asDict() for r in preview])
 
