@@ -55,9 +55,22 @@ def write_topic(df: DataFrame, fmt: str = "kafka", options: dict | None = None,
     w.save(path) if path is not None else w.save()
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+# Formats written as partitioned files, where a batch can own a partition.
+FILE_FORMATS = frozenset({"parquet", "json", "orc", "csv", "text", "avro"})
+
+
+def append_batch(df: DataFrame, path: str | None, batch_id: int, fmt: str = "parquet",
+                 options: dict | None = None) -> None:
     """Idempotent append of one micro-batch: the batch owns ``batch_id=<n>`` and a replay
-    overwrites exactly that partition, so at-least-once delivery stores it once."""
-    (df.withColumn("batch_id", F.lit(int(batch_id)))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").format(fmt).save(path))
+    overwrites exactly that partition, so at-least-once delivery stores it once.
+
+    A store that is not a file format (a document store reached through its connector) gets
+    a plain append with the ``batch_id`` column, so a replayed batch can be recognised there.
+    """
+    tagged = df.withColumn("batch_id", F.lit(int(batch_id)))
+    if fmt not in FILE_FORMATS:
+        w = tagged.write.format(fmt).mode("append").options(**(options or {}))
+        w.save(path) if path is not None else w.save()
+        return
+    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**(options or {}))
+           .partitionBy("batch_id").format(fmt).save(path))

@@ -82,11 +82,11 @@ class BatchCounter:
             self.counts[int(batch_id)] = int(n)
 
 
-def batch_sink(path: str, fmt: str = "parquet", counter: BatchCounter | None = None,
+def batch_sink(path: str | None, fmt: str = "parquet", counter: BatchCounter | None = None,
                on_batch: Callable[[DataFrame, int], None] | None = None,
                preview: Callable[[int, list], None] | None = None,
                preview_order: Sequence[str] = ("id",),
-               dead_letter: str | None = None, key: str = "id"):
+               dead_letter: str | None = None, key: str = "id", options: dict | None = None):
     """``foreachBatch`` callback: idempotent append of the batch, then optional metrics.
 
     The batch is persisted while it is written, counted and previewed, so the source is
@@ -94,16 +94,17 @@ def batch_sink(path: str, fmt: str = "parquet", counter: BatchCounter | None = N
     the batch summary of ``batch_preview`` (the first 10 titles by ``preview_order``, the
     batch size and the remainder): at most 10 rows reach the driver, never the batch.
     With ``dead_letter`` the rows without a ``key`` (malformed messages) are appended
-    there instead of the store, under the same ``batch_id``.
+    there (Parquet) instead of the store, under the same ``batch_id``.  ``options`` go to
+    the store's writer (connection settings of a non-file store).
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             if dead_letter is None:
-                append_batch(batch, path, batch_id, fmt)
+                append_batch(batch, path, batch_id, fmt, options)
             else:
-                append_batch(batch.filter(F.col(key).isNotNull()), path, batch_id, fmt)
-                append_batch(batch.filter(F.col(key).isNull()), dead_letter, batch_id, fmt)
+                append_batch(batch.filter(F.col(key).isNotNull()), path, batch_id, fmt, options)
+                append_batch(batch.filter(F.col(key).isNull()), dead_letter, batch_id)
             if counter is not None:
                 counter.record(batch_id, batch.count())
             if preview is not None:
