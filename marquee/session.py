@@ -38,7 +38,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     created and registered, so ``DataFrame.checkpoint()`` and written tables land in
     the same place.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if conf:
+            return conf
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
     d = sc.getCheckpointDir()
     if d:
         return d

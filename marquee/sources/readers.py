@@ -21,8 +21,12 @@ def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None
     ``by`` names the table's key: hashing it is deterministic on retry without the full
     local sort a round-robin repartition needs for that.
     """
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (Spark Connect): leave the scan as it is
+        return df
+    if splits >= want:
         return df
     return df.repartition(want, *by) if by else df.repartition(want)
 
