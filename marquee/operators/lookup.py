@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.values import unknown_name
@@ -35,6 +35,18 @@ def _dimension(dim: DataFrame, key: str, name: str) -> DataFrame:
     return dim.groupBy(F.col(key).alias("__k")).agg(F.max(name).alias("__name"))
 
 
+def small_map(d: DataFrame, max_entries: int = MAP_ENTRIES) -> Column | None:
+    """A ``(__k, __name)`` dimension as one literal map when it holds at most
+    ``max_entries`` keys, else ``None``.  One bounded read (at most ``max_entries + 1``
+    rows) both proves the bound and fetches the entries, like a broadcast of a small side."""
+    rows = d.filter(F.col("__k").isNotNull()).limit(max_entries + 1).collect()
+    if len(rows) > max_entries:
+        return None
+    key_type = d.schema["__k"].dataType.simpleString()
+    pairs = [x for r in rows for x in (F.lit(r["__k"]), F.lit(r["__name"]))]
+    return F.create_map(*pairs).cast(f"map<{key_type},string>")
+
+
 def lookup_name(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_name: str,
                 out: str, fallback_prefix: str = "Unknown_",
                 max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -51,20 +63,17 @@ def lookup_names(df: DataFrame, ids: str, dim: DataFrame, dim_key: str, dim_name
     """``out = [dim.get(g, f"{prefix}{g}") for g in df[ids]]``: order and duplicates kept,
     NULL array stays NULL, empty array gives an empty array.
 
-    Small dimension: one map value built by an uncorrelated scalar subquery and applied
-    with ``transform`` — no join and no shuffle of ``df``.  Larger dimension: elements are
-    exploded with their position, joined (broadcast or shuffle as sized), and regrouped
-    per input row, where ``row_key`` (unique per row) names the regroup key.
+    Small dimension: one literal map applied with ``transform`` — no join and no shuffle
+    of ``df``.  Larger dimension: elements are exploded with their position, joined
+    (broadcast or shuffle as sized), and regrouped per input row, where ``row_key`` (unique
+    per row) names the regroup key.
     """
     d = _dimension(dim, dim_key, dim_name)
-    if has_at_most(d, max_map_entries):
-        m = d.agg(F.map_from_entries(F.collect_list(F.struct("__k", "__name")))).scalar()
-        # A subquery may not sit inside a lambda: project the map once, then reference it.
-        names = F.transform(F.col(ids), lambda g: F.coalesce(F.try_element_at(F.col("__map"), g),
+    m = small_map(d, max_map_entries)
+    if m is not None:
+        names = F.transform(F.col(ids), lambda g: F.coalesce(F.try_element_at(m, g),
                                                              unknown_name(g, fallback_prefix)))
-        keep = [F.col(c) for c in df.columns if c != out]
-        return df.select(*keep, m.alias("__map")).select(*[F.col(c) for c in df.columns if c != out],
-                                                         names.alias(out))
+        return df.select(*[F.col(c) for c in df.columns if c != out], names.alias(out))
     if not row_key:
         raise ValueError("row_key (unique per row) is required for a large dimension")
     row_key = list(row_key)
