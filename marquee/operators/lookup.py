@@ -49,12 +49,21 @@ def small_map(d: DataFrame, max_entries: int = MAP_ENTRIES) -> Column | None:
 
 def lookup_name(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_name: str,
                 out: str, fallback_prefix: str = "Unknown_",
-                max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``out = dim.get(df[key], f"{prefix}{key}")`` as a left join (row order of ``df`` kept)."""
-    d = bounded_broadcast(_dimension(dim, dim_key, dim_name), max_broadcast_rows)
+                max_broadcast_rows: int = BROADCAST_ROWS, max_map_entries: int = MAP_ENTRIES) -> DataFrame:
+    """``out = dim.get(df[key], f"{prefix}{key}")``.
+
+    A dimension of at most ``max_map_entries`` keys becomes one literal map (no join);
+    a larger one is left-joined, broadcast when proven to hold at most
+    ``max_broadcast_rows`` keys.
+    """
+    d = _dimension(dim, dim_key, dim_name)
+    fallback = unknown_name(F.col(key), fallback_prefix)
+    m = small_map(d, max_map_entries)
+    if m is not None:
+        return df.withColumn(out, F.coalesce(F.try_element_at(m, F.col(key)), fallback))
+    d = bounded_broadcast(d, max_broadcast_rows)
     j = df.join(d, df[key] == d["__k"], "left")
-    return j.withColumn(out, F.coalesce(F.col("__name"), unknown_name(F.col(key), fallback_prefix))) \
-            .drop("__k", "__name")
+    return j.withColumn(out, F.coalesce(F.col("__name"), fallback)).drop("__k", "__name")
 
 
 def lookup_names(df: DataFrame, ids: str, dim: DataFrame, dim_key: str, dim_name: str, out: str,

@@ -86,8 +86,11 @@ def test_lookup_paths_agree(spark):
 
 def test_lookup_name_scalar(spark):
     df = spark.createDataFrame([(1, 28), (2, 7), (3, None)], "k int, g int")
+    exp = {1: "Action", 2: "Unknown_7", 3: "Unknown_None"}
     got = {r.k: r.name for r in lookup_name(df, "g", dim(spark), "id", "name", "name").collect()}
-    assert got == {1: "Action", 2: "Unknown_7", 3: "Unknown_None"}
+    joined = lookup_name(df, "g", dim(spark), "id", "name", "name", max_map_entries=0)
+    assert got == {r.k: r.name for r in joined.collect()} == exp
+    assert joined.columns == ["k", "g", "name"]
 
 
 def test_bounded_broadcast_respects_bound(spark):
