@@ -11,22 +11,30 @@ from marquee.functions.values import to_number
 from marquee.schemas import GENRE_DOC, RAW_PAGE, SILVER, SILVER_TEXT
 
 
+# A scan is spread only when it has fewer splits than this (about 1 GB at the default split
+# size), and to at most this many partitions: enough for the per-row work of a small table,
+# never a reshuffle of a table that already reads in parallel.
+SPREAD_BELOW_SPLITS = 8
+SPREAD_MAX_PARTITIONS = 64
+
+
 def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None,
            by: tuple[str, ...] = ()) -> DataFrame:
-    """Hash-partition ``df`` over ``min_partitions`` (default: the cluster's parallelism)
-    when its scan yields fewer splits, e.g. one file with a single row group, so the
-    per-row work fused onto the scan is not done by one task.  A large table already has
-    at least that many splits and is returned unchanged (no extra shuffle).
+    """Hash-partition a small scan that yields very few splits (e.g. one file with a single
+    row group) over ``min_partitions`` (default: the cluster's parallelism, at most
+    ``SPREAD_MAX_PARTITIONS``), so the per-row work fused onto the scan is not done by one
+    task.  A scan with ``SPREAD_BELOW_SPLITS`` splits or more, or already as many as
+    wanted, is returned unchanged (no extra shuffle).
 
     ``by`` names the table's key: hashing it is deterministic on retry without the full
     local sort a round-robin repartition needs for that.
     """
     try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
+        want = min_partitions or min(spark.sparkContext.defaultParallelism, SPREAD_MAX_PARTITIONS)
         splits = df.rdd.getNumPartitions()
     except Exception:  # a session without RDD access (Spark Connect): leave the scan as it is
         return df
-    if splits >= want:
+    if splits >= min(want, SPREAD_BELOW_SPLITS):
         return df
     return df.repartition(want, *by) if by else df.repartition(want)
 

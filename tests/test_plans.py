@@ -75,3 +75,12 @@ def test_first_line_candidates_sit_below_the_joins(static_plans):
     order_join = next(i for i, line in enumerate(lines) if "Join" in line and "o_orderkey" in line)
     assert all("Join" not in line or "o_orderkey" in line for line in lines[order_join:])  # the deepest join
     assert any("rank(" in line for line in lines[order_join:])
+
+
+def test_spread_only_touches_tiny_scans(spark):
+    from marquee.sources.readers import spread
+    one = spark.range(1000).coalesce(1)
+    assert spread(spark, one, by=("id",)).rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, 64)
+    many = spark.range(1000).repartition(8)          # already 8 splits: left as it is
+    assert spread(spark, many, by=("id",)) is many
+    assert spread(spark, one, min_partitions=1) is one
