@@ -7,7 +7,7 @@ into a broadcast at run time when the actual size is small.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,16 +35,21 @@ def _dimension(dim: DataFrame, key: str, name: str) -> DataFrame:
     return dim.groupBy(F.col(key).alias("__k")).agg(F.max(name).alias("__name"))
 
 
-def small_map(d: DataFrame, max_entries: int = MAP_ENTRIES) -> Column | None:
+def small_map(d: DataFrame, max_entries: int = MAP_ENTRIES) -> Callable[[Column], Column] | None:
     """A ``(__k, __name)`` dimension as one literal map when it holds at most
     ``max_entries`` keys, else ``None``.  One bounded read (at most ``max_entries + 1``
-    rows) both proves the bound and fetches the entries, like a broadcast of a small side."""
+    rows) both proves the bound and fetches the entries, like a broadcast of a small side.
+
+    Returns ``get(key) -> name or NULL``; the key is converted to the dimension's key type
+    first, and one that does not fit it simply finds nothing.
+    """
     rows = d.filter(F.col("__k").isNotNull()).limit(max_entries + 1).collect()
     if len(rows) > max_entries:
         return None
     key_type = d.schema["__k"].dataType.simpleString()
-    pairs = [x for r in rows for x in (F.lit(r["__k"]), F.lit(r["__name"]))]
-    return F.create_map(*pairs).cast(f"map<{key_type},string>")
+    pairs = [x for r in rows for x in (F.lit(r["__k"]).cast(key_type), F.lit(r["__name"]).cast("string"))]
+    m = F.create_map(*pairs).cast(f"map<{key_type},string>")
+    return lambda k: F.try_element_at(m, k.try_cast(key_type))
 
 
 def lookup_name(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_name: str,
@@ -58,9 +63,9 @@ def lookup_name(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_name:
     """
     d = _dimension(dim, dim_key, dim_name)
     fallback = unknown_name(F.col(key), fallback_prefix)
-    m = small_map(d, max_map_entries)
-    if m is not None:
-        return df.withColumn(out, F.coalesce(F.try_element_at(m, F.col(key)), fallback))
+    get = small_map(d, max_map_entries)
+    if get is not None:
+        return df.withColumn(out, F.coalesce(get(F.col(key)), fallback))
     d = bounded_broadcast(d, max_broadcast_rows)
     j = df.join(d, df[key] == d["__k"], "left")
     return j.withColumn(out, F.coalesce(F.col("__name"), fallback)).drop("__k", "__name")
@@ -78,10 +83,9 @@ def lookup_names(df: DataFrame, ids: str, dim: DataFrame, dim_key: str, dim_name
     per row) names the regroup key.
     """
     d = _dimension(dim, dim_key, dim_name)
-    m = small_map(d, max_map_entries)
-    if m is not None:
-        names = F.transform(F.col(ids), lambda g: F.coalesce(F.try_element_at(m, g),
-                                                             unknown_name(g, fallback_prefix)))
+    get = small_map(d, max_map_entries)
+    if get is not None:
+        names = F.transform(F.col(ids), lambda g: F.coalesce(get(g), unknown_name(g, fallback_prefix)))
         return df.select(*[F.col(c) for c in df.columns if c != out], names.alias(out))
     if not row_key:
         raise ValueError("row_key (unique per row) is required for a large dimension")

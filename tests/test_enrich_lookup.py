@@ -138,3 +138,13 @@ def test_first_candidates_is_exact_prefilter(spark, rows):
         k = (r[1] is None, r[1] or "")
         best[r[0]] = min(best.get(r[0], k), k)
     assert cand == sorted((r for r in rows if (r[1] is None, r[1] or "") == best[r[0]]), key=repr)
+
+
+def test_lookup_key_types_need_not_match(spark):
+    # bigint probes against an int-keyed dimension; a probe beyond int range finds nothing
+    df = spark.createDataFrame([(1, 28), (2, 2**40)], "k int, g bigint")
+    got = {r.k: r.name for r in lookup_name(df, "g", dim(spark), "id", "name", "name").collect()}
+    assert got == {1: "Action", 2: f"Unknown_{2**40}"}
+    arr = spark.createDataFrame([(1, [28, 2**40])], "k int, ids array<bigint>")
+    assert lookup_names(arr, "ids", dim(spark), "id", "name", "names").first().names == \
+        ["Action", f"Unknown_{2**40}"]
