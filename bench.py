@@ -2,7 +2,7 @@
 
 Each query is fully executed into the ``noop`` sink (no rows are pulled to the driver);
 one warm-up pass over all queries, then the median of ``$BENCH_REPEAT`` timed passes.
-Prints one JSON line.
+Also reports the streaming ingest rate (``stream_rows_per_sec``).  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from marquee.plans import queries as Q  # noqa: E402
 from marquee.plans.queries import QUERIES  # noqa: E402
 from marquee.session import local_session  # noqa: E402
 
@@ -32,6 +33,21 @@ def run_once(spark, name: str, root: str) -> float:
     return time.perf_counter() - t0
 
 
+def stream_rate(spark, root: str, repeat: int) -> int:
+    """Streaming ingest throughput: every event landed once as a JSON message, then the
+    stream (decode, stamp, idempotent append, count) run from a fresh checkpoint; rows per
+    second of the median of ``repeat`` timed runs after a warm-up."""
+    landing = Q._land_event_messages(spark, root)
+    secs, rows = [], 0
+    for i in range(repeat + 1):
+        t0 = time.perf_counter()
+        _, _, counter = Q._run_stream(spark, landing)
+        if i:
+            secs.append(time.perf_counter() - t0)
+        rows = sum(counter.counts.values())
+    return round(rows / statistics.median(secs))
+
+
 def main() -> None:
     root = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -49,7 +65,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", root)
     print(json.dumps({"metric": "total_median_query_seconds", "value": round(sum(med.values()), 3),
                       "unit": "sec", "queries": med, "sf": float(m.group(1)) if m else root,
-                      "cpus": cpus, "repeat": repeat}))
+                      "cpus": cpus, "repeat": repeat, "stream_rows_per_sec": stream_rate(spark, root, repeat)}))
     spark.stop()
 
 
