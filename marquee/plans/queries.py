@@ -251,13 +251,14 @@ EVENT_MSG_SCHEMA = StructType([StructField("event_id", LongType()), StructField(
 EVENT_FIELDS = [f.name for f in EVENT_MSG_SCHEMA.fields]
 
 
-def _land_event_messages(spark: SparkSession, root: str, copies: int = 1, files: int = 4) -> str:
-    """Write every event as one JSON message line into a landing folder (``copies`` times)."""
+def _land_event_messages(spark: SparkSession, root: str, copies: int = 1) -> str:
+    """Write every event as one JSON message line into a landing folder (``copies`` times),
+    one file per partition of the events scan, as a broker topic has one log per partition."""
     ev = table(spark, root, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     path = work_path(spark, "landing")
     enc = encode_messages(ev, EVENT_FIELDS)
     for i in range(copies):
-        enc.repartition(files).write.mode("append").text(f"{path}/copy={i}")
+        enc.write.mode("append").text(f"{path}/copy={i}")
     return path
 
 
