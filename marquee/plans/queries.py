@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from marquee.functions.dates import stamp_text, year_from_text
+from marquee.functions.dates import date_text, micros_text, stamp_text, year_from_text
 from marquee.functions.text import py_round, strip_text
 from marquee.functions.values import clamp_range, floor_at, to_number
 from marquee.operators.analytics import avg_by_group, bucket_histogram, topk_by_group
@@ -64,7 +64,7 @@ def q_array_lookup(spark: SparkSession, root: str) -> DataFrame:
 def q_year_from_text(spark: SparkSession, root: str) -> DataFrame:
     o = table(spark, root, "orders")
     return o.select("o_orderkey",
-                    year_from_text(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("year_of_date"),
+                    year_from_text(date_text("o_orderdate")).alias("year_of_date"),
                     year_from_text(F.col("o_orderpriority")).alias("year_of_priority"),
                     year_from_text(F.col("o_orderstatus")).alias("year_of_status"))
 
@@ -83,7 +83,7 @@ def q_dedup_first(spark: SparkSession, root: str) -> DataFrame:
 
 def q_json_encode_decode(spark: SparkSession, root: str) -> DataFrame:
     ev = table(spark, root, "events").withColumn(
-        "ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        "ts", micros_text("ts"))
     fields = ["event_id", "user_id", "event_type", "value", "props", "ts"]
     schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
                          StructField("event_type", StringType()), StructField("value", DoubleType()),
@@ -254,7 +254,7 @@ EVENT_FIELDS = [f.name for f in EVENT_MSG_SCHEMA.fields]
 def _land_event_messages(spark: SparkSession, root: str, copies: int = 1) -> str:
     """Write every event as one JSON message line into a landing folder (``copies`` times),
     one file per partition of the events scan, as a broker topic has one log per partition."""
-    ev = table(spark, root, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    ev = table(spark, root, "events").withColumn("ts", micros_text("ts"))
     path = work_path(spark, "landing")
     enc = encode_messages(ev, EVENT_FIELDS)
     for i in range(copies):
@@ -292,7 +292,7 @@ def q_stream_quarantine(spark: SparkSession, root: str) -> DataFrame:
     document's text as ``{"title": ...}`` and each event's ``props`` object.  The stream
     stores the first kind and sends the rest to the dead-letter table; counts come from
     both tables and from the metrics observed on the stream."""
-    ev = table(spark, root, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    ev = table(spark, root, "events").withColumn("ts", micros_text("ts"))
     docs = table(spark, root, "documents")
     landing = work_path(spark, "landing-mixed")
     encode_messages(ev, EVENT_FIELDS).write.mode("overwrite").text(f"{landing}/events")

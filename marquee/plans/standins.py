@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.functions.dates import stamp_text
+from marquee.functions.dates import date_text, stamp_text
 from marquee.operators.dedup import first_candidates
 from marquee.sources.readers import table
 
@@ -114,7 +114,7 @@ def raw_catalogue(spark: SparkSession, root: str, first_only: bool = False) -> D
         F.col("c_name").alias("title"),
         F.col("s_name").alias("original_title"),
         F.array(F.col("s_nationkey"), F.col("c_nationkey")).alias("genre_ids"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("release_date"),
+        date_text("o_orderdate").alias("release_date"),
         (F.col("l_discount") * F.lit(100.0) + F.col("l_tax") * F.lit(10.0)).alias("vote_average"),
         F.col("o_totalprice").cast("int").alias("vote_count"),
         F.col("c_mktsegment").alias("overview"),

@@ -6,9 +6,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from marquee.functions import (bucket_label, clamp_range, count_distinct_with_null, fixed, floor_at,
-                               join_first, pad_right, percent_of, prefix, py_round, slug, strip_text,
-                               thousands, unknown_name, year_from_text, zero_pad)
+from marquee.functions import (bucket_label, clamp_range, count_distinct_with_null, date_text, fixed, floor_at,
+                               join_first, micros_text, pad_right, percent_of, prefix, py_round, slug,
+                               stamp_text, strip_text, thousands, unknown_name, year_from_text, zero_pad)
 
 
 def one_col(spark, values, ddl):
@@ -121,3 +121,17 @@ def test_count_distinct_with_null(spark):
     assert df.agg(count_distinct_with_null("x")).first()[0] == df.select("x").distinct().count() == 3
     empty = spark.createDataFrame([], "x int")
     assert empty.agg(count_distinct_with_null("x")).first()[0] == 0
+
+
+def test_timestamp_text_is_wall_clock_in_any_session_zone(spark):
+    # 1995-10-15 00:00 does not exist in São Paulo (clocks jumped to 01:00)
+    df = spark.createDataFrame([("1995-10-15 00:00:00.000250",), ("2024-01-02 03:04:05",)], "s string") \
+              .select(F.col("s").cast("timestamp_ntz").alias("t"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        got = [tuple(r) for r in df.select(stamp_text("t"), date_text("t"), micros_text("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [("1995-10-15 00:00:00", "1995-10-15", "1995-10-15 00:00:00.000250"),
+                   ("2024-01-02 03:04:05", "2024-01-02", "2024-01-02 03:04:05.000000")]
