@@ -1,5 +1,6 @@
 """Scalar expression helpers against Python's own rules."""
 
+import datetime
 import math
 
 from hypothesis import given, settings
@@ -135,3 +136,18 @@ def test_timestamp_text_is_wall_clock_in_any_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [("1995-10-15 00:00:00", "1995-10-15", "1995-10-15 00:00:00.000250"),
                    ("2024-01-02 03:04:05", "2024-01-02", "2024-01-02 03:04:05.000000")]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.datetimes(min_value=datetime.datetime(1900, 1, 1),
+                             max_value=datetime.datetime(2100, 12, 31)), min_size=1, max_size=40))
+def test_timestamp_text_matches_strftime(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "t timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        got = [tuple(r) for r in df.select(stamp_text("t"), date_text("t"), micros_text("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [(v.strftime("%Y-%m-%d %H:%M:%S"), v.strftime("%Y-%m-%d"), v.strftime("%Y-%m-%d %H:%M:%S.%f"))
+                   for v in values]
