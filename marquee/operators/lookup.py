@@ -95,7 +95,11 @@ def lookup_names(df: DataFrame, ids: str, dim: DataFrame, dim_key: str, dim_name
     j = ex.join(d, ex["__id"] == d["__k"], "left")
     named = F.when(F.col("__pos").isNotNull(), F.struct(
         F.col("__pos"), F.coalesce(F.col("__name"), unknown_name(F.col("__id"), fallback_prefix)).alias("n")))
-    regrouped = j.groupBy(*row_key).agg(F.array_sort(F.collect_list(named)).alias("__l"))
+    regrouped = j.groupBy(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(row_key)]).agg(
+        F.array_sort(F.collect_list(named)).alias("__l"))
     names = F.when(F.col(ids).isNull(), F.lit(None)).otherwise(
         F.transform(F.coalesce(F.col("__l"), F.array()), lambda s: s.getField("n")))
-    return df.join(regrouped, row_key, "left").withColumn(out, names).drop("__l")
+    # NULL-safe: a row whose key is NULL (one such row at most) finds its names too
+    on = [df[k].eqNullSafe(regrouped[f"__rk{i}"]) for i, k in enumerate(row_key)]
+    return (df.join(regrouped, on, "left").withColumn(out, names)
+              .drop("__l", *[f"__rk{i}" for i in range(len(row_key))]))

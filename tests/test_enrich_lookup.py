@@ -76,12 +76,15 @@ def test_enrich_missing_columns_use_defaults(spark):
 
 
 def test_lookup_paths_agree(spark):
-    df = spark.createDataFrame([(1, [28, 5, 28, None]), (2, []), (3, None), (4, [18])], "k int, ids array<int>")
+    df = spark.createDataFrame([(1, [28, 5, 28, None]), (2, []), (3, None), (4, [18]), (None, [12, 28])],
+                               "k int, ids array<int>")
     small = lookup_names(df, "ids", dim(spark), "id", "name", "names")
     large = lookup_names(df, "ids", dim(spark), "id", "name", "names", row_key=["k"], max_map_entries=0)
     a = {r.k: r.names for r in small.collect()}
     b = {r.k: r.names for r in large.collect()}
-    assert a == b == {1: ["Action", "Unknown_5", "Action", "Unknown_None"], 2: [], 3: None, 4: ["Drama"]}
+    assert a == b == {1: ["Action", "Unknown_5", "Action", "Unknown_None"], 2: [], 3: None, 4: ["Drama"],
+                      None: ["Adventure", "Action"]}
+    assert large.columns == df.columns + ["names"]
 
 
 def test_lookup_name_scalar(spark):
