@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from marquee.operators.clean import explode_categories, keep_nonempty, profile, project_typed, silver_from_stored
+from marquee.operators.clean import keep_nonempty, profile, project_typed, silver_from_stored
 from marquee.operators.messages import decode_messages, encode_messages
 from marquee.schemas import MESSAGE, MESSAGE_FIELDS, SILVER_FIELDS
 

@@ -4,7 +4,6 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee.operators.analytics import avg_by_group
