@@ -24,6 +24,7 @@ def batch_preview(df: DataFrame, order_by: Sequence[str], title: str = "title",
     total = df.agg(F.count(F.lit(1))).scalar()
     first = df.orderBy(*order_by).limit(n)
     return first.select(
+        # an unpartitioned window, but over the n rows left by the ordered limit only
         F.row_number().over(Window.orderBy(*order_by)).alias("idx"),
         pad_right(prefix(F.coalesce(F.col(title), F.lit("")), title_width), title_width).alias("title_line"),
         join_first(F.col(genres), n_genres).alias("genres_line"),
