@@ -81,7 +81,7 @@ def etl(spark: SparkSession, a):
     schema = STORED if a.source_format == "json" else None  # JSON needs no inference pass
     stored = read_table(spark, a.source_format, path=a.source_path, options=_options(a.option), schema=schema)
     stored = stored.drop("batch_id") if "batch_id" in stored.columns else stored
-    rep = run_etl(spark, stored, a.out)
+    rep = run_etl(spark, stored, a.out, fmt=a.silver_format)
     if not a.quiet:
         print(f"documents read: {rep.rows_in:,}; valid: {rep.rows_valid:,}; silver rows: {rep.rows_silver:,}")
         print(f"unique items: {rep.distinct_ids:,}; unique genres: {rep.distinct_genres}")
@@ -91,7 +91,8 @@ def etl(spark: SparkSession, a):
 
 
 def analytics(spark: SparkSession, a) -> dict:
-    paths = run_analytics(spark, a.silver, a.out, lenient=a.lenient, min_count=a.min_count, k=a.k)
+    paths = run_analytics(spark, a.silver, a.out, lenient=a.lenient, min_count=a.min_count, k=a.k,
+                          fmt=a.silver_format)
     if not a.quiet:
         for name, p in paths.items():
             print(name, p)
@@ -131,13 +132,15 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--source-path")
     p.add_argument("--option", action="append")
     p.add_argument("--out", required=True)
+    p.add_argument("--silver-format", default="json", help="json (JSONL, default) or a columnar format")
     p.add_argument("--quiet", action="store_true")
     p.set_defaults(run=etl)
 
     p = sub.add_parser("analytics", help="silver JSONL -> three TSV results")
     p.add_argument("--silver", required=True)
     p.add_argument("--out", required=True)
-    p.add_argument("--lenient", action="store_true", help="accept numbers written as text")
+    p.add_argument("--lenient", action="store_true", help="accept numbers written as text (JSONL silver)")
+    p.add_argument("--silver-format", default="json")
     p.add_argument("--min-count", type=int, default=50)
     p.add_argument("--k", type=int, default=10)
     p.add_argument("--quiet", action="store_true")

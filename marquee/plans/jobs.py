@@ -23,6 +23,7 @@ from marquee.operators.clean import clamp_values, explode_categories, keep_nonem
 from marquee.operators.preview import preview_rows
 from marquee.session import checkpoint_root
 from marquee.sinks.writers import write_jsonl, write_small_result
+from marquee.schemas import SILVER
 from marquee.sources.readers import read_silver
 
 # Columns of the silver preview printed by the ETL.
@@ -49,14 +50,30 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def run_etl(spark: SparkSession, stored: DataFrame, out_path: str, preview_n: int = 5) -> EtlReport:
-    """Stored documents → cleaned → one row per (item, genre) → JSONL at ``out_path``
-    (overwrite; NULL fields omitted), with counts and a deterministic preview."""
+def write_silver(silver: DataFrame, path: str, fmt: str = "json") -> None:
+    """JSONL (the pipeline's contract: NULL fields omitted) or a columnar copy (``parquet``),
+    which lets each analytic read only its columns at volume."""
+    if fmt == "json":
+        write_jsonl(silver, path)
+    else:
+        silver.write.mode("overwrite").format(fmt).save(path)
+
+
+def load_silver(spark: SparkSession, path: str, fmt: str = "json", lenient: bool = False) -> DataFrame:
+    if fmt == "json":
+        return read_silver(spark, path, lenient=lenient)
+    return spark.read.schema(SILVER).format(fmt).load(path)
+
+
+def run_etl(spark: SparkSession, stored: DataFrame, out_path: str, preview_n: int = 5,
+            fmt: str = "json") -> EtlReport:
+    """Stored documents → cleaned → one row per (item, genre) → silver at ``out_path``
+    (overwrite; JSONL by default), with counts and a deterministic preview."""
     docs, o_in = _observed(stored, "etl_rows_in")
     clean, o_valid = _observed(keep_nonempty(clamp_values(project_typed(docs))), "etl_rows_valid")
     silver, o_silver = _observed(explode_categories(clean), "etl_rows_silver")
-    write_jsonl(silver, out_path)
-    written = read_silver(spark, out_path)
+    write_silver(silver, out_path, fmt)
+    written = load_silver(spark, out_path, fmt)
     distinct = written.agg(count_distinct_with_null("movie_id").alias("ids"),
                            count_distinct_with_null("genre").alias("genres"))
     first_rows = preview_rows(written, list(PREVIEW_COLS), ["movie_id", "genre"], preview_n)
@@ -85,10 +102,10 @@ RESULT_LAYOUTS = {"avg_rating_by_genre": AVG_TSV, "top10_by_year": TOP_TSV, "rat
 
 
 def run_analytics(spark: SparkSession, silver_path: str, out_root: str, lenient: bool = False,
-                  min_count: int = 50, k: int = 10) -> dict[str, str]:
-    """The three analytics over the silver JSONL, each written as one ordered TSV file
+                  min_count: int = 50, k: int = 10, fmt: str = "json") -> dict[str, str]:
+    """The three analytics over the silver table, each written as one ordered TSV file
     (after a size check) under ``out_root``; returns result name → folder."""
-    silver = read_silver(spark, silver_path, lenient=lenient)
+    silver = load_silver(spark, silver_path, fmt, lenient=lenient)
     results = {
         "avg_rating_by_genre": avg_by_group(silver, "genre", "rating", min_count=min_count, exact_scale=1),
         "top10_by_year": topk_by_group(silver, k=k),

@@ -63,3 +63,17 @@ def test_analytics_job_writes_one_ordered_file_per_result(spark):
     hist = read_result(spark, paths["rating_buckets"], "rating_buckets").collect()
     assert [r.bucket for r in hist] == ["0-2", "2-4", "4-6", "6-8", "8-10"]
     assert sum(r.n for r in hist) == 70
+
+
+def test_columnar_silver_gives_the_same_results(spark):
+    docs = [{"id": i, "title": f"t{i}", "year": 2000 + i % 3, "rating": 0.5 + (i % 19) / 2, "votes": 7 + i,
+             "genres": ["g0", "g1"] if i % 4 else ["g0", None], "fetched_at": "2024-01-01 00:00:00"}
+            for i in range(120)]
+    st = stored_df(spark, docs)
+    rj = run_etl(spark, st, os.path.join(fresh("etl-j"), "silver"))
+    rp = run_etl(spark, st, os.path.join(fresh("etl-p"), "silver"), fmt="parquet")
+    assert rj.counts() == rp.counts() and rj.preview == rp.preview
+    pj = run_analytics(spark, rj.path, fresh("res-j"))
+    pp = run_analytics(spark, rp.path, fresh("res-p"), fmt="parquet")
+    for name in pj:
+        assert read_result(spark, pj[name], name).collect() == read_result(spark, pp[name], name).collect(), name
