@@ -2,6 +2,13 @@ import os
 import sys
 
 import pytest
+from hypothesis import settings
+
+# Property tests draw the same examples on every run (set HYPOTHESIS_PROFILE=explore for
+# fresh random draws while developing).
+settings.register_profile("repeatable", derandomize=True, database=None)
+settings.register_profile("explore")
+settings.load_profile(os.environ.get("HYPOTHESIS_PROFILE", "repeatable"))
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
