@@ -81,7 +81,8 @@ def etl(spark: SparkSession, a):
     schema = STORED if a.source_format == "json" else None  # JSON needs no inference pass
     stored = read_table(spark, a.source_format, path=a.source_path, options=_options(a.option), schema=schema)
     stored = stored.drop("batch_id") if "batch_id" in stored.columns else stored
-    rep = run_etl(spark, stored, a.out, fmt=a.silver_format)
+    rep = run_etl(spark, stored, a.out, fmt=a.silver_format,
+                  preview_order=("movie_id", "genre") if a.ordered_preview else None)
     if not a.quiet:
         print(f"documents read: {rep.rows_in:,}; valid: {rep.rows_valid:,}; silver rows: {rep.rows_silver:,}")
         print(f"unique items: {rep.distinct_ids:,}; unique genres: {rep.distinct_genres}")
@@ -133,6 +134,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--option", action="append")
     p.add_argument("--out", required=True)
     p.add_argument("--silver-format", default="json", help="json (JSONL, default) or a columnar format")
+    p.add_argument("--ordered-preview", action="store_true",
+                   help="preview the first rows by id (a full scan) instead of any 5 rows")
     p.add_argument("--quiet", action="store_true")
     p.set_defaults(run=etl)
 

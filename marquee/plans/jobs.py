@@ -10,6 +10,7 @@ cleaned.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -66,9 +67,11 @@ def load_silver(spark: SparkSession, path: str, fmt: str = "json", lenient: bool
 
 
 def run_etl(spark: SparkSession, stored: DataFrame, out_path: str, preview_n: int = 5,
-            fmt: str = "json") -> EtlReport:
+            fmt: str = "json", preview_order: Sequence[str] | None = ("movie_id", "genre")) -> EtlReport:
     """Stored documents → cleaned → one row per (item, genre) → silver at ``out_path``
-    (overwrite; JSONL by default), with counts and a deterministic preview."""
+    (overwrite; JSONL by default), with counts and a preview: the first rows by
+    ``preview_order`` (a full scan of the silver), or with ``None`` any ``preview_n`` rows,
+    which reads only as much of the silver as the limit needs."""
     docs, o_in = _observed(stored, "etl_rows_in")
     clean, o_valid = _observed(keep_nonempty(clamp_values(project_typed(docs))), "etl_rows_valid")
     silver, o_silver = _observed(explode_categories(clean), "etl_rows_silver")
@@ -76,7 +79,8 @@ def run_etl(spark: SparkSession, stored: DataFrame, out_path: str, preview_n: in
     written = load_silver(spark, out_path, fmt)
     distinct = written.agg(count_distinct_with_null("movie_id").alias("ids"),
                            count_distinct_with_null("genre").alias("genres"))
-    first_rows = preview_rows(written, list(PREVIEW_COLS), ["movie_id", "genre"], preview_n)
+    first_rows = (preview_rows(written, list(PREVIEW_COLS), list(preview_order), preview_n) if preview_order
+                  else written.select(*PREVIEW_COLS).limit(preview_n))
     with ThreadPoolExecutor(max_workers=2) as pool:  # two independent reads of the silver
         d_f, p_f = pool.submit(distinct.first), pool.submit(first_rows.collect)
         d, preview = d_f.result(), p_f.result()

@@ -38,6 +38,14 @@ def test_etl_counts_match_profile_and_preview_is_ordered(spark):
     assert [(d.get("genre"), d["year"], d["rating"], d["votes"]) for d in e] == [(None, 0, 0.0, 0), ("z", 0, 0.0, 0)]
 
 
+def test_etl_unordered_preview_reads_any_rows(spark):
+    docs = [{"id": i, "title": f"t{i}", "genres": ["x"]} for i in range(20)]
+    rep = run_etl(spark, stored_df(spark, docs), os.path.join(fresh("etl-u"), "silver"), preview_n=5,
+                  preview_order=None)
+    assert len(rep.preview) == 5 and {p["genre"] for p in rep.preview} == {"x"}
+    assert rep.rows_silver == 20
+
+
 def test_etl_on_empty_store(spark):
     st = stored_df(spark, [{"id": 1}]).limit(0)
     rep = run_etl(spark, st, os.path.join(fresh("etl-empty"), "silver"))
