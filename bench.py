@@ -55,17 +55,29 @@ def main() -> None:
     only = os.environ.get("BENCH_QUERIES")
     names = only.split(",") if only else HEADLINE
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
+    errors = {}
     for n in names:  # warm-up: JIT, file listing caches
-        run_once(spark, n, root)
-    times = {n: [] for n in names}
+        try:
+            run_once(spark, n, root)
+        except Exception as e:  # a failing query is reported, not allowed to hide the others
+            errors[n] = f"{type(e).__name__}: {str(e)[:300]}"
+    ok = [n for n in names if n not in errors]
+    times = {n: [] for n in ok}
     for _ in range(repeat):
-        for n in names:
+        for n in ok:
             times[n].append(run_once(spark, n, root))
     med = {n: round(statistics.median(v), 3) for n, v in times.items()}
+    try:
+        rate = stream_rate(spark, root, repeat)
+    except Exception as e:
+        rate, errors["stream_rows_per_sec"] = None, f"{type(e).__name__}: {str(e)[:300]}"
     m = re.search(r"sf([0-9.]+)", root)
-    print(json.dumps({"metric": "total_median_query_seconds", "value": round(sum(med.values()), 3),
-                      "unit": "sec", "queries": med, "sf": float(m.group(1)) if m else root,
-                      "cpus": cpus, "repeat": repeat, "stream_rows_per_sec": stream_rate(spark, root, repeat)}))
+    out = {"metric": "total_median_query_seconds", "value": round(sum(med.values()), 3), "unit": "sec",
+           "queries": {n: med.get(n) for n in names}, "sf": float(m.group(1)) if m else root,
+           "cpus": cpus, "repeat": repeat, "stream_rows_per_sec": rate}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
