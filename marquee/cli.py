@@ -30,6 +30,10 @@ from marquee.streaming.ingest import (batch_sink, dedup_stream, message_stream,
 
 VALUE = StructType([StructField("value", StringType())])
 
+# Broker-source behaviour of the original stream (start at the latest offsets,
+# keep going when offsets were lost); any --option overrides them.
+BROKER_DEFAULTS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
+
 
 def _options(pairs) -> dict:
     out = {}
@@ -63,7 +67,8 @@ def _print_preview(batch_id: int, lines: list) -> None:
 
 def ingest(spark: SparkSession, a):
     schema = VALUE if a.format in FILE_FORMATS else None
-    src = read_stream(spark, a.format, options=_options(a.option), path=a.path, schema=schema)
+    options = {**(BROKER_DEFAULTS if a.format == "kafka" else {}), **_options(a.option)}
+    src = read_stream(spark, a.format, options=options, path=a.path, schema=schema)
     rows = message_stream(src, metrics="ingest")
     if a.dedup_delay:
         rows = dedup_stream(rows, key="id", event_time="fetched_at", delay=a.dedup_delay)
