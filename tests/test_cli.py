@@ -61,3 +61,20 @@ def test_pipeline_stages_end_to_end(spark, capsys):
     assert top[0].title == "Film 56" and top[0].votes == 66
     hist = read_result(spark, paths["rating_buckets"], "rating_buckets").collect()
     assert sum(r.n for r in hist) == 80
+
+
+def test_ingest_broker_defaults_can_be_overridden(spark, monkeypatch):
+    import pytest
+
+    import marquee.cli as cli
+    seen = {}
+
+    def capture(spark, fmt, options=None, path=None, schema=None):
+        seen.update(fmt=fmt, **options)
+        raise RuntimeError("stop before the connector")
+
+    monkeypatch.setattr(cli, "read_stream", capture)
+    with pytest.raises(RuntimeError):
+        main(["ingest", "--format", "kafka", "--option", "subscribe=movies", "--option", "startingOffsets=earliest",
+              "--checkpoint", os.path.join(fresh("ck"), "ck")], spark)
+    assert seen == {"fmt": "kafka", "subscribe": "movies", "startingOffsets": "earliest", "failOnDataLoss": "false"}
