@@ -145,3 +145,20 @@ def test_stream_dead_letter_and_observed_metrics(spark):
     assert d.count() == 3 and d.filter("id IS NOT NULL").count() == 0
     assert sorted(r.title for r in d.filter("title IS NOT NULL").collect()) == ["no id"]
     assert observed_totals(q, "ingest") == {"rows": 5, "malformed": 3}
+
+
+def test_stream_dedup_across_batches_and_beyond_the_watermark(spark):
+    from marquee.operators.dedup import dedup_first
+    base = fresh("dedup2")
+    src, out, ckpt = (os.path.join(base, p) for p in ("in", "out", "ckpt"))
+    os.makedirs(src)
+    land(src, "a.json", [msg(1, fetched="2024-01-01 00:00:00"), msg(3, fetched="2024-01-01 05:00:00")])
+    run_available(spark, src, out, ckpt, dedup=True)   # watermark now 04:00; the state of id 1 has expired
+    land(src, "b.json", [msg(1, "again", fetched="2024-01-01 04:30:00"),      # beyond the watermark: passes
+                         msg(3, "again", fetched="2024-01-01 05:10:00")])     # id 3 still in state: dropped
+    run_available(spark, src, out, ckpt, dedup=True)
+    stored = spark.read.parquet(out)
+    assert sorted((r.id, r.title) for r in stored.collect()) == [(1, "again"), (1, "t"), (3, "t")]
+    first = dedup_first(stored.drop("processed_at", "batch_id"), ["id"], ["fetched_at"])
+    assert sorted((r.id, r.fetched_at) for r in first.collect()) == [(1, "2024-01-01 00:00:00"),
+                                                                    (3, "2024-01-01 05:00:00")]
