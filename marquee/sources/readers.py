@@ -42,11 +42,11 @@ def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None
 # Tables that carry the per-row work of a query (facts and long texts), with the key they
 # are spread by: the unique id, except line items, which go by order so that the per-order
 # steps downstream (first line of an order, order join) find them co-located and add no
-# shuffle.  Dimensions are left as scanned, since they are joined by key or broadcast.
+# shuffle.  Dimensions (``part`` included: its per-row work is a split of a short name)
+# are left as scanned, since they are joined by key or broadcast.
 WIDE_TABLES = {
     "lineitem": ("l_orderkey",),
     "orders": ("o_orderkey",),
-    "part": ("p_partkey",),
     "events": ("event_id",),
     "documents": ("doc_id",),
     "pages": ("page_id",),
