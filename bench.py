@@ -65,8 +65,13 @@ def main() -> None:
     times = {n: [] for n in ok}
     for _ in range(repeat):
         for n in ok:
-            times[n].append(run_once(spark, n, root))
-    med = {n: round(statistics.median(v), 3) for n, v in times.items()}
+            if n in errors:
+                continue
+            try:
+                times[n].append(run_once(spark, n, root))
+            except Exception as e:
+                errors[n] = f"{type(e).__name__}: {str(e)[:300]}"
+    med = {n: round(statistics.median(v), 3) for n, v in times.items() if n not in errors}
     try:
         rate = stream_rate(spark, root, repeat)
     except Exception as e:
