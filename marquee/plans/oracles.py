@@ -231,6 +231,8 @@ SELECT r.id AS page, 0 AS pos, r.id, r.title,
 FROM raw r LEFT JOIN dim d1 ON d1.id = r.genre_ids[1] LEFT JOIN dim d2 ON d2.id = r.genre_ids[2]""",
     "etl_job": PROFILE_SQL,
     "analytics_job": ANALYTICS_SQL,
+    "analytics_job_columnar": ANALYTICS_SQL,
+    "silver_lenient_avg": f"WITH {CHAIN} {_avg_sql('silver')}",
     "stream_append": """
 SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events""",
     "stream_dedup": """

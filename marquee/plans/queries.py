@@ -23,8 +23,9 @@ from marquee.plans import catalogue
 from marquee.plans.jobs import etl_report_frame, run_analytics, run_etl
 from marquee.plans.standins import nation_names, order_lines, part_ratings, raw_catalogue, shipments
 from marquee.session import work_path
-from marquee.sinks.writers import write_small_result
-from marquee.sources.readers import genre_dim_from_doc, read_genre_doc, read_pages, records_from_pages, table
+from marquee.sinks.writers import write_jsonl, write_small_result
+from marquee.sources.readers import (genre_dim_from_doc, read_genre_doc, read_pages, read_silver,
+                                     records_from_pages, table)
 from marquee.streaming.ingest import (BatchCounter, batch_sink, dedup_stream, message_stream, observed_totals,
                                       read_stream, start_ingest)
 
@@ -230,11 +231,11 @@ def q_etl_job(spark: SparkSession, root: str) -> DataFrame:
     return etl_report_frame(spark, report)
 
 
-def q_analytics_job(spark: SparkSession, root: str) -> DataFrame:
+def q_analytics_job(spark: SparkSession, root: str, fmt: str = "json") -> DataFrame:
     """ETL, then the three analytics over the written silver; every line of the three TSV
     result files read back as text."""
-    report = run_etl(spark, catalogue.stored(spark, root), work_path(spark, "silver-etl"))
-    paths = run_analytics(spark, report.path, work_path(spark, "results"))
+    report = run_etl(spark, catalogue.stored(spark, root), work_path(spark, "silver-etl"), fmt=fmt)
+    paths = run_analytics(spark, report.path, work_path(spark, "results"), fmt=fmt)
     frames = [spark.read.text(p).select(F.lit(name).alias("result"), F.col("value").alias("line"))
               for name, p in paths.items()]
     out = frames[0]
@@ -243,6 +244,22 @@ def q_analytics_job(spark: SparkSession, root: str) -> DataFrame:
     return out
 
 
+def q_analytics_job_columnar(spark: SparkSession, root: str) -> DataFrame:
+    """The same jobs with a columnar (Parquet) silver instead of JSONL."""
+    return q_analytics_job(spark, root, fmt="parquet")
+
+
+def q_silver_lenient_avg(spark: SparkSession, root: str) -> DataFrame:
+    """Silver written with every number as JSON text (``"rating": "7.5"``), read back with
+    the lenient reader, then the average per genre."""
+    rows = catalogue.silver(spark, root, materialize=False)
+    numeric = [f.name for f in rows.schema.fields if f.dataType.simpleString() in ("int", "double")]
+    as_text = rows.withColumns({c: F.col(c).cast("string") for c in numeric})
+    path = work_path(spark, "silver-text")
+    write_jsonl(as_text, path)
+    return catalogue.avg_rating_by_genre(read_silver(spark, path, lenient=True))
+
+
 # --- streaming --------------------------------------------------------------------------
 
 EVENT_MSG_SCHEMA = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
@@ -362,6 +379,8 @@ QUERIES = {
     "catalog_pages": q_catalog_pages,
     "etl_job": q_etl_job,
     "analytics_job": q_analytics_job,
+    "analytics_job_columnar": q_analytics_job_columnar,
+    "silver_lenient_avg": q_silver_lenient_avg,
     "stream_append": q_stream_append,
     "stream_dedup": q_stream_dedup,
     "stream_quarantine": q_stream_quarantine,
