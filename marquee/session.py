@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -34,9 +35,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder of our own is
-    created and registered, so ``DataFrame.checkpoint()`` and written tables land in
-    the same place.
+    Read from the session.  Only in a single-process ``local[...]`` session that leaves it
+    unset (tests) a folder of our own is created and registered, so ``DataFrame.checkpoint()``
+    and written tables land in the same place; on any other master a machine-local folder
+    would scatter the files over the nodes, so an unset folder is an error there.
     """
     try:
         sc = spark.sparkContext
@@ -52,6 +54,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {sc.master}")
     local = tempfile.mkdtemp(prefix="marquee-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
