@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
-from marquee.llm.common import read
+from pyspark.sql import functions as F
+
+from marquee.llm import qualityrules
+from marquee.llm.common import read, written
+from marquee.llm.htmltext import extract_main_text
 from marquee.llm.oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 from marquee.llm.urlfilter import judge_urls
 
 
+def op1_main_text(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
+    return extract_main_text(pages, "html", keep=["page_id", "url"])
+
+
+def op5_quality_rules(spark, sf_dir):
+    # the statistics are narrow: written once, then read to fit and to judge
+    stats = written(qualityrules.with_stats(read(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"]), "op5-stats")
+    model = qualityrules.fit_votes(qualityrules.vote_counts(stats))
+    return qualityrules.judge(stats, model).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("p_good", 6).alias("p_good"))
+
+
 def op9_url_filter(spark, sf_dir):
     return judge_urls(read(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES = {
+    "op1_main_text": op1_main_text,
+    "op5_quality_rules": op5_quality_rules,
     "op9_url_filter": op9_url_filter,
 }
