@@ -37,7 +37,7 @@ RULES = (
     # one kind of defect each: they vote bad or abstain
     VoteRule("symbols", "10 * n_symbols > n_words", NEVER),
     VoteRule("repeated_windows", "10 * n_repeat_words > 3 * n_words", NEVER),
-    VoteRule("repeated_lines", "10 * n_dup_lines > 3 * n_lines and n_lines > 3", NEVER),
+    VoteRule("repeated_lines", "10 * n_dup_lines > 4 * n_lines and n_lines > 3", NEVER),
     VoteRule("word_twice", "10 * n_twice > n_words", NEVER),
     VoteRule("vocabulary", "10 * n_distinct < 3 * n_words and n_words between 50 and 5000", NEVER),
     VoteRule("capitals", "5 * n_upper > word_chars", NEVER),
@@ -113,6 +113,7 @@ def fit_votes(counts: Sequence[tuple[tuple[int, ...], int]], rules: Sequence[Vot
     uninformative rates.
     """
     k, n = len(rules), sum(c for _, c in counts)
+    cast = [{0} | {votes[i] for votes, _ in counts} for i in range(k)]  # kinds of votes that occur
     post = [0.05 if -1 in votes else 0.95 if 1 in votes else 0.5 for votes, _ in counts]
     prior, rates = 0.5, tuple({y: dict.fromkeys(VOTES, 1 / 3) for y in (1, 0)} for _ in range(k))
     for _ in range(rounds):
@@ -123,9 +124,11 @@ def fit_votes(counts: Sequence[tuple[tuple[int, ...], int]], rules: Sequence[Vot
         for i in range(k):
             table = {}
             for y in (1, 0):
-                seen = {v: smooth + sum(w for w, (votes, _) in zip(weight[y], counts, strict=True) if votes[i] == v) for v in VOTES}
-                table[y] = {v: seen[v] / sum(seen.values()) for v in VOTES}
-            if table[1][-1] > table[0][-1] or table[0][1] > table[1][1]:  # worse than chance: counted as uninformative
+                seen = {v: smooth + sum(w for w, (votes, _) in zip(weight[y], counts, strict=True) if votes[i] == v)
+                        if v in cast[i] else 1e-9 for v in VOTES}
+                table[y] = {v: seen[v] / sum(seen.values()) if v in cast[i] else 1e-9 for v in VOTES}
+            if any(table[0][v] > table[1][v] if v == 1 else table[1][v] > table[0][v] for v in cast[i] if v):
+                # worse than chance: counted as uninformative
                 same = {v: (table[0][v] + table[1][v]) / 2 for v in VOTES}
                 table = {1: same, 0: dict(same)}
             new.append(table)

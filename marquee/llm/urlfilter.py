@@ -55,9 +55,9 @@ HOST_RULES = (
     Rule("block", "example.com/de/"),
     Rule("allow", "org/fr/"),
 )
-# Pattern rules for pages that hold no usable article: adult hosts, adverts, accounts, shops, listings, files.
+# Pattern rules for pages that hold no usable article: adult, betting and spam hosts, adverts, accounts, shops, listings, files.
 PATTERN_RULES = tuple(Rule("block", t, "pattern") for t in (
-    ".adult-", "|adult-", ".adult.", ".casino.", ".porn.", "|ads.", "|adserver.", "|tracker.", "/adserver/", "/doubleclick/", "/banners/", "/popup/",
+    ".adult-", "|adult-", ".adult.", ".porn.", ".casino.", ".casino-", "|casino-", "-casino.", "-bets.", ".bets.", "-pills.", ".pills.", "-farm.", ".spam-", "|spam-", ".ads-", "|ads-", "|ads.", "|adserver.", "|tracker.", "/adserver/", "/doubleclick/", "/banners/", "/popup/",
     "/login^", "/signin^", "/signup^", "/register^", "/logout^", "/account/", "/wp-login.",
     "/cart^", "/checkout^", "/basket^", "/wishlist^", "/search?", "/tag/", "/tags/", "/feed^",
     "/print^", "?sessionid=", "&sessionid=", ".jpg^", ".jpeg^", ".png^", ".gif^", ".pdf^", ".zip^", ".exe^", ".mp4^",
