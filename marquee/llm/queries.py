@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee.llm import qualityrules
+from marquee.llm.bytebpe import encode_and_decode
 from marquee.llm.common import read, written
 from marquee.llm.htmltext import extract_main_text
 from marquee.llm.oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
@@ -25,6 +26,17 @@ def op5_quality_rules(spark, sf_dir):
         F.round("p_good", 6).alias("p_good"))
 
 
+def vocabulary() -> tuple[str, str]:
+    """Rank file and pattern of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op7_byte_bpe(spark, sf_dir):
+    return encode_and_decode(read(spark, sf_dir, "documents", "doc_id", "text"), *vocabulary(), keep=["doc_id"])
+
+
 def op9_url_filter(spark, sf_dir):
     return judge_urls(read(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -32,5 +44,6 @@ def op9_url_filter(spark, sf_dir):
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op5_quality_rules": op5_quality_rules,
+    "op7_byte_bpe": op7_byte_bpe,
     "op9_url_filter": op9_url_filter,
 }
