@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from marquee.llm import qualityrules
 from marquee.llm.bytebpe import encode_and_decode
 from marquee.llm.common import read, written
+from marquee.llm.decontam import find_leaks
+from marquee.llm.hyperminhash import near_duplicates
 from marquee.llm.htmltext import extract_main_text
 from marquee.llm.oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 from marquee.llm.urlfilter import judge_urls
@@ -17,6 +19,10 @@ def op1_main_text(spark, sf_dir):
     return extract_main_text(pages, "html", keep=["page_id", "url"])
 
 
+def op2_near_duplicates(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_quality_rules(spark, sf_dir):
     # the statistics are narrow: written once, then read to fit and to judge
     stats = written(qualityrules.with_stats(read(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"]), "op5-stats")
@@ -37,13 +43,21 @@ def op7_byte_bpe(spark, sf_dir):
     return encode_and_decode(read(spark, sf_dir, "documents", "doc_id", "text"), *vocabulary(), keep=["doc_id"])
 
 
+def op8_decontamination(spark, sf_dir):
+    found = find_leaks(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", F.size("leak_items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("leak_items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_url_filter(spark, sf_dir):
     return judge_urls(read(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES = {
     "op1_main_text": op1_main_text,
+    "op2_near_duplicates": op2_near_duplicates,
     "op5_quality_rules": op5_quality_rules,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
 }
