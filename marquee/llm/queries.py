@@ -11,6 +11,7 @@ from marquee.llm.decontam import find_leaks
 from marquee.llm.hyperminhash import near_duplicates
 from marquee.llm.htmltext import extract_main_text
 from marquee.llm.oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
+from marquee.llm.ruleclassifier import classify
 from marquee.llm.urlfilter import judge_urls
 
 
@@ -53,6 +54,11 @@ def op9_url_filter(spark, sf_dir):
     return judge_urls(read(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_quality_classifier(spark, sf_dir):
+    stats = written(qualityrules.with_stats(read(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"]), "op10-stats")
+    return classify(stats, read(spark, sf_dir, "labels", "doc_id", "quality")).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_near_duplicates": op2_near_duplicates,
@@ -60,4 +66,5 @@ QUERIES = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
+    "op10_quality_classifier": op10_quality_classifier,
 }
