@@ -24,30 +24,31 @@ from marquee.llm.common import add_columns
 # Pieces of more bytes than this are contracted by a priority queue under the same rule: the
 # rows of the recursive query grow with the square of a piece's length.
 LONG_PIECE = 512
-# Cached pieces per task before the cache starts anew (bounds a task's memory, not the data).
-CACHE = 500_000
+# Cached chunks or pieces per worker before a cache starts anew (bounds memory, not the data).
+CACHE = 800_000
 
-# A row holds its token and its right neighbour; b is the pair that a word contracts, with
-# what lies to the right of it.  Positions stay below 4096 (LONG_PIECE).
+# Positions count through a query, 4096 to a word (g >> 12 is the word).  A row holds its
+# token and its right neighbour; b is the pair that a word contracts, with what lies to the
+# right of it.  A word without such a pair is sent on once more, marked as done.
 CONTRACT = """
-with recursive step(i, w, pos, tok, nxt, npos) as (
-  select 0, w, pos, tok, lead(tok) over word, lead(pos) over word from start window word as (partition by w order by pos)
+with recursive step(done, g, tok, nxt, ng) as (
+  select false, g, tok, case when lead(g) over word >> 12 = g >> 12 then lead(tok) over word end,
+         case when lead(g) over word >> 12 = g >> 12 then lead(g) over word end
+  from start window word as (order by g)
   union all
-  select s.i + 1, s.w, s.pos,
-         case when s.pos = b.pos then b.merged else s.tok end,
-         case when s.pos = b.pos then b.nxt2 when s.npos = b.pos then b.merged else s.nxt end,
-         case when s.pos = b.pos then b.npos2 else s.npos end
-  from step s join (
-    select k.w, k.pos, k.merged, k.npos, t.nxt as nxt2, t.npos as npos2
-    from (select w, (least & 4095)::int as pos, (least >> 12)::int as merged, npos
-          from (select p.w, min(m.merged::bigint * 4096 + p.pos) as least, arg_min(p.npos, m.merged::bigint * 4096 + p.pos) as npos
-                from step p join merges m on m.a = p.tok and m.b = p.nxt group by p.w)) k
-    join step t on t.w = k.w and t.pos = k.npos) b on b.w = s.w
-  where s.pos <> b.npos),
-last as (select w, max(i) as i from step group by w)
-select w, string_agg(tok::varchar, ' ' order by pos) as ids, count(*) as n, string_agg(hex(t.bytes), '' order by pos) as decoded
-from step join last using (w, i) join tokens t on t.id = step.tok
-group by w
+  select b.w is null, s.g,
+         case when s.g = b.g then b.merged else s.tok end,
+         case when s.g = b.g then b.nxt2 when s.ng = b.g then b.merged else s.nxt end,
+         case when s.g = b.g then b.ng2 else s.ng end
+  from step s left join (
+    select k.w, k.w << 12 | (k.least & 4095) as g, (k.least >> 12)::int as merged, k.ng, t.nxt as nxt2, t.ng as ng2
+    from (select p.g >> 12 as w, min(m.merged::bigint * 4096 + (p.g & 4095)) as least,
+                 arg_min(p.ng, m.merged::bigint * 4096 + (p.g & 4095)) as ng
+          from step p join merges m on m.a = p.tok and m.b = p.nxt where not p.done group by p.g >> 12) k
+    join step t on t.g = k.ng) b on b.w = s.g >> 12
+  where not s.done and (b.w is null or s.g <> b.ng))
+select (g >> 12)::int as w, string_agg(tok::varchar, ' ') as ids, string_agg(digits, '') as decoded
+from (select g, tok, digits from step join tokens t on t.id = step.tok where done order by g) group by g >> 12
 """
 
 
@@ -67,37 +68,42 @@ class Encoder:
         merges = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t))
                   if t[:k] in ranks and t[k:] in ranks]
         self._table("merges", a=[m[0] for m in merges], b=[m[1] for m in merges], merged=[m[2] for m in merges])
-        self._table("tokens", id=list(self.tokens), bytes=list(self.tokens.values()))
+        self._table("tokens", id=list(self.tokens), digits=[t.hex() for t in self.tokens.values()])
         self.single = np.array([ranks[bytes([x])] for x in range(256)], dtype=np.int32)
-        self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.known: dict[str, tuple[str, bytes]] = {}
 
     def _table(self, name: str, **columns) -> None:
-        t = pa.table({k: pa.array(v, pa.int32()) if k != "bytes" else pa.array(v) for k, v in columns.items()})
+        types = {"g": pa.int64(), "digits": pa.string()}
+        t = pa.table({k: pa.array(v, types.get(k, pa.int32())) for k, v in columns.items()})
         # DuckDB finds t under its variable's name
         self.con.execute(f"create or replace temp table {name} as select * from t")
         del t
 
     def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces not known yet: ids as text, their number, and the decoded bytes."""
-        new = [p for p in pieces if p not in self.known]
+        """Encode the pieces not known yet: ids as text, and the bytes decoded from them."""
         rows = []
-        for p in new:
+        for p in pieces - self.known.keys():
             data = p.encode()
             whole = self.ranks.get(data)
             if whole is not None:  # a piece that is a token stays whole
-                self.known[p] = (str(whole), 1, self.tokens[whole])
+                self.known[p] = (str(whole), self.tokens[whole])
             elif len(data) > LONG_PIECE:
                 ids = self._by_queue(data)
-                self.known[p] = (" ".join(map(str, ids)), len(ids), b"".join(self.tokens[i] for i in ids))
+                self.known[p] = (" ".join(map(str, ids)), b"".join([self.tokens[i] for i in ids]))
             else:
                 rows.append((p, data))
-        for at in range(0, len(rows), 20_000):
-            part = rows[at:at + 20_000]
-            sizes = [len(d) for _, d in part]
-            self._table("start", w=np.repeat(np.arange(len(part)), sizes), pos=np.concatenate([np.arange(n) for n in sizes]),
-                        tok=self.single[np.frombuffer(b"".join(d for _, d in part), dtype=np.uint8)])
-            for w, ids, n, decoded in self.con.execute(CONTRACT).fetchall():
-                self.known[part[w][0]] = (ids, n, bytes.fromhex(decoded))
+        for at in range(0, len(rows), 40_000):
+            part = rows[at:at + 40_000]
+            sizes = np.array([len(d) for _, d in part])
+            starts = np.cumsum(sizes) - sizes
+            g = (np.repeat(np.arange(len(part)) * 4096 - starts, sizes) + np.arange(sizes.sum()))
+            self._table("start", g=g, tok=self.single[np.frombuffer(b"".join([d for _, d in part]), dtype=np.uint8)])
+            for w, ids, digits in self.con.execute(CONTRACT).fetchall():
+                piece, data = part[w]
+                decoded = bytes.fromhex(digits)
+                if decoded != data:  # ids and digits are aggregated in one order
+                    raise RuntimeError(f"a piece does not decode to itself: {piece!r}")
+                self.known[piece] = (ids, decoded)
 
     def _by_queue(self, data: bytes) -> list[int]:
         """Leftmost minimum-rank contraction of one long piece by a priority queue."""
@@ -138,13 +144,26 @@ def cut(text: str) -> list[str]:
     return out
 
 
+def grouped(texts: list[str], chars: int = 8_000_000):
+    """Consecutive texts in groups of about ``chars`` characters."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t)
+        if size >= chars:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def process_cache() -> dict:
     """One dictionary per Python worker process, shared by the tasks it runs in turn."""
     return sys.modules.setdefault("__marquee_llm_cache__", types.SimpleNamespace(values={})).values
 
 
 def make_encoder(data: bytes, pattern: str):
-    """``f(texts) -> (ids as text, number of ids, decoded bytes)`` for a rank file and pattern."""
+    """``f(texts) -> [(ids as text, number of ids, decoded bytes)]`` for a rank file and pattern."""
     import regex
 
     key = hashlib.sha256(data + pattern.encode()).hexdigest()
@@ -155,21 +174,12 @@ def make_encoder(data: bytes, pattern: str):
                                                                .replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")), {})
     encoder, splitter, chunks = cache[key]
 
-    def encode(text: str | None) -> tuple[str, int, bytes]:
-        if not text:
-            return "", 0, b""
-        parts = cut(text)
-        if new := {c for c in set(parts) if c not in chunks}:
-            if len(chunks) > CACHE or len(encoder.known) > CACHE:
-                chunks.clear()
-                encoder.known.clear()
-                new = set(parts)
-            remember(new)
-        got = list(map(chunks.__getitem__, parts))
-        return " ".join([g[0] for g in got if g[0]]), sum([g[1] for g in got]), b"".join([g[2] for g in got])
-
     def remember(new: set[str]) -> None:
         pieces = {c: splitter.findall(c) for c in new}
+        if len(chunks) + len(new) > CACHE:
+            chunks.clear()
+        if len(encoder.known) + len(new) > CACHE:
+            encoder.known.clear()
         encoder.learn({p for ps in pieces.values() for p in ps})
         known = encoder.known
         for c, ps in pieces.items():
@@ -177,23 +187,26 @@ def make_encoder(data: bytes, pattern: str):
                 chunks[c] = known[ps[0]]
             else:
                 got = [known[p] for p in ps]
-                chunks[c] = (" ".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got]))
+                chunks[c] = (" ".join([g[0] for g in got]), b"".join([g[1] for g in got]))
 
-    def batch(texts):
-        """The chunks of many texts are learnt together, so few queries run."""
-        waiting: set[str] = set()
-        for t in texts:
-            if t:
-                waiting.update(c for c in cut(t) if c not in chunks)
-                if len(waiting) > CACHE // 4:
-                    break
-        if waiting:
-            if len(chunks) + len(waiting) > CACHE:
-                chunks.clear()
-                encoder.known.clear()
-            remember(waiting)
+    def encode(texts: list[str]) -> list[tuple[str, int, bytes]]:
+        """The chunks of all texts are learnt together, so few queries run."""
+        parts = [cut(t) for t in texts]
+        new = set().union(*parts).difference(chunks, ("",))
+        if new:
+            remember(new)
+            if missing := set().union(*parts).difference(chunks, ("",)):  # the cache started anew
+                remember(missing)
+        out = []
+        for ps in parts:
+            if not ps[0]:
+                ps = ps[1:]
+            ids, back = zip(*map(chunks.__getitem__, ps), strict=True) if ps else ((), ())
+            joined = " ".join(ids)
+            out.append((joined, joined.count(" ") + 1 if joined else 0, b"".join(back)))
+        return out
 
-    return encode, batch
+    return encode
 
 
 def encode_and_decode(df: DataFrame, ranks: str, pattern: str, text: str = "text", keep=None, ids: bool = False) -> DataFrame:
@@ -211,14 +224,12 @@ def encode_and_decode(df: DataFrame, ranks: str, pattern: str, text: str = "text
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>, decoded string" if ids else "")
 
     def make():
-        encode, batch = make_encoder(shared.value, pattern)
+        encode = make_encoder(shared.value, pattern)
 
         def f(texts):
             out = []
-            for at in range(0, len(texts), 500):
-                batch(texts[at:at + 500])
-                for t in texts[at:at + 500]:
-                    s, n, back = encode(t)
+            for group in grouped([t or "" for t in texts]):
+                for s, n, back in encode(group):
                     row = [n, hashlib.sha256(s.encode()).hexdigest(), hashlib.sha256(back).hexdigest()]
                     out.append(row + ([[int(x) for x in s.split()], back.decode("utf-8", "replace")] if ids else []))
             return tuple(zip(*out, strict=True)) if out else ((),) * (5 if ids else 3)
