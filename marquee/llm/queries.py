@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from marquee.llm import qualityrules
 from marquee.llm.bytebpe import encode_and_decode
+from marquee.llm.chunkdedup import remove_repeats
 from marquee.llm.common import read, written
 from marquee.llm.decontam import find_leaks
 from marquee.llm.hyperminhash import near_duplicates
 from marquee.llm.htmltext import extract_main_text
 from marquee.llm.oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 from marquee.llm.ruleclassifier import classify
+from marquee.llm.surrogates import replace_entities
 from marquee.llm.urlfilter import judge_urls
 
 
@@ -24,6 +26,14 @@ def op2_near_duplicates(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+# The key of the surrogates: a parameter of the operator, fixed here so that results repeat.
+SURROGATE_KEY = "corpus"
+
+
+def op3_surrogates(spark, sf_dir):
+    return replace_entities(read(spark, sf_dir, "documents", "doc_id", "text"), SURROGATE_KEY)
+
+
 def op5_quality_rules(spark, sf_dir):
     # the statistics are narrow: written once, then read to fit and to judge
     stats = written(qualityrules.with_stats(read(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"]), "op5-stats")
@@ -33,6 +43,10 @@ def op5_quality_rules(spark, sf_dir):
         F.round("p_good", 6).alias("p_good"))
 
 
+def op6_chunk_dedup(spark, sf_dir):
+    return remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def vocabulary() -> tuple[str, str]:
     """Rank file and pattern of the public byte-level vocabulary."""
     import public_tokenizers
@@ -62,7 +76,9 @@ def op10_quality_classifier(spark, sf_dir):
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_surrogates": op3_surrogates,
     "op5_quality_rules": op5_quality_rules,
+    "op6_chunk_dedup": op6_chunk_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
