@@ -231,7 +231,7 @@ def encode_and_decode(df: DataFrame, ranks: str, pattern: str, text: str = "text
             for group in grouped([t or "" for t in texts]):
                 for s, n, back in encode(group):
                     row = [n, hashlib.sha256(s.encode()).hexdigest(), hashlib.sha256(back).hexdigest()]
-                    out.append(row + ([[int(x) for x in s.split()], back.decode("utf-8", "replace")] if ids else []))
+                    out.append(row + ([np.fromstring(s, dtype=np.int32, sep=" "), back.decode()] if ids else []))
             return tuple(zip(*out, strict=True)) if out else ((),) * (5 if ids else 3)
         return f
     return add_columns(df, [text], schema, make, keep)

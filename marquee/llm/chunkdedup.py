@@ -21,7 +21,7 @@ from marquee.llm.shingles import mixed
 WINDOW = 16  # bytes that decide a cut
 MASK_BITS = 5  # a cut every 2**5 bytes on average, beyond the least size
 LEAST, MOST = 16, 128  # bytes of a chunk
-MIN_RUN = 120  # bytes of consecutive repeated chunks that are removed
+MIN_RUN = 64  # bytes of consecutive repeated chunks that are removed
 
 GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from marquee.llm import qualityrules
 from marquee.llm.bytebpe import encode_and_decode
 from marquee.llm.chunkdedup import remove_repeats
-from marquee.llm.common import read, written
+from marquee.llm.common import read, vocabulary, written
 from marquee.llm.decontam import find_leaks
 from marquee.llm.hyperminhash import near_duplicates
 from marquee.llm.htmltext import extract_main_text
 from marquee.llm.oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 from marquee.llm.ruleclassifier import classify
+from marquee.llm.suffixdedup import remove_repeated
 from marquee.llm.surrogates import replace_entities
 from marquee.llm.urlfilter import judge_urls
 
@@ -26,12 +28,12 @@ def op2_near_duplicates(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-# The key of the surrogates: a parameter of the operator, fixed here so that results repeat.
-SURROGATE_KEY = "corpus"
+def op3_surrogates(spark, sf_dir):
+    return replace_entities(read(spark, sf_dir, "documents", "doc_id", "text"), corpus_pipeline.SURROGATE_KEY)
 
 
-def op3_surrogates(spark, sf_dir):
-    return replace_entities(read(spark, sf_dir, "documents", "doc_id", "text"), SURROGATE_KEY)
+def op4_suffix_dedup(spark, sf_dir):
+    return remove_repeated(read(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"], texts=False)
 
 
 def op5_quality_rules(spark, sf_dir):
@@ -47,13 +49,6 @@ def op6_chunk_dedup(spark, sf_dir):
     return remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-def vocabulary() -> tuple[str, str]:
-    """Rank file and pattern of the public byte-level vocabulary."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-
-
 def op7_byte_bpe(spark, sf_dir):
     return encode_and_decode(read(spark, sf_dir, "documents", "doc_id", "text"), *vocabulary(), keep=["doc_id"])
 
@@ -77,10 +72,12 @@ QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_surrogates": op3_surrogates,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_chunk_dedup": op6_chunk_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_quality_classifier": op10_quality_classifier,
+    "pipeline": corpus_pipeline.run,
 }
