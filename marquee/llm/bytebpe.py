@@ -176,8 +176,6 @@ def make_encoder(data: bytes, pattern: str):
 
     def remember(new: set[str]) -> None:
         pieces = {c: splitter.findall(c) for c in new}
-        if len(chunks) + len(new) > CACHE:
-            chunks.clear()
         if len(encoder.known) + len(new) > CACHE:
             encoder.known.clear()
         encoder.learn({p for ps in pieces.values() for p in ps})
@@ -192,11 +190,13 @@ def make_encoder(data: bytes, pattern: str):
     def encode(texts: list[str]) -> list[tuple[str, int, bytes]]:
         """The chunks of all texts are learnt together, so few queries run."""
         parts = [cut(t) for t in texts]
-        new = set().union(*parts).difference(chunks, ("",))
+        needed = set().union(*parts) - {""}
+        new = needed - chunks.keys()
+        if len(chunks) + len(new) > CACHE:  # the cache starts anew with what these texts need
+            chunks.clear()
+            new = needed
         if new:
             remember(new)
-            if missing := set().union(*parts).difference(chunks, ("",)):  # the cache started anew
-                remember(missing)
         out = []
         for ps in parts:
             if not ps[0]:
