@@ -25,8 +25,7 @@ from marquee.plans.jobs import run_analytics, run_etl
 from marquee.schemas import STORED
 from marquee.sinks.writers import FILE_FORMATS, write_topic
 from marquee.sources.readers import genre_dim_from_doc, read_genre_doc, read_pages, read_table, records_from_pages
-from marquee.streaming.ingest import (batch_sink, dedup_stream, message_stream, observed_totals, read_stream,
-                                      start_ingest)
+from marquee.streaming.ingest import BatchCounter, batch_sink, dedup_stream, message_stream, read_stream, start_ingest
 
 VALUE = StructType([StructField("value", StringType())])
 
@@ -69,16 +68,18 @@ def ingest(spark: SparkSession, a):
     schema = VALUE if a.format in FILE_FORMATS else None
     options = {**(BROKER_DEFAULTS if a.format == "kafka" else {}), **_options(a.option)}
     src = read_stream(spark, a.format, options=options, path=a.path, schema=schema)
-    rows = message_stream(src, metrics="ingest")
-    if a.dedup_delay:
-        rows = dedup_stream(rows, key="id", event_time="fetched_at", delay=a.dedup_delay)
+    rows = message_stream(src, metrics="ingest", raw="raw" if a.dead_letter else None)
+    if a.dedup:
+        rows = dedup_stream(rows, key="id")
+    counter = BatchCounter()
     sink = batch_sink(a.store, fmt=a.store_format, dead_letter=a.dead_letter, options=_options(a.store_option),
+                      counter=counter,
                       preview=None if a.quiet else _print_preview)
     q = start_ingest(rows, sink, checkpoint=a.checkpoint,
                      trigger={"availableNow": True} if a.available_now else None, query_name="marquee-ingest")
     q.awaitTermination()
     if not a.quiet:
-        print("observed:", json.dumps(observed_totals(q, "ingest")))
+        print("observed:", json.dumps(counter.totals))
     return q
 
 
@@ -128,7 +129,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--store-option", action="append")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--dead-letter")
-    p.add_argument("--dedup-delay", help="drop repeated ids within this event-time delay, e.g. '1 hour'")
+    p.add_argument("--dedup", action="store_true", help="store each id once, the first to arrive")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--quiet", action="store_true")
     p.set_defaults(run=ingest)

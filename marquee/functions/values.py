@@ -13,9 +13,16 @@ from marquee.functions._col import as_col
 def to_number(c, spark_type: str) -> Column:
     """Lenient cast: text or numbers to ``spark_type``; anything unparsable is NULL.
 
-    ANSI mode makes a plain ``cast`` raise on bad text, so ``try_cast`` is used.
+    ANSI mode makes a plain ``cast`` raise on bad text, so ``try_cast`` is used.  For integer
+    types the text of a decimal number gives its whole part (``2020.7`` is 2020), which
+    ``try_cast`` alone would refuse.
     """
-    return as_col(c).try_cast(spark_type)
+    c = as_col(c)
+    plain = c.try_cast(spark_type)
+    if spark_type not in ("tinyint", "smallint", "int", "long", "bigint"):
+        return plain
+    whole = F.regexp_extract(c.cast("string"), r"^\s*([+-]?\d+)\.\d*\s*$", 1)
+    return F.coalesce(plain, F.when(whole != "", whole).try_cast(spark_type))
 
 
 def clamp_range(c, lo, hi, zero) -> Column:

@@ -22,6 +22,14 @@ def _line_tail(c):
     return strip_text(F.regexp_extract(c, r"([^\n\r]*)\z", 1))
 
 
+def _without_bad(df: DataFrame, *fields: str) -> DataFrame:
+    """Rows without a value that did not convert in one of ``fields`` (the lenient reader
+    names them in ``bad_fields``)."""
+    if "bad_fields" not in df.columns:
+        return df
+    return df.filter(~F.arrays_overlap("bad_fields", F.array(*map(F.lit, fields))))
+
+
 def avg_by_group(df: DataFrame, key: str = "genre", value: str = "rating", min_count: int = 50,
                  decimals: int = 2, avg_name: str = "avg_rating", count_name: str = "n",
                  compat_delimiters: bool = False, ordered: bool = True,
@@ -41,7 +49,7 @@ def avg_by_group(df: DataFrame, key: str = "genre", value: str = "rating", min_c
     if compat_delimiters:
         k = _line_tail(k)
     v = F.col(value).cast("double")
-    rows = df.select(k.alias(key), v.alias(value))
+    rows = _without_bad(df, key, value).select(k.alias(key), v.alias(value))
     cond = (F.col(key) != "") & (F.col(value) > 0)
     if compat_delimiters:
         cond = cond & ~F.col(key).contains("\t")
@@ -86,7 +94,12 @@ def topk_by_group(df: DataFrame, id_col: str = "movie_id", group: str = "year",
     ``row_number() <= k`` lets Catalyst place a partial group limit before the shuffle,
     so at most ``k`` rows per group leave each task.
     """
-    base = dedup_first(df, [id_col], first_by) if dedup else df
+    # only what the result or the order needs is sorted and shuffled; rows that tie on all of
+    # it give the same line
+    need = dict.fromkeys([id_col, *first_by, title, group, score, rating, *(["bad_fields"] if "bad_fields" in df.columns else [])])
+    df = df.select(*[c for c in need if c in df.columns])
+    base = dedup_first(df, [id_col], [c for c in first_by if c in df.columns]) if dedup else df
+    base = _without_bad(base, title, group, score, rating)  # the first row counts as seen, bad or not
     t = strip_text(F.coalesce(F.col(title), F.lit("")))
     r = F.coalesce(F.col(rating).cast("double"), F.lit(0.0))
     base = base.select(F.col(id_col), F.col(group), F.col(score), t.alias(title), r.alias(rating))
@@ -113,8 +126,10 @@ def bucket_histogram(df: DataFrame, value: str = "rating", edges: Sequence[float
     if len(labels) != len(edges) + 1:
         raise ValueError("need one more label than edges")
     if id_col is not None:
-        df = dedup_first(df.select(id_col, value, *first_by), [id_col], first_by)
+        df = dedup_first(df.select(id_col, value, *first_by, *(["bad_fields"] if "bad_fields" in df.columns else [])),
+                         [id_col], first_by)
     v = F.col(value).cast("double")
+    df = _without_bad(df, value)
     b = df.select(bucket_index(v, edges).alias("__b"), v.alias("__v")).filter(F.col("__v") > 0)
     counts = b.agg(*[F.count_if(F.col("__b") == i).alias(f"__n{i}") for i in range(len(labels))])
     total = sum((F.col(f"__n{i}") for i in range(len(labels))), F.lit(0))

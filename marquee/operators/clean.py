@@ -18,7 +18,7 @@ def project_typed(stored: DataFrame) -> DataFrame:
     """The 13 cleaned columns: ``id`` renamed ``movie_id``; numbers converted leniently
     (text that does not parse becomes NULL instead of failing the job under ANSI)."""
     return stored.select(
-        to_number("id", "int").alias("movie_id"),
+        to_number("id", "long").alias("movie_id"),
         F.col("title"), F.col("original_title"),
         to_number("year", "int").alias("year"),
         to_number("rating", "double").alias("rating"),

@@ -49,13 +49,13 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 
 
 def first_candidates(df: DataFrame, keys: Sequence[str], leading) -> DataFrame:
-    """Rows that can still be first per ``keys``: those tied on the smallest value of the
-    ``leading`` order columns (``rank() = 1``, NULLs last).
+    """The one row per ``keys`` that is first by the ``leading`` order columns or expressions,
+    then by every other column of ``df`` (NULLs last): ``dedup_first`` placed before wide
+    joins, which then run on one row per key.  Joins in between must keep or drop whole keys.
 
-    When ``leading`` is a prefix of the order a later ``dedup_first`` uses, that dedup picks
-    the same row from the result as from ``df``, so wide joins placed in between run on one
-    row per key instead of all of them.  Joins in between must keep or drop whole keys.
+    ``row_number() = 1`` is limited per task before its shuffle, so a hot key, ties on the
+    leading columns included, sends one row per task.
     """
-    order = [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in leading]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rk", F.rank().over(w)).filter(F.col("__rk") == 1).drop("__rk")
+    lead = [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in leading]
+    w = Window.partitionBy(*keys).orderBy(*lead, *first_order(df, keys, ()))
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")

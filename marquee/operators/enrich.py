@@ -51,12 +51,12 @@ def enrich_records(raw: DataFrame, genre_dim: DataFrame, source, fetched_at,
         base = dedup_first(raw, ["id"], list(first_by))
     release = _field(base, "release_date")
     mapped = base.select(
-        F.col("id").cast("int").alias("id"),
+        F.col("id").try_cast("long").alias("id"),
         _field(base, "title").alias("title"),
         _field(base, "original_title").alias("original_title"),
         year_from_text(release).alias("year"),
         py_round(_field(base, "vote_average").cast("double"), 1).alias("rating"),
-        _field(base, "vote_count").cast("int").alias("votes"),
+        _field(base, "vote_count").try_cast("int").alias("votes"),
         _field(base, "genre_ids").alias("genre_ids"),
         _field(base, "overview").alias("overview"),
         _field(base, "popularity").cast("double").alias("popularity"),
@@ -68,5 +68,5 @@ def enrich_records(raw: DataFrame, genre_dim: DataFrame, source, fetched_at,
         slug(src).alias("source"),
         stamp.cast("string").alias("fetched_at"),
     )
-    named = lookup_names(mapped, "genre_ids", genre_dim, dim_key, dim_name, "genres", row_key=["id"])
+    named = lookup_names(mapped, "genre_ids", genre_dim, dim_key, dim_name, "genres")
     return named.select(*MESSAGE_FIELDS)

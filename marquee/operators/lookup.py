@@ -1,105 +1,65 @@
 """Dimension lookups: scalar key → name, and array of keys → array of names.
 
-The dimension side is broadcast only after its row count has been checked against a
-bound; beyond the bound the lookup becomes a shuffle join, which AQE may still turn
-into a broadcast at run time when the actual size is small.
+Both are plain equi-joins with the dimension, whatever its size: the planner broadcasts it when
+statistics or AQE show it to be small, and otherwise shuffles.  There is one key typing for
+both: numbers meet numbers by value, and a key of another kind than the dimension's finds
+nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, NumericType
 
 from marquee.functions.values import unknown_name
 
-# Row bounds behind every broadcast decision (key + name projections only).
-BROADCAST_ROWS = 1_000_000
-# Above this many entries an in-expression map is no longer used (map lookup is a scan).
-MAP_ENTRIES = 1_024
-
-
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; reads no more than ``n + 1`` rows."""
-    return df.limit(n + 1).count() <= n
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven ≤ ``max_rows``, else ``df`` as is."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
 
 def _dimension(dim: DataFrame, key: str, name: str) -> DataFrame:
     # One name per key; a dict built from a list keeps one value per key as well.
-    return dim.groupBy(F.col(key).alias("__k")).agg(F.max(name).alias("__name"))
-
+    return dim.groupBy(F.col(key).alias("__k")).agg(F.max(name).alias("__name")).filter(F.col("__k").isNotNull())
 
-def small_map(d: DataFrame, max_entries: int = MAP_ENTRIES) -> Callable[[Column], Column] | None:
-    """A ``(__k, __name)`` dimension as one literal map when it holds at most
-    ``max_entries`` keys, else ``None``.  One bounded read (at most ``max_entries + 1``
-    rows) both proves the bound and fetches the entries, like a broadcast of a small side.
 
-    Returns ``get(key) -> name or NULL``; the key is converted to the dimension's key type
-    first, and one that does not fit it simply finds nothing.
-    """
-    rows = d.filter(F.col("__k").isNotNull()).limit(max_entries + 1).collect()
-    if len(rows) > max_entries:
-        return None
-    key_type = d.schema["__k"].dataType.simpleString()
-    pairs = [x for r in rows for x in (F.lit(r["__k"]).cast(key_type), F.lit(r["__name"]).cast("string"))]
-    m = F.create_map(*pairs).cast(f"map<{key_type},string>")
-    return lambda k: F.try_element_at(m, k.try_cast(key_type))
+def _comparable(key: Column, key_type: DataType, dim_type: DataType) -> Column:
+    """``key`` in a type that an equi-join compares with the dimension's by value; NULL (finds
+    nothing) when the two are of different kinds."""
+    both_numbers = isinstance(key_type, NumericType) and isinstance(dim_type, NumericType)
+    return key if both_numbers or key_type == dim_type else F.lit(None).cast(dim_type)
 
 
 def lookup_name(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_name: str,
-                out: str, fallback_prefix: str = "Unknown_",
-                max_broadcast_rows: int = BROADCAST_ROWS, max_map_entries: int = MAP_ENTRIES) -> DataFrame:
-    """``out = dim.get(df[key], f"{prefix}{key}")``.
-
-    A dimension of at most ``max_map_entries`` keys becomes one literal map (no join);
-    a larger one is left-joined, broadcast when proven to hold at most
-    ``max_broadcast_rows`` keys.
-    """
+                out: str, fallback_prefix: str = "Unknown_") -> DataFrame:
+    """``out = dim.get(df[key], f"{prefix}{key}")``."""
     d = _dimension(dim, dim_key, dim_name)
-    fallback = unknown_name(F.col(key), fallback_prefix)
-    get = small_map(d, max_map_entries)
-    if get is not None:
-        return df.withColumn(out, F.coalesce(get(F.col(key)), fallback))
-    d = bounded_broadcast(d, max_broadcast_rows)
-    j = df.join(d, df[key] == d["__k"], "left")
-    return j.withColumn(out, F.coalesce(F.col("__name"), fallback)).drop("__k", "__name")
+    probe = _comparable(F.col(key), df.schema[key].dataType, d.schema["__k"].dataType)
+    j = df.withColumn("__probe", probe).join(d, F.col("__probe") == F.col("__k"), "left")
+    return j.withColumn(out, F.coalesce(F.col("__name"), unknown_name(F.col(key), fallback_prefix))) \
+            .drop("__probe", "__k", "__name")
 
 
 def lookup_names(df: DataFrame, ids: str, dim: DataFrame, dim_key: str, dim_name: str, out: str,
-                 fallback_prefix: str = "Unknown_", row_key: Sequence[str] | None = None,
-                 max_map_entries: int = MAP_ENTRIES) -> DataFrame:
+                 fallback_prefix: str = "Unknown_") -> DataFrame:
     """``out = [dim.get(g, f"{prefix}{g}") for g in df[ids]]``: order and duplicates kept,
     NULL array stays NULL, empty array gives an empty array.
 
-    Small dimension: one literal map applied with ``transform`` — no join and no shuffle
-    of ``df``.  Larger dimension: elements are exploded with their position, joined
-    (broadcast or shuffle as sized), and regrouped per input row, where ``row_key`` (unique
-    per row) names the regroup key.
+    The names of an array depend on the array alone, so each distinct array is resolved once
+    (a partial aggregate leaves one row per array and task, however often it repeats), element
+    by element with its position, and the result joins back on the array.  Rows of ``df`` need
+    no key and may repeat.
     """
     d = _dimension(dim, dim_key, dim_name)
-    get = small_map(d, max_map_entries)
-    if get is not None:
-        names = F.transform(F.col(ids), lambda g: F.coalesce(get(g), unknown_name(g, fallback_prefix)))
-        return df.select(*[F.col(c) for c in df.columns if c != out], names.alias(out))
-    if not row_key:
-        raise ValueError("row_key (unique per row) is required for a large dimension")
-    row_key = list(row_key)
-    d = bounded_broadcast(d)
-    ex = df.select(*row_key, F.posexplode_outer(F.col(ids)).alias("__pos", "__id"))
-    j = ex.join(d, ex["__id"] == d["__k"], "left")
-    named = F.when(F.col("__pos").isNotNull(), F.struct(
-        F.col("__pos"), F.coalesce(F.col("__name"), unknown_name(F.col("__id"), fallback_prefix)).alias("n")))
-    regrouped = j.groupBy(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(row_key)]).agg(
-        F.array_sort(F.collect_list(named)).alias("__l"))
-    names = F.when(F.col(ids).isNull(), F.lit(None)).otherwise(
-        F.transform(F.coalesce(F.col("__l"), F.array()), lambda s: s.getField("n")))
-    # NULL-safe: a row whose key is NULL (one such row at most) finds its names too
-    on = [df[k].eqNullSafe(regrouped[f"__rk{i}"]) for i, k in enumerate(row_key)]
-    return (df.join(regrouped, on, "left").withColumn(out, names)
-              .drop("__l", *[f"__rk{i}" for i in range(len(row_key))]))
+    arrays = df.filter(F.size(F.col(ids)) > 0).select(F.col(ids).alias("__ids")).distinct()
+    element = df.schema[ids].dataType
+    element = element.elementType if isinstance(element, ArrayType) else element
+    items = arrays.select("__ids", F.posexplode("__ids").alias("__pos", "__id"))
+    items = items.withColumn("__probe", _comparable(F.col("__id"), element, d.schema["__k"].dataType))
+    named = items.join(d, F.col("__probe") == F.col("__k"), "left").groupBy("__ids").agg(F.array_sort(F.collect_list(
+        F.struct("__pos", F.coalesce("__name", unknown_name(F.col("__id"), fallback_prefix)).alias("n")))).alias("__l"))
+    # NULL elements are equal here: the array as text, with its length, joins as one value
+    key = lambda c: F.to_json(F.struct(F.col(c).alias("a")), {"ignoreNullFields": "false"})
+    named = named.select(key("__ids").alias("__key"), F.transform("__l", lambda s: s["n"]).alias("__names"))
+    kept = [c for c in df.columns if c != out]
+    j = df.select(*kept).withColumn("__akey", F.when(F.size(F.col(ids)) > 0, key(ids)))
+    j = j.join(named, F.col("__akey") == F.col("__key"), "left")
+    names = F.when(F.col(ids).isNull(), F.lit(None)).otherwise(F.coalesce("__names", F.array().cast("array<string>")))
+    return j.select(*kept, names.alias(out))

@@ -19,16 +19,17 @@ def encode_messages(df: DataFrame, fields=MESSAGE_FIELDS, key: str | None = None
 
 
 def decode_messages(df: DataFrame, value: str = "value", schema: StructType = MESSAGE,
-                    stamp: bool = True, quarantine: bool = False):
+                    stamp: bool = True, quarantine: bool = False, raw: str | None = None):
     """Bytes/text ``value`` → flattened typed columns, plus ``processed_at``.
 
     Every message yields exactly one row: unparsable text, a JSON array, an empty or
     NULL value all come out as a row of NULLs, and a field of the wrong JSON type is
     NULL while its siblings survive.  With ``quarantine=True`` the result is a pair
-    ``(good, dead_letter)`` split on a NULL first schema field.
+    ``(good, dead_letter)`` split on a NULL first schema field.  ``raw`` names a column that
+    keeps the message's own text, so a malformed one can be inspected and replayed.
     """
-    parsed = df.select(decode_json(F.col(value), schema).alias("data"))
-    out = parsed.select("data.*")
+    parsed = df.select(decode_json(F.col(value), schema).alias("data"), F.col(value).cast("string").alias("__raw"))
+    out = parsed.select("data.*", *([F.col("__raw").alias(raw)] if raw else []))
     if stamp:
         out = out.withColumn("processed_at", F.current_timestamp())
     if not quarantine:

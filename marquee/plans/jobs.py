@@ -22,8 +22,7 @@ from marquee.functions.values import count_distinct_with_null
 from marquee.operators.analytics import avg_by_group, bucket_histogram, topk_by_group
 from marquee.operators.clean import clamp_values, explode_categories, keep_nonempty, project_typed
 from marquee.operators.preview import preview_rows
-from marquee.session import checkpoint_root
-from marquee.sinks.writers import write_jsonl, write_small_result
+from marquee.sinks.writers import write_jsonl, write_single_result
 from marquee.schemas import SILVER
 from marquee.sources.readers import read_silver
 
@@ -108,7 +107,7 @@ RESULT_LAYOUTS = {"avg_rating_by_genre": AVG_TSV, "top10_by_year": TOP_TSV, "rat
 def run_analytics(spark: SparkSession, silver_path: str, out_root: str, lenient: bool = False,
                   min_count: int = 50, k: int = 10, fmt: str = "json") -> dict[str, str]:
     """The three analytics over the silver table, each written as one ordered TSV file
-    (after a size check) under ``out_root``; returns result name → folder."""
+    under ``out_root``; returns result name → folder."""
     silver = load_silver(spark, silver_path, fmt, lenient=lenient)
     results = {
         "avg_rating_by_genre": avg_by_group(silver, "genre", "rating", min_count=min_count, exact_scale=1),
@@ -116,11 +115,10 @@ def run_analytics(spark: SparkSession, silver_path: str, out_root: str, lenient:
         "rating_buckets": bucket_histogram(silver, "rating"),
     }
     paths = {name: f"{out_root.rstrip('/')}/{name}" for name in results}
-    checkpoint_root(spark)  # resolved once, before the result sinks checkpoint from their threads
     # Three independent jobs: submitted together, the scheduler runs their stages side by
     # side instead of leaving the cluster idle behind each one's final, narrow stage.
     with ThreadPoolExecutor(max_workers=len(results)) as pool:
-        for f in [pool.submit(write_small_result, df, paths[name]) for name, df in results.items()]:
+        for f in [pool.submit(write_single_result, df, paths[name]) for name, df in results.items()]:
             f.result()
     return paths
 

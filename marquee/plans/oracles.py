@@ -26,8 +26,7 @@ def _round1(e: str) -> str:
 def _avg_sql(src: str) -> str:
     return f"""
 SELECT genre,
-       format('{{:.2f}}', CAST(sum(CAST(round(rating * 10.0) AS BIGINT)) AS DOUBLE)
-                          / (CAST(count(*) AS DOUBLE) * 10.0)) AS avg_rating,
+       format('{{:.2f}}', CAST(sum(CAST(rating AS DECIMAL(18, 1))) AS DOUBLE) / count(*)) AS avg_rating,
        count(*) AS n
 FROM (SELECT {_strip('genre')} AS genre, rating FROM {src})
 WHERE genre <> '' AND rating > 0
@@ -67,9 +66,7 @@ pw AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS genre, p_size FROM
 pr AS (SELECT p_partkey AS movie_id, genre, CAST(p_size AS DOUBLE) / 5.0 AS rating FROM pw)"""
 
 DIM = """
-dim AS (SELECT n_nationkey AS id, max(n_name) AS name
-        FROM nation JOIN region ON n_regionkey = r_regionkey
-        WHERE r_name IN ('AFRICA', 'AMERICA', 'ASIA') GROUP BY n_nationkey)"""
+dim AS (SELECT n_nationkey AS id, n_name AS name FROM nation)"""
 
 SHIP = """
 ship AS (SELECT l.*, o.*, c.c_name, c.c_nationkey, c.c_mktsegment, s.s_name, s.s_nationkey
@@ -86,18 +83,18 @@ rship AS (SELECT l.*, o.*, c.c_name, c.c_nationkey, c.c_mktsegment, s.s_name, s.
 
 # raw → first per id → message → silver, as in the catalogue flow.
 CHAIN = f"""{DIM},{RAW_SHIP},
-raw AS (SELECT CAST(l_orderkey AS INTEGER) AS id, c_name AS title, s_name AS original_title,
-               [s_nationkey, c_nationkey] AS genre_ids,
+raw AS (SELECT CAST(l_orderkey AS BIGINT) AS id, c_name AS title, s_name AS original_title,
+               [CAST(s_nationkey AS INTEGER), CAST(c_nationkey + 5 AS INTEGER)] AS genre_ids,
                strftime(o_orderdate, '%Y-%m-%d') AS release_date,
                l_discount * CAST(100.0 AS DOUBLE) + l_tax * CAST(10.0 AS DOUBLE) AS vote_average,
                CAST(trunc(o_totalprice) AS INTEGER) AS vote_count, c_mktsegment AS overview,
                l_extendedprice AS popularity, l_returnflag = 'R' AS adult,
                lower(l_linestatus) AS original_language, o_orderpriority AS listing,
-               strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS landed_at, l_linenumber AS line_no
+               strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS landed_at, l_linenumber AS line_no,
+               l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus
         FROM rship),
-firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY landed_at, line_no, title,
-                          original_title, genre_ids, release_date, vote_average, vote_count, overview,
-                          popularity, adult, original_language, listing) AS rn FROM raw) WHERE rn = 1),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY landed_at, line_no, l_partkey,
+                          l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS rn FROM raw) WHERE rn = 1),
 msg AS (SELECT f.id, f.title, f.original_title, {_year('f.release_date')} AS year,
                {_round1('f.vote_average')} AS rating, f.vote_count AS votes,
                [COALESCE(d1.name, 'Unknown_' || COALESCE(CAST(f.genre_ids[1] AS VARCHAR), 'None')),
@@ -121,8 +118,7 @@ SELECT id, title, original_title, year, rating, votes, array_to_string(genres, '
        array_to_string(genre_ids, '|') AS genre_ids, overview, popularity, adult, original_language,
        poster_path, backdrop_path, release_date, source, fetched_at FROM msg"""
 
-SILVER_REST = ("title, original_title, year, rating, votes, overview, popularity, original_language, "
-               "release_date, source")
+SILVER_REST = "title, year, votes, rating"
 
 PROFILE_SQL = f"""WITH {CHAIN}
 SELECT (SELECT count(*) FROM clean) AS rows_in,
@@ -145,6 +141,18 @@ UNION ALL
 SELECT 'rating_buckets', concat_ws({TAB}, bucket, CAST(n AS VARCHAR), pct)
 FROM (WITH {CHAIN}, {_hist_sql('silver')}) h"""
 
+# The lines of the lenient silver, as the map scripts read them: a row is dropped where a value
+# they convert does not convert; a missing value is 0 or empty.
+BAD = """
+bad AS (SELECT o_orderkey AS movie_id, o_orderkey % 9 AS k, o_orderpriority AS genre, o_orderstatus AS title,
+               (o_custkey % 50) / 5.0 + 0.2 AS rating, CAST(year(o_orderdate) AS INTEGER) AS year,
+               CASE WHEN o_orderkey % 9 = 5 THEN 0 ELSE CAST(trunc(o_totalprice) AS INTEGER) END AS votes,
+               '2024-01-01 00:00:00' AS fetched_at
+        FROM orders WHERE o_orderkey % 9 <> 0),
+rated AS (SELECT * FROM bad WHERE k NOT IN (2, 3)),
+listed AS (SELECT * FROM rated WHERE k NOT IN (1, 6, 7))"""
+
+# The average as fixed-point text of an exact decimal sum.
 ORACLES = {
     "avg_by_group": f"WITH {PART_WORDS} {_avg_sql('pr')}",
     "topk_by_group": f"""WITH t AS (
@@ -152,16 +160,17 @@ ORACLES = {
          l.l_discount * CAST(100.0 AS DOUBLE) AS rating, CAST(trunc(o.o_totalprice) AS INTEGER) AS votes,
          l.l_returnflag AS genre, strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') AS fetched_at
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
-{_topk_sql('t', 'title, year, rating, votes')}""",
+{_topk_sql('t', 'title, year, votes, rating')}""",
     "bucket_histogram": f"WITH {PART_WORDS}, {_hist_sql('pr')}",
     "id_name_lookup": f"""WITH {DIM}
-SELECT c_custkey, c_nationkey, COALESCE(dim.name, 'Unknown_' || CAST(c_nationkey AS VARCHAR)) AS nation_name
-FROM customer LEFT JOIN dim ON c_nationkey = dim.id""",
+SELECT c_custkey, c_nationkey + 5 AS nation_id,
+       COALESCE(dim.name, 'Unknown_' || CAST(c_nationkey + 5 AS VARCHAR)) AS nation_name
+FROM customer LEFT JOIN dim ON c_nationkey + 5 = dim.id""",
     "array_lookup": f"""WITH {DIM},{SHIP}
 SELECT l_orderkey, l_linenumber,
        COALESCE(d1.name, 'Unknown_' || CAST(s_nationkey AS VARCHAR)) || ' > ' ||
-       COALESCE(d2.name, 'Unknown_' || CAST(c_nationkey AS VARCHAR)) AS route
-FROM ship LEFT JOIN dim d1 ON d1.id = s_nationkey LEFT JOIN dim d2 ON d2.id = c_nationkey""",
+       COALESCE(d2.name, 'Unknown_' || CAST(c_nationkey + 5 AS VARCHAR)) AS route
+FROM ship LEFT JOIN dim d1 ON d1.id = s_nationkey LEFT JOIN dim d2 ON d2.id = c_nationkey + 5""",
     "year_from_text": f"""
 SELECT o_orderkey, {_year("strftime(o_orderdate, '%Y-%m-%d')")} AS year_of_date,
        {_year('o_orderpriority')} AS year_of_priority, {_year('o_orderstatus')} AS year_of_status
@@ -189,10 +198,11 @@ UNION ALL
 SELECT 'mistyped', event_id, CAST(NULL AS INTEGER) FROM events""",
     "typed_projection": """
 SELECT event_id AS movie_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS votes,
-       TRY_CAST(event_type AS INTEGER) AS year, value AS rating FROM events""",
+       TRY_CAST(event_type AS INTEGER) AS year, CAST(event_id AS INTEGER) AS whole, value AS rating FROM events""",
     "clamp_year": f"""
 SELECT o_orderkey,
        CASE WHEN year(o_orderdate) BETWEEN 1900 AND 2030 THEN CAST(year(o_orderdate) AS INTEGER) ELSE 0 END AS year,
+       CASE WHEN year(o_orderdate) + 34 <= 2030 THEN CAST(year(o_orderdate) + 34 AS INTEGER) ELSE 0 END AS later_year,
        CASE WHEN {_year('o_orderpriority')} BETWEEN 1900 AND 2030 THEN {_year('o_orderpriority')} ELSE 0 END
          AS priority_year
 FROM orders""",
@@ -214,7 +224,12 @@ SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS INTEGER) AS idx,
        batch_rows, greatest(batch_rows - 10, 0) AS more_rows
 FROM f CROSS JOIN n""",
     "delimiter_compat": f"""
-SELECT doc_id, n_chars FROM documents WHERE NOT regexp_matches({_strip('text')}, '[|\\n\\r]')""",
+WITH v AS (SELECT doc_id, doc_id % 7 + 2000 AS year, n_chars AS votes, {_strip("COALESCE(text, '')")} AS title FROM documents),
+k AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY votes DESC, doc_id) AS rk
+      FROM v WHERE votes > 0 AND NOT regexp_matches(title, '[|\\n\\r]'))
+SELECT CAST(year AS INTEGER) AS year, CAST(rk AS INTEGER) AS rank, left(title, 50) AS title, CAST(votes AS INTEGER) AS votes,
+       '5.0' AS rating
+FROM k WHERE rk <= 10""",
     "catalogue_messages": f"WITH {CHAIN} {MSG_SELECT}",
     "message_roundtrip": f"WITH {CHAIN} {MSG_SELECT}",
     "silver_etl": f"WITH {CHAIN} SELECT * FROM silver",
@@ -241,6 +256,8 @@ FROM events""",
     "stream_quarantine": """
 SELECT (SELECT count(*) FROM events) AS stored_rows,
        (SELECT count(*) FROM documents) + (SELECT count(*) FROM events) AS dead_rows,
+       (SELECT sum(length(to_json(struct_pack(title := text)))) FROM documents)
+         + (SELECT sum(length(COALESCE(props, ''))) FROM events) AS dead_chars,
        (SELECT count(*) FROM documents) + 2 * (SELECT count(*) FROM events) AS observed_rows,
        (SELECT count(*) FROM documents) + (SELECT count(*) FROM events) AS observed_malformed""",
     "message_sink": """
@@ -249,4 +266,43 @@ SELECT CAST(event_id AS VARCHAR) AS key,
 FROM events""",
     "stream_metrics": """
 SELECT count(*) AS rows, count(*) AS input_rows, count(*) AS callback_rows FROM events""",
+    "array_lookup_large": """
+SELECT l_orderkey, l_linenumber, COALESCE(p_name, 'Unknown_' || CAST(l_partkey AS VARCHAR)) || ' > Unknown_'
+       || CAST(l_partkey + 10000000000 AS VARCHAR) AS parts
+FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
+    "enrich_repeated_ids": """
+SELECT l_orderkey AS id, CAST(l_linenumber AS VARCHAR) AS title,
+       COALESCE(a.p_name, 'Unknown_' || CAST(l_partkey AS VARCHAR)) || '|'
+       || COALESCE(b.p_name, 'Unknown_' || CAST(l_suppkey AS VARCHAR)) AS genres
+FROM lineitem LEFT JOIN part a ON a.p_partkey = l_partkey LEFT JOIN part b ON b.p_partkey = l_suppkey""",
+    "field_mapping_defaults": f"""
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority ELSE '' END AS title, '' AS original_title,
+       CASE WHEN o_orderkey % 2 = 0 THEN CAST(year(o_orderdate) AS INTEGER) ELSE 0 END AS year,
+       CASE WHEN o_orderkey % 2 = 1 THEN {_round1('o_totalprice')} ELSE 0.0 END AS rating,
+       CAST(CASE WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE 0 END AS INTEGER) AS votes, '' AS genres, '' AS genre_ids,
+       '' AS overview, CAST(0.0 AS DOUBLE) AS popularity, false AS adult, '' AS original_language, '' AS poster_path,
+       '' AS backdrop_path,
+       CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END AS release_date,
+       'top_rated' AS source, '2024-01-01 00:00:00' AS fetched_at
+FROM orders""",
+    "text_shapes": """
+SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS padded, format('{:,}', o_orderkey * 1000) AS grouped
+FROM orders""",
+    "result_order": f"""WITH t AS (
+  SELECT l.l_orderkey AS movie_id, o.o_orderpriority AS title, CAST(year(o.o_orderdate) AS INTEGER) AS year,
+         l.l_discount * CAST(100.0 AS DOUBLE) AS rating, CAST(trunc(o.o_totalprice) AS INTEGER) AS votes,
+         l.l_returnflag AS genre, strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S') AS fetched_at
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+r AS (SELECT * FROM (WITH {_topk_sql('t', 'title, year, votes, rating').lstrip()}))
+SELECT CAST(row_number() OVER (ORDER BY year, rank) - 1 AS INTEGER) AS line_no,
+       concat_ws({TAB}, CAST(year AS VARCHAR), CAST(rank AS VARCHAR), title, CAST(votes AS VARCHAR), rating) AS line
+FROM r""",
+    "etl_preview": f"WITH {CHAIN} SELECT title, year, rating, votes, genre FROM silver ORDER BY movie_id, genre LIMIT 5",
+    "preview_ordered": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 20",
+    "read_table": f"WITH {CHAIN} {MSG_SELECT}",
+    "topic_sink": """
+SELECT to_json(struct_pack(event_id := event_id, event_type := event_type, value := value)) AS value FROM events""",
+    "lenient_avg": f"WITH {BAD} {_avg_sql('rated')}",
+    "lenient_topk": f"WITH {BAD}, {_topk_sql('listed', 'title, year, votes, rating')}",
+    "lenient_buckets": f"WITH {BAD}, {_hist_sql('rated')}",
 }

@@ -11,23 +11,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from marquee.functions.dates import date_text, micros_text, stamp_text, year_from_text
-from marquee.functions.text import py_round, strip_text
+from marquee.functions.text import py_round, thousands, zero_pad
 from marquee.functions.values import clamp_range, floor_at, to_number
 from marquee.operators.analytics import avg_by_group, bucket_histogram, topk_by_group
 from marquee.operators.clean import keep_nonempty, profile
 from marquee.operators.dedup import dedup_first
-from marquee.operators.lookup import MAP_ENTRIES, has_at_most, lookup_name, lookup_names
+from marquee.operators.enrich import enrich_records
+from marquee.operators.lookup import lookup_name, lookup_names
 from marquee.operators.messages import decode_messages, encode_messages
-from marquee.operators.preview import batch_preview
+from marquee.operators.preview import batch_preview, preview_rows
 from marquee.plans import catalogue
 from marquee.plans.jobs import etl_report_frame, run_analytics, run_etl
-from marquee.plans.standins import nation_names, order_lines, part_ratings, raw_catalogue, shipments
+from marquee.plans.standins import (BEYOND, nation_names, order_lines, part_names, part_ratings, raw_catalogue,
+                                     shipments)
+from marquee.schemas import MESSAGE
 from marquee.session import work_path
-from marquee.sinks.writers import write_jsonl, write_small_result
-from marquee.sources.readers import (genre_dim_from_doc, read_genre_doc, read_pages, read_silver,
+from marquee.sinks.writers import write_jsonl, write_single_result, write_topic
+from marquee.sources.readers import (genre_dim_from_doc, read_genre_doc, read_pages, read_silver, read_table,
                                      records_from_pages, table)
-from marquee.streaming.ingest import (BatchCounter, batch_sink, dedup_stream, message_stream, observed_totals,
-                                      read_stream, start_ingest)
+from marquee.streaming.ingest import BatchCounter, batch_sink, dedup_stream, message_stream, read_stream, start_ingest
 
 
 def _text_array(c):
@@ -51,17 +53,53 @@ def q_bucket_histogram(spark: SparkSession, root: str) -> DataFrame:
 # --- lookups, text and value rules ----------------------------------------------------
 
 def q_id_name_lookup(spark: SparkSession, root: str) -> DataFrame:
-    c = table(spark, root, "customer").select("c_custkey", "c_nationkey")
-    return lookup_name(c, "c_nationkey", nation_names(spark, root), "id", "name", "nation_name")
+    c = table(spark, root, "customer").select("c_custkey", (F.col("c_nationkey") + BEYOND).alias("nation_id"))
+    return lookup_name(c, "nation_id", nation_names(spark, root), "id", "name", "nation_name")
 
 
 def q_array_lookup(spark: SparkSession, root: str) -> DataFrame:
     sh = shipments(spark, root).select(
-        "l_orderkey", "l_linenumber", F.array("s_nationkey", "c_nationkey").alias("route_ids"))
+        "l_orderkey", "l_linenumber", F.array("s_nationkey", F.col("c_nationkey") + BEYOND).alias("route_ids"))
     named = lookup_names(sh, "route_ids", nation_names(spark, root), "id", "name", "route_names")
     return named.select("l_orderkey", "l_linenumber", F.array_join("route_names", " > ").alias("route"))
 
 
+def q_array_lookup_large(spark: SparkSession, root: str) -> DataFrame:
+    """Names of a dimension that grows with the data; every second id misses it."""
+    li = table(spark, root, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.array(F.col("l_partkey"), F.col("l_partkey") + 10_000_000_000).alias("part_ids"))
+    named = lookup_names(li, "part_ids", part_names(spark, root), "id", "name", "part_names")
+    return named.select("l_orderkey", "l_linenumber", F.array_join("part_names", " > ").alias("parts"))
+
+
+def q_enrich_repeated_ids(spark: SparkSession, root: str) -> DataFrame:
+    """Records that repeat their id (a line's order) with different arrays, not de-duplicated:
+    each keeps the names of its own array."""
+    li = table(spark, root, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("string").alias("title"),
+        F.array("l_partkey", "l_suppkey").cast("array<int>").alias("genre_ids"))
+    out = enrich_records(li, part_names(spark, root), "Popular", "2024-01-01 00:00:00", dedup=False)
+    return out.select("id", "title", _text_array("genres").alias("genres"))
+
+
+def q_field_mapping_defaults(spark: SparkSession, root: str) -> DataFrame:
+    """Records that lack whole fields (``adult``, paths) and hold NULL in others: half the
+    titles, dates and votes."""
+    o = table(spark, root, "orders")
+    odd = F.col("o_orderkey") % 2 == 1
+    raw = o.select(
+        F.col("o_orderkey").alias("id"), F.when(odd, F.col("o_orderpriority")).alias("title"),
+        F.when(~odd, date_text("o_orderdate")).alias("release_date"), F.when(odd, F.col("o_totalprice")).alias("vote_average"),
+        F.when(~odd, F.col("o_custkey")).alias("vote_count"), F.lit(None).cast("array<int>").alias("genre_ids"))
+    return _message_text(enrich_records(raw, nation_names(spark, root), "Top Rated", "2024-01-01 00:00:00"))
+
+
+def q_text_shapes(spark: SparkSession, root: str) -> DataFrame:
+    o = table(spark, root, "orders")
+    return o.select("o_orderkey", zero_pad("o_orderkey", 10).alias("padded"),
+                    thousands(F.col("o_orderkey") * 1000).alias("grouped"))
+
+
 def q_year_from_text(spark: SparkSession, root: str) -> DataFrame:
     o = table(spark, root, "orders")
     return o.select("o_orderkey",
@@ -112,6 +150,8 @@ def q_typed_projection(spark: SparkSession, root: str) -> DataFrame:
     return ev.select(F.col("event_id").alias("movie_id"),
                      to_number(F.get_json_object("props", "$.k"), "int").alias("votes"),
                      to_number("event_type", "int").alias("year"),
+                     # decimal text, whose whole part counts
+                     to_number(F.concat(F.col("event_id").cast("string"), F.lit(".75")), "int").alias("whole"),
                      to_number("value", "double").alias("rating"))
 
 
@@ -119,6 +159,7 @@ def q_clamp_year(spark: SparkSession, root: str) -> DataFrame:
     o = table(spark, root, "orders")
     return o.select("o_orderkey",
                     clamp_range(F.year("o_orderdate"), 1900, 2030, 0).alias("year"),
+                    clamp_range(F.year("o_orderdate") + 34, 1900, 2030, 0).alias("later_year"),
                     clamp_range(year_from_text(F.col("o_orderpriority")), 1900, 2030, 0).alias("priority_year"))
 
 
@@ -150,8 +191,13 @@ def q_preview_rows(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_delimiter_compat(spark: SparkSession, root: str) -> DataFrame:
-    d = table(spark, root, "documents")
-    return d.filter(~strip_text("text").rlike(r"[|\n\r]")).select("doc_id", "n_chars")
+    """Top-k whose titles are document texts: with delimiters and line breaks in them, such rows
+    are lost in the line-oriented shuffle that the compatibility mode mirrors."""
+    d = table(spark, root, "documents").select(
+        F.col("doc_id").alias("movie_id"), F.col("text").alias("title"), (F.col("doc_id") % 7 + 2000).cast("int").alias("year"),
+        F.col("n_chars").cast("int").alias("votes"), F.lit(5.0).alias("rating"), F.lit("2024").alias("fetched_at"),
+        F.col("source").alias("genre"))
+    return topk_by_group(d, compat_delimiters=True)
 
 
 # --- the catalogue flow ---------------------------------------------------------------
@@ -198,10 +244,18 @@ TSV_SCHEMA = StructType([StructField("genre", StringType()), StructField("avg_ra
 
 def q_tsv_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     path = work_path(spark, "avg-by-group-tsv")
-    write_small_result(q_avg_by_group(spark, root), path, order_by=["genre"])
+    write_single_result(q_avg_by_group(spark, root), path, order_by=["genre"])
     return spark.read.schema(TSV_SCHEMA).option("sep", "\t").csv(path)
 
 
+def q_result_order(spark: SparkSession, root: str) -> DataFrame:
+    """The top-k's result file read back with its line numbers: the order of a result counts."""
+    path = work_path(spark, "top-tsv")
+    write_single_result(q_topk_by_group(spark, root), path)
+    lines = spark.read.text(path, wholetext=True)  # one file, one row
+    return lines.select(F.posexplode(F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")).alias("line_no", "line"))
+
+
 def q_catalog_pages(spark: SparkSession, root: str) -> DataFrame:
     """Landed pages and the category document are written as JSON text, read back with
     their fixed schemas, flattened, and the category ids resolved to names."""
@@ -212,12 +266,11 @@ def q_catalog_pages(spark: SparkSession, root: str) -> DataFrame:
                                           F.array(F.struct(*record_cols)).alias("results"))).alias("value"))
     pages_path = work_path(spark, "pages")
     pages.write.mode("overwrite").text(pages_path)
-    dim = nation_names(spark, root)
-    if not has_at_most(dim, MAP_ENTRIES):
-        raise ValueError("the category document holds the whole dimension; it must stay small")
+    # documents of at most 10 categories each, so that no row grows with the dimension
     doc_path = work_path(spark, "genre-doc")
-    (dim.agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("id", "name"))).alias("genres"))).alias("value"))
-        .write.mode("overwrite").text(doc_path))
+    (nation_names(spark, root).groupBy(F.floor(F.col("id") / 10).alias("part"))
+        .agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("id", "name"))).alias("genres"))).alias("value"))
+        .select("value").write.mode("overwrite").text(doc_path))
     recs = records_from_pages(read_pages(spark, pages_path))
     names = genre_dim_from_doc(read_genre_doc(spark, doc_path))
     out = lookup_names(recs, "genre_ids", names, "id", "name", "genres")
@@ -227,10 +280,38 @@ def q_catalog_pages(spark: SparkSession, root: str) -> DataFrame:
 def q_etl_job(spark: SparkSession, root: str) -> DataFrame:
     """The batch ETL job on the stored documents: counts observed during the silver write,
     distinct counts from the written silver."""
-    report = run_etl(spark, catalogue.stored(spark, root), work_path(spark, "silver-etl"))
+    report = run_etl(spark, catalogue.stored(spark, root), work_path(spark, "silver-etl"), preview_order=None)
     return etl_report_frame(spark, report)
 
 
+def q_etl_preview(spark: SparkSession, root: str) -> DataFrame:
+    """The ETL's ordered preview: the first five silver rows by id and genre."""
+    report = run_etl(spark, catalogue.stored(spark, root), work_path(spark, "silver-etl"))
+    return spark.createDataFrame([tuple(r.values()) for r in report.preview],
+                                 "title string, year int, rating double, votes int, genre string")
+
+
+def q_preview_ordered(spark: SparkSession, root: str) -> DataFrame:
+    return preview_rows(table(spark, root, "orders"), ["o_orderkey", "o_totalprice"], ["o_totalprice", "o_orderkey"], 20)
+
+
+def q_read_table(spark: SparkSession, root: str) -> DataFrame:
+    """The stored documents, written as JSON lines and read through the generic reader with
+    their fixed schema."""
+    path = work_path(spark, "stored-json")
+    catalogue.stored(spark, root).write.mode("overwrite").json(path)
+    return _message_text(read_table(spark, "json", path, schema=MESSAGE))
+
+
+def q_topic_sink(spark: SparkSession, root: str) -> DataFrame:
+    """Messages published through the topic writer (a file sink stands in for the broker) and
+    read back as text."""
+    path = work_path(spark, "topic")
+    ev = table(spark, root, "events").select("event_id", "event_type", "value")
+    write_topic(ev, fmt="text", path=path, fields=["event_id", "event_type", "value"])
+    return spark.read.text(path)
+
+
 def q_analytics_job(spark: SparkSession, root: str, fmt: str = "json") -> DataFrame:
     """ETL, then the three analytics over the written silver; every line of the three TSV
     result files read back as text."""
@@ -260,6 +341,40 @@ def q_silver_lenient_avg(spark: SparkSession, root: str) -> DataFrame:
     return catalogue.avg_rating_by_genre(read_silver(spark, path, lenient=True))
 
 
+def _land_bad_silver(spark: SparkSession, root: str) -> str:
+    """JSON lines with every kind of value the lenient analytics meet, by order key: good
+    numbers, numbers as text, unparsable ratings, votes, years, titles that are no text,
+    explicit nulls, missing fields, and lines that are no JSON."""
+    o = table(spark, root, "orders")
+    k = F.col("o_orderkey") % 9
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    rating = (F.pmod("o_custkey", F.lit(50)) / 5.0 + 0.2).cast("string")
+    votes = F.col("o_totalprice").cast("int").cast("string")
+    year = F.year("o_orderdate").cast("string")
+    line = F.concat(
+        F.lit('{"movie_id": '), F.col("o_orderkey").cast("string"), F.lit(', "genre": '), text(F.col("o_orderpriority")),
+        F.lit(', "fetched_at": "2024-01-01 00:00:00", "title": '),
+        F.when(k == 1, F.lit("17")).otherwise(text(F.col("o_orderstatus"))),
+        F.lit(', "rating": '), F.when(k == 2, F.lit('"abc"')).when(k == 3, F.lit("null")).when(k == 4, text(rating)).otherwise(rating),
+        F.when(k == 5, F.lit("")).otherwise(F.concat(F.lit(', "votes": '), F.when(k == 6, F.lit('"7.5"')).otherwise(votes))),
+        F.lit(', "year": '), F.when(k == 7, F.lit('"soon"')).when(k == 8, text(year)).otherwise(year), F.lit("}"))
+    path = work_path(spark, "silver-bad")
+    o.select(F.when(k == 0, F.concat(line, F.lit(" trailing {"))).otherwise(line).alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def q_lenient_avg(spark: SparkSession, root: str) -> DataFrame:
+    return avg_by_group(read_silver(spark, _land_bad_silver(spark, root), lenient=True), exact_scale=1)
+
+
+def q_lenient_topk(spark: SparkSession, root: str) -> DataFrame:
+    return topk_by_group(read_silver(spark, _land_bad_silver(spark, root), lenient=True))
+
+
+def q_lenient_buckets(spark: SparkSession, root: str) -> DataFrame:
+    return bucket_histogram(read_silver(spark, _land_bad_silver(spark, root), lenient=True))
+
+
 # --- streaming --------------------------------------------------------------------------
 
 EVENT_MSG_SCHEMA = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
@@ -284,12 +399,12 @@ def _run_stream(spark, landing: str, dedup: bool = False, max_files: int | None
     src = read_stream(spark, "text", options={**opts, "recursiveFileLookup": "true"}, path=landing,
                       schema=StructType([StructField("value", StringType())]))
     rows = message_stream(src, schema=EVENT_MSG_SCHEMA)
-    if dedup:
-        rows = dedup_stream(rows, key="event_id", event_time="ts", delay="1 hour")
     out = work_path(spark, "stored")
     counter = BatchCounter()
-    q = start_ingest(rows, batch_sink(out, counter=counter), checkpoint=work_path(spark, "stream-ckpt"),
-                     trigger={"availableNow": True})
+    if dedup:
+        rows = dedup_stream(rows, key="event_id")
+    sink = batch_sink(out, counter=counter, key="event_id")
+    q = start_ingest(rows, sink, checkpoint=work_path(spark, "stream-ckpt"), trigger={"availableNow": True})
     q.awaitTermination()
     return q, out, counter
 
@@ -300,7 +415,15 @@ def q_stream_append(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_stream_dedup(spark: SparkSession, root: str) -> DataFrame:
-    _, out, _ = _run_stream(spark, _land_event_messages(spark, root, copies=2), dedup=True)
+    """Every event twice, in files of shuffled event time that arrive over several
+    micro-batches: each id is stored once and none is lost."""
+    ev = table(spark, root, "events").withColumn("ts", micros_text("ts"))
+    landing = work_path(spark, "landing-shuffled")
+    twice = ev.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    files = twice.withColumn("file", F.pmod(F.xxhash64("event_id", "copy"), F.lit(6)))
+    encoded = files.select("file", F.to_json(F.struct(*EVENT_FIELDS)).alias("value"))
+    encoded.repartition(6, "file").write.mode("overwrite").partitionBy("file").text(landing)
+    _, out, _ = _run_stream(spark, landing, dedup=True, max_files=1)
     return spark.read.parquet(out).drop("processed_at", "batch_id")
 
 
@@ -308,7 +431,7 @@ def q_stream_quarantine(spark: SparkSession, root: str) -> DataFrame:
     """Every event as a valid message, plus messages that carry no event id: each
     document's text as ``{"title": ...}`` and each event's ``props`` object.  The stream
     stores the first kind and sends the rest to the dead-letter table; counts come from
-    both tables and from the metrics observed on the stream."""
+    both tables and from the per-batch counter; the dead letter keeps the messages' text."""
     ev = table(spark, root, "events").withColumn("ts", micros_text("ts"))
     docs = table(spark, root, "documents")
     landing = work_path(spark, "landing-mixed")
@@ -318,17 +441,19 @@ def q_stream_quarantine(spark: SparkSession, root: str) -> DataFrame:
     ev.select(F.coalesce(F.col("props"), F.lit("")).alias("value")).write.mode("overwrite").text(f"{landing}/props")
     src = read_stream(spark, "text", options={"recursiveFileLookup": "true"}, path=landing,
                       schema=StructType([StructField("value", StringType())]))
-    rows = message_stream(src, schema=EVENT_MSG_SCHEMA, metrics="ingest")
+    rows = message_stream(src, schema=EVENT_MSG_SCHEMA, metrics="ingest", raw="raw")
     store, dead = work_path(spark, "stored"), work_path(spark, "dead-letter")
-    q = start_ingest(rows, batch_sink(store, dead_letter=dead, key="event_id"),
+    counter = BatchCounter()
+    q = start_ingest(rows, batch_sink(store, dead_letter=dead, key="event_id", counter=counter),
                      checkpoint=work_path(spark, "stream-ckpt"), trigger={"availableNow": True})
     q.awaitTermination()
-    obs = observed_totals(q, "ingest")
-    dead_rows = spark.read.parquet(dead).agg(F.count(F.lit(1))).scalar()
+    seen = counter.totals
+    letters = spark.read.parquet(dead)
+    dead_rows, dead_chars = letters.agg(F.count(F.lit(1))).scalar(), letters.agg(F.sum(F.length("raw"))).scalar()
     return spark.read.parquet(store).agg(F.count(F.lit(1)).alias("stored_rows")).select(
-        "stored_rows", dead_rows.alias("dead_rows"),
-        F.lit(obs.get("rows", 0)).cast("long").alias("observed_rows"),
-        F.lit(obs.get("malformed", 0)).cast("long").alias("observed_malformed"))
+        "stored_rows", dead_rows.alias("dead_rows"), dead_chars.alias("dead_chars"),
+        F.lit(seen["rows"]).cast("long").alias("observed_rows"),
+        F.lit(seen["malformed"]).cast("long").alias("observed_malformed"))
 
 
 def q_message_sink(spark: SparkSession, root: str) -> DataFrame:
@@ -337,15 +462,12 @@ def q_message_sink(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_stream_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """Rows per micro-batch as reported by the query progress and by the batch callback."""
-    q, out, counter = _run_stream(spark, _land_event_messages(spark, root), max_files=1)
-    progress = [(int(p["batchId"]), int(p["numInputRows"])) for p in q.recentProgress]
-    stored = spark.read.parquet(out).groupBy("batch_id").agg(F.count(F.lit(1)).alias("stored_rows"))
-    reported = spark.createDataFrame(progress, "batch_id int, input_rows long")
-    counted = spark.createDataFrame(sorted(counter.counts.items()), "batch_id int, callback_rows long")
-    per_batch = stored.join(reported, "batch_id", "left").join(counted, "batch_id", "left")
-    return per_batch.agg(F.sum("stored_rows").alias("rows"), F.sum("input_rows").alias("input_rows"),
-                         F.sum("callback_rows").alias("callback_rows"))
+    """Rows arrived and stored over all micro-batches, by the per-batch counter and by the
+    stored table."""
+    _, out, counter = _run_stream(spark, _land_event_messages(spark, root), max_files=1)
+    totals = counter.totals
+    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", F.lit(totals["rows"]).cast("long").alias("input_rows"), F.lit(totals["stored"]).cast("long").alias("callback_rows"))
 
 
 QUERIES = {
@@ -386,4 +508,16 @@ QUERIES = {
     "stream_quarantine": q_stream_quarantine,
     "message_sink": q_message_sink,
     "stream_metrics": q_stream_metrics,
+    "array_lookup_large": q_array_lookup_large,
+    "enrich_repeated_ids": q_enrich_repeated_ids,
+    "field_mapping_defaults": q_field_mapping_defaults,
+    "text_shapes": q_text_shapes,
+    "result_order": q_result_order,
+    "etl_preview": q_etl_preview,
+    "preview_ordered": q_preview_ordered,
+    "read_table": q_read_table,
+    "topic_sink": q_topic_sink,
+    "lenient_avg": q_lenient_avg,
+    "lenient_topk": q_lenient_topk,
+    "lenient_buckets": q_lenient_buckets,
 }

@@ -5,9 +5,9 @@ matches it (documented in README):
 
 * category words  — the words of ``part.p_name``; rating — ``p_size / 5``
 * an item listed once per category — an order listed once per line item
-* category ids    — the nations on both ends of a line: ``[supplier nation, customer nation]``
-* category names  — ``nation.n_name`` for the nations of AFRICA, AMERICA and ASIA only,
-  so the ``Unknown_<id>`` fallback fires for the other regions
+* category ids    — the nations on both ends of a line: ``[supplier nation, customer nation + 5]``
+* category names  — ``nation.n_name``; the customer side of a line looks up its nation key
+  plus 5, so that ids beyond the last nation take the ``Unknown_<id>`` fallback
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from marquee.functions.dates import date_text, stamp_text
 from marquee.operators.dedup import first_candidates
 from marquee.sources.readers import table
 
-# Regions whose nation names are known to the category dimension.
-NAMED_REGIONS = ("AFRICA", "AMERICA", "ASIA")
+# Fixed value: added to a customer's nation key, which leaves some ids without a name.
+BEYOND = 5
 
 
 def part_ratings(spark: SparkSession, root: str) -> DataFrame:
@@ -38,15 +38,15 @@ def order_lines(spark: SparkSession, root: str, first_only: bool = False) -> Dat
     whole part of the total price, ``rating`` line discount in percent, ``genre`` line
     return flag, ``fetched_at`` ship-date text.
 
-    ``first_only`` keeps only the lines that can still be first of their order under the
-    top-k's de-duplication (smallest ``fetched_at``, then ``genre``) before the order join:
-    exact, since that join keeps or drops all lines of an order together, and the join and
-    de-duplication then see one row per order, limited per task before any shuffle.
+    ``first_only`` keeps only the first line of each order (smallest ``fetched_at``, then
+    ``genre``, then discount, as the top-k's de-duplication orders the lines of one order)
+    before the order join: that join keeps or drops all lines of an order together, and sees
+    one row per order, limited per task before any shuffle.
     """
     li = table(spark, root, "lineitem").select("l_orderkey", "l_discount", "l_returnflag", "l_shipdate")
     if first_only:
         li = first_candidates(li, ["l_orderkey"], [stamp_text(F.col("l_shipdate")), F.col("l_returnflag")])
-    o = table(spark, root, "orders", spread_small=False).select(
+    o = table(spark, root, "orders").select(
         "o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     return j.select(
@@ -60,60 +60,67 @@ def order_lines(spark: SparkSession, root: str, first_only: bool = False) -> Dat
 
 
 def nation_names(spark: SparkSession, root: str) -> DataFrame:
-    """Category dimension ``(id, name)``: nations of the named regions only."""
-    n = table(spark, root, "nation")
-    r = table(spark, root, "region").filter(F.col("r_name").isin(*NAMED_REGIONS))
-    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
-        F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    """Category dimension ``(id, name)``: every nation."""
+    return table(spark, root, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+
+
+def part_names(spark: SparkSession, root: str) -> DataFrame:
+    """A dimension that grows with the data: ``(id, name)`` of every part."""
+    return table(spark, root, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
 
 
 def shipments(spark: SparkSession, root: str) -> DataFrame:
     """Line items with both parties: order, customer and supplier columns attached.
 
-    All three are equi-joins on keys of tables that grow with the data, so no side is
+    Customers join orders first, a quarter as many rows as line items.  All are
+    equi-joins on keys of tables that grow with the data, so no side is
     forced to broadcast: the planner broadcasts a side only when its file statistics are
     under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks actual sizes at run
     time; otherwise they are sort-merge joins on the key.
     """
     li = table(spark, root, "lineitem")
-    o = table(spark, root, "orders", spread_small=False)
-    c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     s = table(spark, root, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    o = orders_of_customers(spark, root)
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
-    j = j.join(c, j["o_custkey"] == c["c_custkey"])
     return j.join(s, j["l_suppkey"] == s["s_suppkey"])
 
 
+def orders_of_customers(spark: SparkSession, root: str) -> DataFrame:
+    """Orders with their customer, joined at the grain of orders: line items then meet both in
+    one join on the order key."""
+    o = table(spark, root, "orders")
+    c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return o.join(c, o["o_custkey"] == c["c_custkey"])
+
+
 def raw_catalogue(spark: SparkSession, root: str, first_only: bool = False) -> DataFrame:
     """Raw listing records (one per line item; an order appears once per line).
 
-    ``genre_ids`` = ``[supplier nation, customer nation]`` (order and repeats matter),
+    ``genre_ids`` = ``[supplier nation, customer nation + 5]`` (order and repeats matter),
     ``vote_average`` = discount % + tax × 10 (some above 10, so cleaning fires),
     ``listing`` = order priority (the source label), ``landed_at`` = ship-date stamp and
     ``line_no`` the line number: "first seen" is (landed_at, line_no, …).
 
-    ``first_only`` keeps only the lines that can still be the first of their order
-    (``RAW_FIRST_BY`` smallest) before any join, so all three joins move one row per order
-    instead of one per line.  The filter limits each key partially before its shuffle
+    ``first_only`` keeps only the first line of each order (``RAW_FIRST_BY``, a line number
+    being unique in its order) before any join with line items, so those joins move one row
+    per order instead of one per line.  The filter limits each key partially before its shuffle
     (skew-safe) and leaves the lines partitioned by order key for the order join.  It is
     exact because no join drops a single line: the order and its customer come with the
     order key (all lines of an order stay or go together) and the supplier join is a left
     join.
     """
     li = table(spark, root, "lineitem")
-    o = table(spark, root, "orders", spread_small=False)
-    c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    o = orders_of_customers(spark, root)
     s = table(spark, root, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     if first_only:
         li = first_candidates(li, ["l_orderkey"], [stamp_text(F.col("l_shipdate")), F.col("l_linenumber")])
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
-    j = j.join(c, j["o_custkey"] == c["c_custkey"])
     j = j.join(s, j["l_suppkey"] == s["s_suppkey"], "left")
     return j.select(
-        F.col("l_orderkey").cast("int").alias("id"),
+        F.col("l_orderkey").cast("long").alias("id"),
         F.col("c_name").alias("title"),
         F.col("s_name").alias("original_title"),
-        F.array(F.col("s_nationkey"), F.col("c_nationkey")).alias("genre_ids"),
+        F.array(F.col("s_nationkey"), F.col("c_nationkey") + BEYOND).cast("array<int>").alias("genre_ids"),
         date_text("o_orderdate").alias("release_date"),
         (F.col("l_discount") * F.lit(100.0) + F.col("l_tax") * F.lit(10.0)).alias("vote_average"),
         F.col("o_totalprice").cast("int").alias("vote_count"),

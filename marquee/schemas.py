@@ -1,11 +1,11 @@
 """Record layouts along the catalogue flow (Spark DDL as StructTypes)."""
 
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, StringType,
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampType)
 
 # Raw catalogue record as landed from the listing service (one element of ``results``).
 RAW_RECORD = StructType([
-    StructField("id", IntegerType()),
+    StructField("id", LongType()),
     StructField("title", StringType()),
     StructField("original_title", StringType()),
     StructField("genre_ids", ArrayType(IntegerType())),
@@ -22,7 +22,7 @@ RAW_RECORD = StructType([
 
 # A landed page: ``{"page": n, "results": [...]}``.
 RAW_PAGE = StructType([
-    StructField("page", IntegerType()),
+    StructField("page", LongType()),
     StructField("results", ArrayType(RAW_RECORD)),
 ])
 
@@ -34,7 +34,7 @@ GENRE_DOC = StructType([
 
 # Message value on the topic: 17 fields, all nullable.
 MESSAGE = StructType([
-    StructField("id", IntegerType()),
+    StructField("id", LongType()),
     StructField("title", StringType()),
     StructField("original_title", StringType()),
     StructField("year", IntegerType()),
@@ -64,7 +64,7 @@ CLEAN_FIELDS = ["movie_id", "title", "original_title", "year", "rating", "votes"
 
 # One row per (item, category): ``genres`` replaced by a scalar ``genre``.
 SILVER = StructType([
-    StructField("movie_id", IntegerType()),
+    StructField("movie_id", LongType()),
     StructField("title", StringType()),
     StructField("original_title", StringType()),
     StructField("year", IntegerType()),
@@ -79,6 +79,3 @@ SILVER = StructType([
     StructField("fetched_at", StringType()),
 ])
 SILVER_FIELDS = [f.name for f in SILVER.fields]
-
-# Lenient silver: every scalar read as text, converted with try_cast afterwards.
-SILVER_TEXT = StructType([StructField(f.name, StringType()) for f in SILVER.fields])

@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.lookup import has_at_most
 from marquee.operators.messages import encode_messages
-from marquee.session import checkpoint_root
-
-# Largest result that may be merged into a single file by one task.
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -29,20 +24,16 @@ def write_tsv(df: DataFrame, path: str) -> None:
     tsv_lines(df).write.mode("overwrite").text(path)
 
 
-def write_small_result(df: DataFrame, path: str, order_by=None, max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """One merged, ordered TSV file for a result whose size is checked first; larger
-    results are written as ordered part files instead of being funnelled into one task.
+def write_single_result(df: DataFrame, path: str, order_by=None) -> None:
+    """One merged TSV file in the order of ``df`` (or ``order_by``), whatever its size, as a
+    merge of part files would leave it.
 
-    The result is checkpointed once into the shared checkpoint folder (partitions and
-    their order kept), so the size check and the write read the stored rows instead of
-    computing the analytic twice.
+    Everything up to the ordering runs in parallel; the last task only concatenates the sorted
+    partitions as a stream, so its memory does not grow with the result.  The analytics'
+    results have a line per group, per bucket or ten per year.
     """
-    checkpoint_root(df.sparkSession)
-    ordered = (df.orderBy(*order_by) if order_by else df).checkpoint(eager=True)
-    if has_at_most(ordered, max_rows):
-        tsv_lines(ordered).coalesce(1).write.mode("overwrite").text(path)
-    else:
-        write_tsv(ordered, path)
+    ordered = df.orderBy(*order_by) if order_by else df
+    tsv_lines(ordered).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_topic(df: DataFrame, fmt: str = "kafka", options: dict | None = None, path: str | None = None,

@@ -5,61 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
-from marquee.functions.values import to_number
-from marquee.schemas import GENRE_DOC, RAW_PAGE, SILVER, SILVER_TEXT
+from marquee.functions.text import strip_text
+from marquee.schemas import GENRE_DOC, RAW_PAGE, SILVER
 
-
-# A scan is spread only when it has fewer splits than this (about 1 GB at the default split
-# size), and to at most this many partitions: enough for the per-row work of a small table,
-# never a reshuffle of a table that already reads in parallel.
-SPREAD_BELOW_SPLITS = 8
-SPREAD_MAX_PARTITIONS = 64
-
-
-def spread(spark: SparkSession, df: DataFrame, min_partitions: int | None = None,
-           by: tuple[str, ...] = ()) -> DataFrame:
-    """Hash-partition a small scan that yields very few splits (e.g. one file with a single
-    row group) over ``min_partitions`` (default: the cluster's parallelism, at most
-    ``SPREAD_MAX_PARTITIONS``), so the per-row work fused onto the scan is not done by one
-    task.  A scan with ``SPREAD_BELOW_SPLITS`` splits or more, or already as many as
-    wanted, is returned unchanged (no extra shuffle).
-
-    ``by`` names the table's key: hashing it is deterministic on retry without the full
-    local sort a round-robin repartition needs for that.
-    """
-    try:
-        want = min_partitions or min(spark.sparkContext.defaultParallelism, SPREAD_MAX_PARTITIONS)
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # a session without RDD access (Spark Connect): leave the scan as it is
-        return df
-    if splits >= min(want, SPREAD_BELOW_SPLITS):
-        return df
-    return df.repartition(want, *by) if by else df.repartition(want)
-
-
-# Tables that carry the per-row work of a query (facts and long texts), with the key they
-# are spread by: the unique id, except line items, which go by order so that the per-order
-# steps downstream (first line of an order, order join) find them co-located and add no
-# shuffle.  Dimensions (``part`` included: its per-row work is a split of a short name)
-# are left as scanned, since they are joined by key or broadcast.
-WIDE_TABLES = {
-    "lineitem": ("l_orderkey",),
-    "orders": ("o_orderkey",),
-    "events": ("event_id",),
-    "documents": ("doc_id",),
-    "pages": ("page_id",),
-    "conversations": ("conv_id", "turn"),
-}
-
-
-def table(spark: SparkSession, root: str, name: str, spread_small: bool | None = None) -> DataFrame:
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """``<root>/<name>.parquet`` (the driver's test tables)."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-    if spread_small is None:
-        spread_small = name in WIDE_TABLES
-    return spread(spark, df, by=WIDE_TABLES.get(name, ())) if spread_small else df
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
 def read_table(spark: SparkSession, fmt: str, path: str | None = None, options: dict | None = None,
@@ -75,16 +28,33 @@ def read_table(spark: SparkSession, fmt: str, path: str | None = None, options:
 def read_silver(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
     """Silver JSONL (blank lines are skipped by the reader).
 
-    ``lenient=True`` reads every field as text and converts with ``try_cast`` so a numeric
-    string such as ``"7.5"`` is accepted and a value that does not parse becomes NULL
-    for that field only (the analytics then drop the row on their own filters).
+    ``lenient=True`` accepts what a JSON number, or a text that spells one, holds, and skips
+    lines that are no JSON object.  It adds ``bad_fields``: names of the fields whose value
+    is there but does not convert (an unparsable text, an explicit null, a nested value).  A
+    missing field is not bad; its column is NULL.  The analytics drop a row with a bad value
+    in a field they convert.
     """
     if not lenient:
         return spark.read.schema(SILVER).json(path)
-    raw = spark.read.schema(SILVER_TEXT).json(path)
-    return raw.select(*[
-        (to_number(f.name, f.dataType.simpleString()) if f.dataType.simpleString() != "string"
-         else F.col(f.name)).alias(f.name) for f in SILVER.fields])
+    # parsed as the one element of an array: text after the object is then an error
+    doc = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    lines = spark.read.text(path).select(doc.alias("a")).filter(
+        F.schema_of_variant(F.try_variant_get("a", "$[0]", "variant")).startswith("OBJECT")
+        & F.try_variant_get("a", "$[1]", "variant").isNull()).select(F.try_variant_get("a", "$[0]", "variant").alias("v"))
+    cols, bad = [], []
+    for f in SILVER.fields:
+        kind = F.schema_of_variant(F.try_variant_get("v", f"$.{f.name}", "variant"))
+        text = F.try_variant_get("v", f"$.{f.name}", "string")
+        if isinstance(f.dataType, StringType):
+            value = F.when(kind == "STRING", text)
+        else:
+            plain = F.when(kind == "BOOLEAN", (text == "true").cast("int").cast("string")).otherwise(text)
+            # a number converts as a number (7.9 to 7); a text must spell one of the type
+            value = F.when(kind == "STRING", strip_text(text).try_cast(f.dataType)).otherwise(
+                plain.try_cast("double").try_cast(f.dataType))
+        cols.append(value.alias(f.name))
+        bad.append(F.when(kind.isNotNull() & value.isNull(), F.lit(f.name)))
+    return lines.select(*cols, F.array_compact(F.array(*bad)).alias("bad_fields"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """Streaming ingest built on Structured Streaming.
 
 ``read_stream`` (any source: broker, files) → ``message_stream`` (decode + stamp) →
-optional ``dedup_stream`` (bounded state) → ``start_ingest`` (append mode, per-batch
-callback, checkpointed offsets).  The per-batch sink writes each batch into its own
-``batch_id`` partition, so a batch replayed after a failure replaces itself.
+optional ``dedup_stream`` (each id once) → ``start_ingest`` (append mode, per-batch callback,
+checkpointed offsets).  The per-batch sink writes each batch into its own ``batch_id``
+partition, so a batch replayed after a failure replaces itself.
 """
 
 from __future__ import annotations
@@ -32,14 +32,15 @@ def read_stream(spark: SparkSession, fmt: str, options: dict | None = None, path
 
 
 def message_stream(stream: DataFrame, value: str = "value", schema: StructType = MESSAGE,
-                   metrics: str | None = None) -> DataFrame:
+                   metrics: str | None = None, raw: str | None = None) -> DataFrame:
     """Key-less message values → typed rows + ``processed_at`` (stateless).
 
     With ``metrics`` the stream is observed under that name: per micro-batch, ``rows``
     decoded and ``malformed`` rows (no value for the first schema field, the key), reported
-    in the query progress (``observed_totals``) without an extra pass over the batch.
+    in the query progress without an extra pass over the batch.  ``raw`` keeps the
+    message's text in a column of that name (for the dead letter).
     """
-    rows = decode_messages(stream, value=value, schema=schema, stamp=True)
+    rows = decode_messages(stream, value=value, schema=schema, stamp=True, raw=raw)
     if metrics is None:
         return rows
     key = schema.fields[0].name
@@ -47,46 +48,50 @@ def message_stream(stream: DataFrame, value: str = "value", schema: StructType =
                         F.count_if(F.col(key).isNull()).alias("malformed"))
 
 
-def observed_totals(query, name: str) -> dict[str, int]:
-    """Sum of the metrics observed under ``name`` over the query's recent progress reports
-    (the last ``spark.sql.streaming.numRecentProgressUpdates`` batches)."""
-    totals: dict[str, int] = {}
-    for p in query.recentProgress:
-        row = (p.get("observedMetrics") or {}).get(name)
-        for k, v in (row.asDict() if row is not None else {}).items():
-            totals[k] = totals.get(k, 0) + int(v)
-    return totals
-
-
-def dedup_stream(stream: DataFrame, key: str = "id", event_time: str = "fetched_at",
-                 delay: str = "1 hour") -> DataFrame:
-    """Drop repeated ``key`` within ``delay`` of event time.  The state is bounded by the
-    watermark; repeats further apart pass here and are removed by the batch
-    de-duplication of the analytics."""
-    ts = F.col(event_time).cast("timestamp")
-    return (stream.withColumn("__event_ts", ts)
-            .withWatermark("__event_ts", delay)
-            .dropDuplicatesWithinWatermark([key])
-            .drop("__event_ts"))
-
-
 class BatchCounter:
-    """Per-batch row counts collected in the driver (a handful of integers per batch)."""
+    """Totals over all micro-batches of a query: rows arrived, rows without a key, rows
+    stored.  A few integers, however long the stream runs; a replayed batch (only the last one
+    can be) replaces its own numbers."""
+
+    FIELDS = ("rows", "malformed", "stored")
 
     def __init__(self):
         self._lock = threading.Lock()
-        self.counts: dict[int, int] = {}
+        self._before = dict.fromkeys(self.FIELDS, 0)
+        self._last = dict.fromkeys(self.FIELDS, 0)
+        self.last_batch: int | None = None
 
-    def record(self, batch_id: int, n: int) -> None:
+    def record(self, batch_id: int, **counts: int) -> None:
         with self._lock:
-            self.counts[int(batch_id)] = int(n)
+            if self.last_batch != batch_id:
+                self._before = {k: v + self._last[k] for k, v in self._before.items()}
+            self.last_batch = batch_id
+            self._last = {k: int(counts.get(k, 0)) for k in self.FIELDS}
+
+    @property
+    def totals(self) -> dict[str, int]:
+        with self._lock:
+            return {k: v + self._last[k] for k, v in self._before.items()}
+
+
+def dedup_stream(stream: DataFrame, key: str = "id") -> DataFrame:
+    """Each ``key`` once over the whole life of the query, the first to arrive.
+
+    The keys seen are checkpointed state without a watermark: no row is dropped for arriving
+    late, a restart forgets nothing, and no event time is read that could be malformed.
+    The state holds a row per distinct key (the RocksDB state store keeps it off the heap),
+    and a micro-batch touches only the state of its own keys.  Rows without a key are no
+    repeats of each other and go past the state.
+    """
+    keyed = stream.filter(F.col(key).isNotNull()).dropDuplicates([key])
+    return keyed.unionByName(stream.filter(F.col(key).isNull()))
 
 
 def batch_sink(path: str | None, fmt: str = "parquet", counter: BatchCounter | None = None,
                on_batch: Callable[[DataFrame, int], None] | None = None,
                preview: Callable[[int, list], None] | None = None,
                preview_order: Sequence[str] = ("id",),
-               dead_letter: str | None = None, key: str = "id", options: dict | None = None):
+               dead_letter: str | None = None, key: str = "id", options: dict | None = None, raw: str = "raw"):
     """``foreachBatch`` callback: idempotent append of the batch, then optional metrics.
 
     The batch is persisted while it is written, counted and previewed, so the source is
@@ -94,19 +99,23 @@ def batch_sink(path: str | None, fmt: str = "parquet", counter: BatchCounter | N
     the batch summary of ``batch_preview`` (the first 10 titles by ``preview_order``, the
     batch size and the remainder): at most 10 rows reach the driver, never the batch.
     With ``dead_letter`` the rows without a ``key`` (malformed messages) are appended
-    there (Parquet) instead of the store, under the same ``batch_id``.  ``options`` go to
-    the store's writer (connection settings of a non-file store).
+    there (Parquet), message text (column ``raw``, if kept) included, instead of the store,
+    under the same ``batch_id``.  ``options`` go to the store's writer (connection settings
+    of a non-file store).
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            if dead_letter is None:
-                append_batch(batch, path, batch_id, fmt, options)
-            else:
-                append_batch(batch.filter(F.col(key).isNotNull()), path, batch_id, fmt, options)
+            good = batch.drop(raw)
+            if dead_letter is not None:
+                good = good.filter(F.col(key).isNotNull())
                 append_batch(batch.filter(F.col(key).isNull()), dead_letter, batch_id)
+            append_batch(good, path, batch_id, fmt, options)
             if counter is not None:
-                counter.record(batch_id, batch.count())
+                bad = F.col(key).isNull() if key in batch.columns else F.lit(False)
+                n = batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("malformed")).first()
+                stored = n["rows"] - (n["malformed"] if dead_letter is not None else 0)
+                counter.record(batch_id, rows=n["rows"], malformed=n["malformed"], stored=stored)
             if preview is not None:
                 preview(batch_id, batch_preview(batch, list(preview_order)).collect())
             if on_batch is not None:

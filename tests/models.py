@@ -1,5 +1,9 @@
 """Plain-Python models of the three analytics, written from the documented semantics."""
 
+import bisect
+import math
+from collections import Counter
+
 
 def py_strip_key(s):
     return s.strip()
@@ -22,11 +26,11 @@ def model_avg(rows, min_count=50):
 def model_topk(rows, k=10):
     """rows: dicts with movie_id, title, year, votes, rating, fetched_at, genre (+ others).
 
-    First by (fetched_at, genre, then the remaining columns) per id, NULLs last; then
+    First by (fetched_at, genre, then what the result shows) per id, NULLs last; then
     validation as the mapper reads a silver line; votes desc, id asc.
     """
     def key(r):
-        order = ["fetched_at", "genre"] + [c for c in r if c not in ("movie_id", "fetched_at", "genre")]
+        order = ["fetched_at", "genre", "title", "year", "votes", "rating"]
         return tuple((r[c] is None, r[c] if r[c] is not None else 0) for c in order)
     first = {}
     for r in rows:
@@ -53,21 +57,12 @@ def model_topk(rows, k=10):
 LABELS = ["0-2", "2-4", "4-6", "6-8", "8-10"]
 
 
+EDGES = [2, 4, 6, 8]
+
+
 def model_hist(ratings):
-    counts = dict.fromkeys(LABELS, 0)
-    for r in ratings:
-        if r is None or not (r > 0 or r != r):
-            continue
-        if r != r or r >= 8:
-            b = "8-10"
-        elif r < 2:
-            b = "0-2"
-        elif r < 4:
-            b = "2-4"
-        elif r < 6:
-            b = "4-6"
-        else:
-            b = "6-8"
-        counts[b] += 1
-    total = sum(counts.values())
-    return [(b, counts[b], "{:.2f}".format(counts[b] / total * 100 if total > 0 else 0)) for b in LABELS]
+    """A rating's bucket is the number of edges at or below it (NaN passes them all)."""
+    positive = [r for r in ratings if r is not None and (math.isnan(r) or r > 0)]
+    place = Counter(len(EDGES) if math.isnan(r) else bisect.bisect_right(EDGES, r) for r in positive)
+    share = [place[i] / len(positive) * 100 if positive else 0.0 for i in range(len(LABELS))]
+    return [(label, place[i], f"{share[i]:.2f}") for i, label in enumerate(LABELS)]

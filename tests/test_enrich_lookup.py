@@ -9,7 +9,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from marquee.operators.dedup import dedup_first, first_candidates
 from marquee.operators.enrich import enrich_records
-from marquee.operators.lookup import bounded_broadcast, lookup_name, lookup_names
+from marquee.operators.lookup import lookup_name, lookup_names
 from marquee.schemas import MESSAGE_FIELDS, RAW_RECORD
 from marquee.sources.readers import genre_dim_from_doc, records_from_pages
 
@@ -75,33 +75,44 @@ def test_enrich_missing_columns_use_defaults(spark):
         ("", 0, 0.0, 0, ["Adventure"], False, "", "popular")
 
 
-def test_lookup_paths_agree(spark):
-    df = spark.createDataFrame([(1, [28, 5, 28, None]), (2, []), (3, None), (4, [18]), (None, [12, 28])],
+def test_lookup_names_rows_may_repeat(spark):
+    df = spark.createDataFrame([(1, [28, 5, 28, None]), (1, [18]), (1, [18]), (2, []), (3, None), (None, [12, 28])],
                                "k int, ids array<int>")
-    small = lookup_names(df, "ids", dim(spark), "id", "name", "names")
-    large = lookup_names(df, "ids", dim(spark), "id", "name", "names", row_key=["k"], max_map_entries=0)
-    a = {r.k: r.names for r in small.collect()}
-    b = {r.k: r.names for r in large.collect()}
-    assert a == b == {1: ["Action", "Unknown_5", "Action", "Unknown_None"], 2: [], 3: None, 4: ["Drama"],
-                      None: ["Adventure", "Action"]}
-    assert large.columns == df.columns + ["names"]
+    out = lookup_names(df, "ids", dim(spark), "id", "name", "names")
+    assert sorted(((r.k, r.names) for r in out.collect()), key=repr) == sorted([
+        (1, ["Action", "Unknown_5", "Action", "Unknown_None"]), (1, ["Drama"]), (1, ["Drama"]), (2, []), (3, None),
+        (None, ["Adventure", "Action"])], key=repr)
+    assert out.columns == df.columns + ["names"]
 
 
-def test_lookup_name_scalar(spark):
-    df = spark.createDataFrame([(1, 28), (2, 7), (3, None)], "k int, g int")
-    exp = {1: "Action", 2: "Unknown_7", 3: "Unknown_None"}
-    got = {r.k: r.name for r in lookup_name(df, "g", dim(spark), "id", "name", "name").collect()}
-    joined = lookup_name(df, "g", dim(spark), "id", "name", "name", max_map_entries=0)
-    assert got == {r.k: r.name for r in joined.collect()} == exp
-    assert joined.columns == ["k", "g", "name"]
+def test_lookup_is_the_same_for_any_size_of_dimension(spark):
+    big = dim(spark).unionByName(spark.range(1000, 6000).select(F.col("id").cast("int").alias("id"), F.lit("x").alias("name")))
+    df = spark.createDataFrame([(1, [10]), (1, [28, 1500]), (2, [28])], "id int, genre_ids array<int>")
+    for d, expected in ((dim(spark), "Unknown_1500"), (big, "x")):
+        rows = enrich_records(df, d, "Popular", "2024-01-01 00:00:00", dedup=False).select("id", "genres").collect()
+        assert sorted((r.id, r.genres) for r in rows) == [(1, ["Action", expected]), (1, ["Unknown_10"]), (2, ["Action"])]
+
+
+def test_lookup_keys_compare_by_value(spark):
+    df = spark.createDataFrame([(1, 28.0), (2, 28.7)], "k int, g double")
+    assert {r.k: r.name for r in lookup_name(df, "g", dim(spark), "id", "name", "name").collect()} == {1: "Action", 2: "Unknown_28.7"}
+    text = spark.createDataFrame([(1, ["28", "x"])], "k int, g array<string>")
+    assert lookup_names(text, "g", dim(spark), "id", "name", "names").first().names == ["Unknown_28", "Unknown_x"]
 
 
-def test_bounded_broadcast_respects_bound(spark):
-    from marquee.operators.lookup import has_at_most
-    assert has_at_most(dim(spark), 3) and not has_at_most(dim(spark), 2)
-    big = spark.range(100).withColumnRenamed("id", "k")
-    small = spark.range(50)
-    assert big.join(bounded_broadcast(small, 10), big["k"] == small["id"]).count() == 50
+def test_ids_beyond_int_range(spark):
+    df = spark.createDataFrame([(3_000_000_000, [28])], "id long, genre_ids array<int>")
+    msgs = enrich_records(df, dim(spark), "Popular", "2024-01-01 00:00:00")
+    assert msgs.first().id == 3_000_000_000
+    from marquee.operators.messages import decode_messages, encode_messages
+    assert decode_messages(encode_messages(msgs)).first().id == 3_000_000_000
+
+
+def test_lookup_name_scalar(spark):
+    df = spark.createDataFrame([(1, 28), (2, 7), (3, None)], "k int, g int")
+    out = lookup_name(df, "g", dim(spark), "id", "name", "name")
+    assert {r.k: r.name for r in out.collect()} == {1: "Action", 2: "Unknown_7", 3: "Unknown_None"}
+    assert out.columns == ["k", "g", "name"]
 
 
 def test_pages_and_genre_doc(spark):
@@ -129,18 +140,13 @@ def test_dedup_first_hot_key_and_nulls(spark):
 @settings(max_examples=12, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from([1, 2, 3, None]), st.sampled_from(["a", "b", None]),
                           st.integers(0, 2), st.sampled_from(["x", "y", None])), max_size=60))
-def test_first_candidates_is_exact_prefilter(spark, rows):
+def test_first_candidates_equals_dedup_first(spark, rows):
     df = spark.createDataFrame(rows, "id int, ts string, n int, v string").repartition(3)
     direct = dedup_first(df, ["id"], ["ts", "n"])
-    via = dedup_first(first_candidates(df, ["id"], ["ts"]), ["id"], ["ts", "n"])
+    via = first_candidates(df, ["id"], ["ts", "n"])
     assert sorted(map(tuple, direct.collect()), key=repr) == sorted(map(tuple, via.collect()), key=repr)
-    # candidates keep every row tied on the leading column, and nothing else
-    cand = sorted(map(tuple, first_candidates(df, ["id"], ["ts"]).collect()), key=repr)
-    best = {}
-    for r in rows:
-        k = (r[1] is None, r[1] or "")
-        best[r[0]] = min(best.get(r[0], k), k)
-    assert cand == sorted((r for r in rows if (r[1] is None, r[1] or "") == best[r[0]]), key=repr)
+    # one row per key, ties on the leading column included
+    assert first_candidates(df, ["id"], ["ts"]).count() == len({r[0] for r in rows})
 
 
 def test_lookup_key_types_need_not_match(spark):

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from marquee.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -19,7 +20,8 @@ def test_entry_runs(spark):
 
 
 def test_oracle_keys_are_queries():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
 def _norm(v):

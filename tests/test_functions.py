@@ -82,23 +82,12 @@ def test_clamps(spark):
     assert got == [0, 0, 0, 1]
 
 
-def py_bucket(r):
-    if r < 2:
-        return "0-2"
-    if r < 4:
-        return "2-4"
-    if r < 6:
-        return "4-6"
-    if r < 8:
-        return "6-8"
-    return "8-10"
-
-
 def test_bucket_label(spark):
-    vals = [0.1, 2.0, 3.99, 4.0, 6.0, 8.0, 10.0, 11.0, float("nan")]
-    got = [r[0] for r in one_col(spark, vals, "double").select(
+    expected = [(0.1, "0-2"), (2.0, "2-4"), (3.99, "2-4"), (4.0, "4-6"), (6.0, "6-8"), (7.99, "6-8"), (8.0, "8-10"),
+                (11.0, "8-10"), (float("nan"), "8-10")]
+    got = [r[0] for r in one_col(spark, [v for v, _ in expected], "double").select(
         bucket_label("x", (2.0, 4.0, 6.0, 8.0), ("0-2", "2-4", "4-6", "6-8", "8-10"))).collect()]
-    assert got == [py_bucket(v) for v in vals]
+    assert got == [label for _, label in expected]
 
 
 def test_percent_of_zero_total(spark):
