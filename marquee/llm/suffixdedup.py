@@ -26,7 +26,9 @@ from marquee.llm.shingles import mixed
 
 LENGTH = 200
 GRAM = 32
-HOT = 512  # distinct stretches of a sample beyond which its starts are counted, not grouped
+# Distinct stretches of a sample beyond which its starts are counted instead of grouped: a group
+# of this many is 3 MB of text and about 100 MB of working arrays in its task.
+HOT = 8_000
 BATCH = 4_000  # stretches whose starts are sorted at once
 
 _MUL = np.uint64(6364136223846793005)
