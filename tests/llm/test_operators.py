@@ -10,7 +10,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.llm import bytebpe, chunkdedup, decontam, qualityrules, ruleclassifier, suffixdedup, surrogates, textstats, urlfilter
+from marquee.llm import bytebpe, chunkdedup, decontam, hyperminhash, qualityrules, ruleclassifier, suffixdedup, surrogates, textstats, urlfilter
 from marquee.llm.common import vocabulary
 from marquee.llm.htmltext import extract_main_text, main_text, surge_to_dive
 from marquee.llm.hyperminhash import drop_near_duplicates, near_duplicates
@@ -110,11 +110,13 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, (_, c) in got.items() if d == c}
 
 
-def test_near_duplicates_large_group_of_near_copies(spark):
+@pytest.mark.parametrize("block", [hyperminhash.BLOCK, 70])
+def test_near_duplicates_large_group_of_near_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(hyperminhash, "BLOCK", block)
     rnd = random.Random(9)
     base = prose(rnd, 150).split()
     texts = []
-    for i in range(300):  # more members than a block holds
+    for _ in range(300):
         w = list(base)
         for _ in range(rnd.randrange(5)):
             w[rnd.randrange(len(w))] = f"x{rnd.randrange(10**6)}"
