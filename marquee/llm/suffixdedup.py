@@ -26,7 +26,7 @@ from marquee.llm.shingles import mixed
 
 LENGTH = 200
 GRAM = 32
-# Distinct stretches of a sample beyond which its starts are counted instead of grouped: a group
+# Distinct stretches (rows of contexts) of a sample beyond which its starts are counted instead of grouped: a group
 # of this many is 3 MB of text and about 100 MB of working arrays in its task.
 HOT = 8_000
 BATCH = 4_000  # stretches whose starts are sorted at once
@@ -130,9 +130,10 @@ def names_of(b: np.ndarray, starts: int) -> np.ndarray:
 
 
 def _contexts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of the wanted stretches, cut from their texts."""
+    """The bytes of the wanted stretches, each cut once: copies of a text meet in their tasks
+    and then as one row, so a sample has as many rows as distinct stretches."""
     per_text = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "loc", "m", "n")).alias("wanted"))
-    joined = texts.join(per_text, ["k1", "k2"])
+    joined = texts.groupBy("k1", "k2").agg(F.any_value("text").alias("text")).join(per_text, ["k1", "k2"])
 
     def run(batches):
         for b in batches:

@@ -220,6 +220,25 @@ def test_repeated_strings_in_a_hot_sample(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == exact_removed(texts)
 
 
+def test_each_distinct_stretch_is_cut_once(spark, monkeypatch):
+    kept = {}
+
+    def written(df, name):
+        kept[name] = df.cache()
+        return kept[name]
+    monkeypatch.setattr(suffixdedup, "written", written)
+    rnd = random.Random(6)
+    text = prose(rnd, 150)
+    w = text.split()
+    w[70] = "edited"
+    texts = [text] * 30 + [" ".join(w)]  # the samples beside the edit have two stretches and 31 rows
+    out = suffixdedup.remove_repeated(docs(spark, texts))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()}
+    assert [got[i] for i in range(len(texts))] == exact_removed(texts)
+    cut = kept["contexts"].groupBy("h", "m").count().collect()
+    assert cut and all(r["count"] == r.m for r in cut)
+
+
 # --- 5: quality rules ------------------------------------------------------------------------------
 
 def test_statistics_by_definition():
