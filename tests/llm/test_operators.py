@@ -70,7 +70,7 @@ def test_character_references_as_in_html():
 
 # --- 2: near-duplicates -------------------------------------------------------------------------
 
-def exact_components(rows):
+def exact_components(rows, percent=85):
     sets = {}
     for d, t in rows:
         w = [x for x in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or "")) if x]
@@ -84,7 +84,7 @@ def exact_components(rows):
     ids = sorted(sets)
     for i, a in enumerate(ids):
         for b in ids[i + 1:]:
-            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 parent[y] = x
     return {d: (len(sets[d]), find(d)) for d in ids}

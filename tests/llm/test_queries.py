@@ -82,3 +82,18 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
             assert out[i].token_ids == reference.encode_ordinary(t) and out[i].n_tokens == len(out[i].token_ids)
     replaced = reference.decode(out[private].token_ids)
     assert replaced.startswith(texts[private][:40]) and "ann.34@mail7" not in replaced and "97.51.17.173" not in replaced
+
+
+def test_pipeline_drops_near_copies_from_four_fifths(spark):
+    rnd = random.Random(8)
+    texts = []
+    for _ in range(12):
+        w = prose(rnd, 200).split()
+        for tail in (0, 38, 44, 60):  # similarities of about 0.84, 0.82 and 0.77 to the first
+            texts.append(" ".join(w + prose(rnd, tail).split()))
+    rows = [(i, t, "en", "src", len(t)) for i, t in enumerate(texts)]
+    left = [i for i, (_, c) in exact_components(list(enumerate(texts)), 80).items() if i == c]
+    assert len(left) == 24 and len(set(c for _, c in exact_components(list(enumerate(texts))).values())) == 48
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert sorted(r.doc_id for r in stage(spark, df, "").collect()) == left
