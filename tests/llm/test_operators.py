@@ -49,6 +49,16 @@ def test_main_text_of_pages():
         assert "<p" not in main_text(page[:n])
 
 
+def test_main_text_keeps_links_and_short_parts():
+    refs = "".join(f"<li><a href=x>Source {i}</a></li>" for i in range(4))
+    assert main_text(f"<article><h1><a href=x>Title</a></h1><p>Body</p><ul>{refs}</ul></article><p>out</p>") == (
+        "Title\nBody\nSource 0\nSource 1\nSource 2\nSource 3")
+    # no article marked: a short part behind an advert stays, what lies outside its container goes
+    long = ("long text " * 30).strip()
+    assert main_text(f"<body><div><p>{long}</p><div class=ad>Buy!</div><p>short end</p></div><hr><aside>x</aside><p>tail</p>") == (
+        long + "\nshort end")
+
+
 def test_surge_and_dive():
     assert surge_to_dive([0, 0, 3, 0, 2, 0, 0, 0, 5]) == [(2, 5), (8, 9)]
     assert surge_to_dive([]) == surge_to_dive([0, 0]) == []
