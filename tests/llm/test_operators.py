@@ -59,6 +59,18 @@ def test_main_text_keeps_links_and_short_parts():
         long + "\nshort end")
 
 
+@pytest.mark.parametrize("before", ["<html><head><meta charset=x><link><noscript><div>no</div></noscript><body>", "<body><nav><a>Home</a>", "<body><form>ask", "<body><select><option>one",
+                                    "<body><div id=w><div class=ad>Buy!", "<body><svg><path/>", "<head><body><div><nav>Home</div>"])
+def test_main_text_behind_an_unclosed_element(before):
+    end = "</div></body></html>" if "id=w" in before else "</body></html>"
+    assert main_text(before + "<article><p>One</p><p>Two</p></article>" + end) == "One\nTwo"
+
+
+def test_main_text_without_articles_of_skipped_elements():
+    assert main_text("<div><article><p>One</p></article><div class=comments><article><p>I agree</p></article></div></div>") == "One"
+    assert main_text("<head><p>One</p><div><nav>Home</div><p>Two</p>") == "One\nTwo"
+
+
 def test_surge_and_dive():
     assert surge_to_dive([0, 0, 3, 0, 2, 0, 0, 0, 5]) == [(2, 5), (8, 9)]
     assert surge_to_dive([]) == surge_to_dive([0, 0]) == []
