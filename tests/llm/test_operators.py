@@ -156,6 +156,37 @@ def test_near_duplicates_odd_rows(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [hyperminhash.BLOCK, 5])
+def test_near_duplicates_of_short_texts(spark, monkeypatch, block):
+    monkeypatch.setattr(hyperminhash, "BLOCK", block)
+    rnd = random.Random(3)
+    texts = []
+    for _ in range(700):  # 7 and 6 shingles with 6 in common: similarity 0.857
+        w = prose(rnd, 11).split()
+        texts += [" ".join(w), " ".join(w[:-1])]
+    for n in (60, 68, 74, 79):  # on both sides of what is linked exactly
+        w = prose(rnd, n).split()
+        texts += [" ".join(w), " ".join(w[:-5]), " ".join(w[:-11])]
+    out = near_duplicates(docs(spark, texts)).collect()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in out}
+    assert all(got[2 * i + 1][1] == got[2 * i][1] for i in range(700))
+    tail = list(enumerate(texts))[1400:]
+    assert {d: got[d] for d, _ in tail} == exact_components(tail)
+
+
+def test_short_pairs_that_share_no_band_are_linked(spark):
+    rnd = random.Random(3)
+    texts = []
+    while len(texts) < 4:  # drawn until the bands miss two linked texts
+        w = prose(rnd, 11).split()
+        a, b = (hyperminhash.shingle_set(" ".join(x)) for x in (w, w[:-1]))
+        x, y = (hyperminhash.band_keys(hyperminhash.registers(s)) for s in (a, b))
+        if len(a) == 7 and not set(x) & set(y):
+            texts += [" ".join(w), " ".join(w[:-1])]
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs(spark, texts)).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2}
+
+
 # --- 3: surrogates -------------------------------------------------------------------------------
 
 PRIVATE = ('Mail ann.34@mail7.example.com or +1 (017) 555-7713, card 4929348385146306 not 9807915762804490, 97.51.17.173, '
