@@ -34,8 +34,8 @@ PATTERNS = {
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<!\w)[2-6]\d{3}(?:(?: \d{4}){3}|(?:-\d{4}){3}|\d{9,12})(?!\w)",
-    "secret": r"(?<!\w)(?:(?=[a-f]*+\d)(?=\d*+[a-f])[0-9a-f]{32,128}|(?=[A-F]*+\d)(?=\d*+[A-F])[0-9A-F]{32,128}"
-              r"|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?!\w)",
+    "secret": r"(?<!\w)(?:(?=[a-f]*+\d)(?=\d*+[a-f])[0-9a-f]{32,}+|(?=[A-F]*+\d)(?=\d*+[A-F])[0-9A-F]{32,}+"
+              r"|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)(?!\w)",
     "name": r"(?<!\p{L})(?:" + "|".join(TITLES_M + TITLES_F) + r")\.? \p{Lu}\p{L}+(?:[ -]\p{Lu}\p{L}+)?(?!\p{L})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -90,6 +90,12 @@ def _hex(key: str, kind: Column, norm: Column, attempt: Column, n: int) -> Colum
     return F.concat(*[F.sha2(F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string"), F.lit(str(i))), 256) for i in range(n)])
 
 
+def _long_hex(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
+    """As many keyed hexadecimal digits as ``norm`` has characters, or more."""
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.floor(F.length(norm) / 64).cast("int")), lambda i: F.sha2(
+        F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string"), i.cast("string")), 256)), "")
+
+
 _HEX = "0123456789abcdef"
 
 
@@ -124,10 +130,11 @@ def draw(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     card = F.concat(body, ((10 - total % 10) % 10).cast("string"))
     octet = lambda k: (F.conv(F.substr(stream, F.lit(k), F.lit(6)), 16, 10).cast("int") % 254 + 1).cast("string")
     ip = F.concat_ws(".", octet(1), octet(9), octet(17), octet(25))
-    secret = F.when(F.rlike(norm, F.lit("^[0-9a-f]+$")), F.substr(stream, F.lit(1), F.length(norm))) \
-              .when(F.rlike(norm, F.lit("^[0-9A-F]+$")), F.upper(F.substr(stream, F.lit(1), F.length(norm)))) \
+    long = F.when(F.length(norm) > 128, _long_hex(key, kind, norm, attempt)).otherwise(stream)
+    secret = F.when(F.rlike(norm, F.lit("^[0-9a-f]+$")), F.substr(long, F.lit(1), F.length(norm))) \
+              .when(F.rlike(norm, F.lit("^[0-9A-F]+$")), F.upper(F.substr(long, F.lit(1), F.length(norm)))) \
               .otherwise(F.concat(F.regexp_extract(norm, "^(AKIA|gh[a-z]_|sk-)", 1),
-                                  _shaped(F.regexp_replace(norm, "^(AKIA|gh[a-z]_|sk-)", ""), stream)))
+                                  _shaped(F.regexp_replace(norm, "^(AKIA|gh[a-z]_|sk-)", ""), long)))
     iban = F.concat(F.substr(norm, F.lit(1), F.lit(2)), _shaped(F.substr(norm, F.lit(3)), stream))
     out = (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ip", ip)
             .when(kind == "ssn", F.concat(F.lit("9"), F.substr(digits, F.lit(1), F.lit(8)))).when(kind == "iban", iban)

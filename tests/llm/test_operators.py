@@ -231,6 +231,16 @@ def test_surrogates_are_distinct_despite_a_small_space(spark):
     assert len(set(out)) == len(mails) and not set(out) & {"write to " + m for m in mails}
 
 
+def test_surrogates_of_long_secrets(spark):
+    rnd = random.Random(2)
+    secrets = ["".join(rnd.choice("0123456789abcdef") for _ in range(n)) for n in (128, 129, 256, 700)]
+    secrets += [secrets[2].upper(), "sk-" + "".join(rnd.choice("abcXYZ0189") for _ in range(200))]
+    out = {r.doc_id: r.text for r in surrogates.replace_entities(docs(spark, [f"key {x}." for x in secrets]), "k").collect()}
+    for i, x in enumerate(secrets):
+        assert len(out[i]) == len(x) + 5 and x not in out[i]
+        assert re.fullmatch(r"key (sk-[A-Za-z0-9]+|[0-9a-f]+|[0-9A-F]+)\.", out[i])
+
+
 # --- 4: repeated byte strings ----------------------------------------------------------------------
 
 def exact_removed(texts, length=200):
