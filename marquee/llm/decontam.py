@@ -2,9 +2,9 @@
 
 The documents of one Arrow batch form a shard.  Its words become codes of the benchmark's
 vocabulary (0 for any other word), and the suffixes that can begin a match are sorted by
-their first words: the shard's suffix array.  Every suffix of every benchmark item is binary
-searched in it, which gives its longest verbatim matches and where they lie.  Occurrences of
-whole windows mark the words of a document that are hit.
+their first words: the shard's suffix array.  Every whole window of every benchmark item is
+binary searched in it; no longest matches are computed.  Occurrences of whole windows mark the
+words of a document that are hit.
 
 The benchmark travels to the tasks in blocks of bounded size; documents are not shuffled.
 """
