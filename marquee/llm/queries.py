@@ -17,6 +17,7 @@ from marquee.llm.ruleclassifier import classify
 from marquee.llm.suffixdedup import remove_repeated
 from marquee.llm.surrogates import replace_entities
 from marquee.llm.urlfilter import judge_urls
+from marquee.llm.whitening import whiten
 
 
 def op1_main_text(spark, sf_dir):
@@ -68,6 +69,11 @@ def op10_quality_classifier(spark, sf_dir):
     return classify(stats, read(spark, sf_dir, "labels", "doc_id", "quality")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op12_embedding_whitening(spark, sf_dir):
+    rows = whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_near_duplicates": op2_near_duplicates,
@@ -79,5 +85,6 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
