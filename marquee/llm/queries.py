@@ -8,6 +8,7 @@ import corpus_pipeline
 from marquee.llm import qualityrules
 from marquee.llm.bytebpe import encode_and_decode
 from marquee.llm.chunkdedup import remove_repeats
+from marquee.llm.collocations import collocations
 from marquee.llm.common import read, vocabulary, written
 from marquee.llm.decontam import find_leaks
 from marquee.llm.hyperminhash import near_duplicates
@@ -74,6 +75,10 @@ def op12_embedding_whitening(spark, sf_dir):
     return rows.withColumn("deviation", F.col("deviation").cast("long"))
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations(read(spark, sf_dir, "documents", "lang", "text"))
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_near_duplicates": op2_near_duplicates,
@@ -86,5 +91,6 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_quality_classifier": op10_quality_classifier,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
 }
