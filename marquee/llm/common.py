@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -32,12 +34,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SLICE_BYTES = 4_000_000  # text turned into Python objects at a time, rounded up to whole texts
+
+
+def slices(batch: pa.RecordBatch, columns: Sequence[str], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch, so many at a time that ``columns`` (text or binary ones
+    count) hold about ``limit`` bytes."""
+    size = np.zeros(batch.num_rows, dtype=np.int64)
+    for c in columns:
+        values = batch.column(batch.schema.get_field_index(c))
+        if pa.types.is_string(values.type) or pa.types.is_binary(values.type) or pa.types.is_large_string(values.type):
+            size += pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    total = np.cumsum(size)
+    at = 0
+    while at < batch.num_rows:
+        before = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, before + limit, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def add_columns(df: DataFrame, inputs: Sequence[str], outputs: str | T.StructType,
                 make: Callable[[], Callable], keep: Sequence[str] | None = None) -> DataFrame:
     """``df`` with columns computed batch by batch in Python (Arrow, no shuffle).
 
     ``make()`` runs once per task and gives ``f(*lists) -> lists``: the values of ``inputs``
-    in, one list per output column back, row for row.  ``keep`` names the columns carried
+    in, some megabytes at a time, one list per output column back, row for row.  ``keep`` names the columns carried
     through (default: all); a carried column that clashes with an output name is replaced.
     """
     out = outputs if isinstance(outputs, T.StructType) else T.StructType.fromDDL(outputs)
@@ -50,11 +72,12 @@ def add_columns(df: DataFrame, inputs: Sequence[str], outputs: str | T.StructTyp
 
         f = make()
         types = [to_arrow_type(x.dataType) for x in out.fields]
-        for b in batches:
-            got = f(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in inputs])
-            new = [pa.array(v, type=t) for v, t in zip(got, types, strict=True)]
-            carried = [b.column(b.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays(carried + new, names=schema.names)
+        for whole in batches:
+            for b in slices(whole, inputs):
+                got = f(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in inputs])
+                new = [pa.array(v, type=t) for v, t in zip(got, types, strict=True)]
+                carried = [b.column(b.schema.get_field_index(c)) for c in kept]
+                yield pa.RecordBatch.from_arrays(carried + new, names=schema.names)
 
     need = [c for c in df.columns if c in kept or c in inputs]
     return df.select(*need).mapInArrow(run, schema)

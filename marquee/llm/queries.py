@@ -13,6 +13,7 @@ from marquee.llm.common import read, vocabulary, written
 from marquee.llm.decontam import find_leaks
 from marquee.llm.hyperminhash import near_duplicates
 from marquee.llm.htmltext import extract_main_text
+from marquee.llm.ordermin import document_fingerprints
 from marquee.llm.oracles import ORACLES  # noqa: F401  (re-exported for the entry module)
 from marquee.llm.ruleclassifier import classify
 from marquee.llm.suffixdedup import remove_repeated
@@ -70,6 +71,10 @@ def op10_quality_classifier(spark, sf_dir):
     return classify(stats, read(spark, sf_dir, "labels", "doc_id", "quality")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_document_fingerprints(spark, sf_dir):
+    return document_fingerprints(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op12_embedding_whitening(spark, sf_dir):
     rows = whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
     return rows.withColumn("deviation", F.col("deviation").cast("long"))
@@ -90,6 +95,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_document_fingerprints": op11_document_fingerprints,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
