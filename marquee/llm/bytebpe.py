@@ -18,14 +18,18 @@ import types
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marquee.llm.common import add_columns
+from marquee.llm.common import struct_of
 
 # Pieces of more bytes than this are contracted by a priority queue under the same rule: the
 # rows of the recursive query grow with the square of a piece's length.
 LONG_PIECE = 512
-# Cached chunks or pieces per worker before a cache starts anew (bounds memory, not the data).
-CACHE = 800_000
+# Cached chunks and pieces per worker before a cache starts anew (bounds memory, not the data).
+CACHE = 600_000
+# Pieces and bytes that one query contracts: its rows stay far below the memory it may use.
+QUERY_PIECES, QUERY_BYTES = 40_000, 600_000
 
 # Positions count through a query, 4096 to a word (g >> 12 is the word).  A row holds its
 # token and its right neighbour; b is the pair that a word contracts, with what lies to the
@@ -64,7 +68,8 @@ class Encoder:
         import duckdb
 
         self.ranks, self.tokens = ranks, {i: t for t, i in ranks.items()}
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
+        # no folder to spill to: a query's rows are bounded
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t))
                   if t[:k] in ranks and t[k:] in ranks]
         self._table("merges", a=[m[0] for m in merges], b=[m[1] for m in merges], merged=[m[2] for m in merges])
@@ -92,8 +97,12 @@ class Encoder:
                 self.known[p] = (" ".join(map(str, ids)), b"".join([self.tokens[i] for i in ids]))
             else:
                 rows.append((p, data))
-        for at in range(0, len(rows), 40_000):
-            part = rows[at:at + 40_000]
+        ends = np.cumsum([len(d) for _, d in rows])
+        at = 0
+        while at < len(rows):
+            limit = (ends[at - 1] if at else 0) + QUERY_BYTES
+            part = rows[at:min(at + QUERY_PIECES, int(np.searchsorted(ends, limit, side="right")))]
+            at += len(part)
             sizes = np.array([len(d) for _, d in part])
             starts = np.cumsum(sizes) - sizes
             g = (np.repeat(np.arange(len(part)) * 4096 - starts, sizes) + np.arange(sizes.sum()))
@@ -175,17 +184,23 @@ def make_encoder(data: bytes, pattern: str):
     encoder, splitter, chunks = cache[key]
 
     def remember(new: set[str]) -> None:
+        """Learn the chunks; a piece that is a chunk by itself is kept among the chunks only."""
         pieces = {c: splitter.findall(c) for c in new}
-        if len(encoder.known) + len(new) > CACHE:
+        if len(encoder.known) + len(chunks) + len(new) > CACHE:
             encoder.known.clear()
-        encoder.learn({p for ps in pieces.values() for p in ps})
         known = encoder.known
+        encoder.learn({p for ps in pieces.values() for p in ps if p not in chunks})
+        several = {}
         for c, ps in pieces.items():
             if len(ps) == 1:
                 chunks[c] = known[ps[0]]
             else:
-                got = [known[p] for p in ps]
-                chunks[c] = (" ".join([g[0] for g in got]), b"".join([g[1] for g in got]))
+                got = [known[p] if p in known else chunks[p] for p in ps]
+                several[c] = (" ".join([g[0] for g in got]), b"".join([g[1] for g in got]))
+        for c, ps in pieces.items():
+            if len(ps) == 1:
+                known.pop(c, None)
+        chunks.update(several)
 
     def encode(texts: list[str]) -> list[tuple[str, int, bytes]]:
         """The chunks of all texts are learnt together, so few queries run."""
@@ -209,10 +224,11 @@ def make_encoder(data: bytes, pattern: str):
     return encode
 
 
-def encode_and_decode(df: DataFrame, ranks: str, pattern: str, text: str = "text", keep=None, ids: bool = False) -> DataFrame:
+def encode_and_decode(df: DataFrame, ranks: str, pattern: str, text: str = "text", keep=None, ids: bool = False,
+                      decoded: bool | None = None) -> DataFrame:
     """``df`` with ``n_tokens``, ``ids_sha256`` (decimal ids joined by a space) and
     ``decoded_sha256`` (bytes decoded from the ids); with ``ids`` also ``token_ids``
-    (array) and ``decoded`` (text).
+    (array) and, unless ``decoded`` is false, ``decoded`` (text).
 
     ``ranks`` is the path of the rank file as the driver sees it; its content (about a
     megabyte, a fixed vocabulary) is broadcast.  Row by row, without a shuffle: repeated rows
@@ -221,7 +237,8 @@ def encode_and_decode(df: DataFrame, ranks: str, pattern: str, text: str = "text
     """
     with open(ranks, "rb") as f:
         shared = df.sparkSession.sparkContext.broadcast(f.read())
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>, decoded string" if ids else "")
+    decoded = ids if decoded is None else decoded
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids + ", decoded string" * decoded
 
     def make():
         encode = make_encoder(shared.value, pattern)
@@ -229,9 +246,16 @@ def encode_and_decode(df: DataFrame, ranks: str, pattern: str, text: str = "text
         def f(texts):
             out = []
             for group in grouped([t or "" for t in texts]):
-                for s, n, back in encode(group):
-                    row = [n, hashlib.sha256(s.encode()).hexdigest(), hashlib.sha256(back).hexdigest()]
-                    out.append(row + ([np.fromstring(s, dtype=np.int32, sep=" "), back.decode()] if ids else []))
-            return tuple(zip(*out, strict=True)) if out else ((),) * (5 if ids else 3)
+                for line, n, back in encode(group):
+                    row = [n, hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(back).hexdigest()]
+                    if ids:
+                        row.append(np.fromstring(line, dtype=np.int32, sep=" "))
+                    if decoded:
+                        row.append(back.decode())
+                    out.append(row)
+            return tuple(zip(*out, strict=True)) if out else ((),) * (3 + ids + decoded)
         return f
-    return add_columns(df, [text], schema, make, keep)
+    # the texts alone go to Python, the columns kept wait in the JVM
+    out = T.StructType.fromDDL(schema).names
+    kept = [F.col(f"`{c}`") for c in (df.columns if keep is None else keep) if c not in out]
+    return df.select(*kept, struct_of(F.col(f"`{text}`"), schema, make).alias("__coded")).select(*kept, "__coded.*")

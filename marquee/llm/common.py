@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.session import work_path
@@ -54,12 +55,36 @@ def slices(batch: pa.RecordBatch, columns: Sequence[str], limit: int = SLICE_BYT
         at = end
 
 
+def struct_of(text, ddl: str, make: Callable[[], Callable]) -> Column:
+    """A struct column computed from a text column in Python.
+
+    Only the text crosses to Python, once, and only the struct comes back; the rest of a row
+    waits in the JVM, which spills it.  ``make()`` runs once per task and gives
+    ``f(texts) -> lists``, one list per field of ``ddl``, for some megabytes of text at a time.
+    """
+    fields = T.StructType.fromDDL(ddl).fields
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        f = make()
+        types, names = [to_arrow_type(x.dataType) for x in fields], [x.name for x in fields]
+        for column in columns:
+            whole = pa.RecordBatch.from_arrays([column], ["text"])
+            parts = [pa.StructArray.from_arrays([pa.array(v, type=t) for v, t in zip(f(b.column(0).to_pylist()), types, strict=True)], names)
+                     for b in slices(whole, ["text"])]
+            kind = pa.struct(list(zip(names, types, strict=True)))
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+    # never computed twice for two uses of its fields
+    return F.arrow_udf(run, T.StructType(fields)).asNondeterministic()(text)
+
+
 def add_columns(df: DataFrame, inputs: Sequence[str], outputs: str | T.StructType,
                 make: Callable[[], Callable], keep: Sequence[str] | None = None) -> DataFrame:
     """``df`` with columns computed batch by batch in Python (Arrow, no shuffle).
 
     ``make()`` runs once per task and gives ``f(*lists) -> lists``: the values of ``inputs``
-    in, some megabytes at a time, one list per output column back, row for row.  ``keep`` names the columns carried
+    in, one list per output column back, row for row.  ``keep`` names the columns carried
     through (default: all); a carried column that clashes with an output name is replaced.
     """
     out = outputs if isinstance(outputs, T.StructType) else T.StructType.fromDDL(outputs)
@@ -72,12 +97,11 @@ def add_columns(df: DataFrame, inputs: Sequence[str], outputs: str | T.StructTyp
 
         f = make()
         types = [to_arrow_type(x.dataType) for x in out.fields]
-        for whole in batches:
-            for b in slices(whole, inputs):
-                got = f(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in inputs])
-                new = [pa.array(v, type=t) for v, t in zip(got, types, strict=True)]
-                carried = [b.column(b.schema.get_field_index(c)) for c in kept]
-                yield pa.RecordBatch.from_arrays(carried + new, names=schema.names)
+        for b in batches:
+            got = f(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in inputs])
+            new = [pa.array(v, type=t) for v, t in zip(got, types, strict=True)]
+            carried = [b.column(b.schema.get_field_index(c)) for c in kept]
+            yield pa.RecordBatch.from_arrays(carried + new, names=schema.names)
 
     need = [c for c in df.columns if c in kept or c in inputs]
     return df.select(*need).mapInArrow(run, schema)

@@ -12,10 +12,10 @@ The benchmark travels to the tasks in blocks of bounded size; documents are not
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import add_columns, written
+from marquee.llm.common import add_columns, struct_of, written
 
 WINDOW = 10
 BLOCK_BYTES = 8_000_000  # benchmark text that one pass carries to the tasks
@@ -183,6 +183,20 @@ def _find(df: DataFrame, block, text: str, window: int, keep) -> DataFrame:
     return add_columns(df, [text], f"__words long, __spans {SPANS}, __items array<string>", make, keep)
 
 
+def _benchmark_blocks(benchmark: DataFrame, item_id: str, item_text: str, block_bytes: int) -> list:
+    """Functions that each fetch one block of the benchmark, ``[(id, text)]``, of about
+    ``block_bytes``."""
+    items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("i"), F.col(item_text).alias("t")) \
+                     .filter(F.col("t").isNotNull())
+    total = items.agg(F.coalesce(F.sum(F.octet_length("t") + F.octet_length("i")), F.lit(0))).first()[0]
+    blocks = -(-total // block_bytes) or 1
+
+    def block(k: int):
+        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k)
+        return [(r["i"], r["t"]) for r in part.collect()]
+    return [lambda k=k: block(k) for k in range(blocks)]
+
+
 def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
                item_text: str = "text", window: int = WINDOW, keep=None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``df`` with ``n_words``, ``n_hit`` (words inside an occurrence of a window of
@@ -198,22 +212,15 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
     """
     names = ("n_words", "n_hit", "leak_spans", "leak_items", "contaminated")
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
-    items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("i"), F.col(item_text).alias("t")) \
-                     .filter(F.col("t").isNotNull())
-    total = items.agg(F.coalesce(F.sum(F.octet_length("t") + F.octet_length("i")), F.lit(0))).first()[0]
-    blocks = -(-total // block_bytes) or 1
-
-    def block(k: int):
-        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k)
-        return [(r["i"], r["t"]) for r in part.collect()]
+    blocks = _benchmark_blocks(benchmark, item_id, item_text, block_bytes)
 
-    if blocks == 1:
-        found = _find(df, block(0), text, window, kept)
+    if len(blocks) == 1:
+        found = _find(df, blocks[0](), text, window, kept)
     else:
         texts = df.select(F.col(text).alias("__text"), F.sha2(F.col(text), 256).alias("__digest"))
         hits = []
-        for k in range(blocks):
-            part = _find(texts, block(k), "__text", window, ["__digest"]).filter(F.size("__items") > 0)
+        for block in blocks:
+            part = _find(texts, block(), "__text", window, ["__digest"]).filter(F.size("__items") > 0)
             hits.append(written(part.select("__digest", "__spans", "__items").dropDuplicates(["__digest"]), "leaks"))
         union = hits[0]
         for h in hits[1:]:
@@ -245,6 +252,17 @@ def _union_of_spans(spans: str):
 
 
 def remove_leaked(df: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """The documents without any window of the benchmark, with their own columns."""
-    carried = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(text).alias("__text"))
-    return find_leaks(carried, benchmark, "__text", window=window, keep=["__row"]).filter(~F.col("contaminated")).select("__row.*")
+    """The documents without any window of the benchmark, with their own columns.  Only texts
+    go to Python, and one truth value each comes back."""
+    for block in _benchmark_blocks(benchmark, "item_id", "text", BLOCK_BYTES):
+        df = df.filter(~_hit(df, block(), text, window))
+    return df
+
+
+def _hit(df: DataFrame, block, text: str, window: int) -> Column:
+    shared = df.sparkSession.sparkContext.broadcast(block)
+
+    def make():
+        items = Items(shared.value, window)
+        return lambda texts: ([bool(g[2]) for g in matches(texts, items)],)
+    return struct_of(F.col(f"`{text}`"), "hit boolean", make)["hit"]

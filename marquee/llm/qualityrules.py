@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import textstats
-from marquee.llm.common import add_columns
+from marquee.llm.common import add_columns, struct_of
 
 
 @dataclass(frozen=True)
@@ -154,11 +154,14 @@ def filter_quality(df: DataFrame, text: str = "text", rules: Sequence[VoteRule]
     """The rows of ``df`` that are kept, with its own columns.
 
     The statistics are computed twice (to fit, then to judge) instead of shuffling or storing
-    the texts.  Repeated rows are judged alike and all stay or all go; NULL and empty texts
-    have no words and go; an empty table stays empty; columns named like a statistic are
-    carried through untouched.
+    the texts; to judge, a text goes to Python once, by itself, and only numbers come back.
+    Repeated rows are judged alike and all stay or all go; NULL and empty texts have no
+    words and go; an empty table stays empty; columns named like a statistic are carried
+    through untouched.
     """
-    model = fit_votes(vote_counts(with_stats(df, text, keep=[]), rules), rules)
-    carried = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(text).alias("__text"))
-    judged = judge(with_stats(carried, "__text", keep=["__row"]), model)
+    seen = df.select(struct_of(F.col(f"`{text}`"), textstats.DDL, textstats.make_stats).alias("__stats")).select("__stats.*")
+    model = fit_votes(vote_counts(seen, rules), rules)
+    carried = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"))
+    stats = struct_of(F.col(f"__row.`{text}`"), textstats.DDL, textstats.make_stats)
+    judged = judge(carried.withColumn("__stats", stats).select("__row", "__stats.*"), model)
     return judged.filter("kept").select("__row.*")
