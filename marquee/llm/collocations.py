@@ -28,7 +28,7 @@ LONGEST = 4  # words of a phrase
 MIN_COUNT = 30
 COVERED = 80  # per cent of a phrase's occurrences that a longer one must have to replace it
 TOP = 2000  # phrases reported per language
-SHARD_BYTES = 6_000_000  # text of a shard, rounded up to whole texts
+SHARD_BYTES = 3_000_000  # text of a shard, rounded up to whole texts
 FILTER_BITS = 24  # the bitmap of frequent phrases has 2**FILTER_BITS bits: two megabytes at any size of corpus
 UNKNOWN = "und"  # language of rows without one
 
@@ -37,6 +37,11 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else 10 if c in b".,;:!?
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _free_at_once() -> None:
+    """Arrow's own allocator keeps what a worker has once used; the system's gives it back."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 # --- words of a shard -------------------------------------------------------------------------
 
 def word_codes(texts: list[str]) -> tuple[np.ndarray, list[bytes]]:
@@ -62,7 +67,7 @@ def word_hash(lang: str, word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(lang.encode() + b"\0" + word)
 
 
-def shards(batches, limit: int = SHARD_BYTES):
+def shards(batches, limit: int):
     """The texts of Arrow batches (lang, text) by language, some megabytes at a time."""
     held, size = {}, 0
     for b in batches:
@@ -83,10 +88,11 @@ def shards(batches, limit: int = SHARD_BYTES):
         yield held
 
 
-def count_words(df: DataFrame, lang: str, text: str) -> DataFrame:
+def count_words(df: DataFrame, lang: str, text: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``(lang, word, h, f)``: every word of every language with its number and its count."""
     def run(batches):
-        for held in shards(batches):
+        _free_at_once()
+        for held in shards(batches, shard_bytes):
             for name, texts in held.items():
                 codes, words = word_codes(texts)
                 f = np.bincount(codes, minlength=len(words) + 1)[1:]
@@ -114,9 +120,9 @@ class HalfIndex:
     def __init__(self, bwt: np.ndarray, first: np.ndarray):
         self.bwt, self.first = bwt, first  # first[c]: row where words c begin, one more at the end
         # by word, then row: one sort of packed numbers
-        order = np.sort((bwt.astype(np.int64) << 32) + np.arange(len(bwt))) & 0xFFFFFFFF
-        self.step = np.empty(len(bwt), dtype=np.int64)
-        self.step[order] = np.arange(len(bwt))
+        order = np.sort((bwt.astype(np.int64) << 32) + np.arange(len(bwt)))
+        self.step = np.empty(len(bwt), dtype=np.int32)
+        self.step[order & 0xFFFFFFFF] = np.arange(len(bwt), dtype=np.int32)
 
     @classmethod
     def of(cls, w: np.ndarray, words: int) -> HalfIndex:
@@ -188,10 +194,11 @@ def _extended(half: HalfIndex, low: np.ndarray, other: np.ndarray, count: np.nda
     and word arrive side by side, as one interval.  In the other direction the result lies
     behind the phrase's ends of pieces and its extensions by smaller words."""
     rows = len(half.bwt)
-    label = np.full(rows, -1, dtype=np.int64)
-    order = np.argsort(low, kind="stable")
+    label = np.full(rows, -1, dtype=np.int32)
+    order = np.argsort(low, kind="stable").astype(np.int32)
     covered = np.repeat(order, count[order])
-    at = np.repeat(low[order] - (np.cumsum(count[order]) - count[order]), count[order]) + np.arange(len(covered))
+    shift = (low[order] - (np.cumsum(count[order]) - count[order])).astype(np.int32)
+    at = np.repeat(shift, count[order]) + np.arange(len(covered), dtype=np.int32)
     word = half.bwt[at]
     inside = word > 0
     label[half.step[at[inside]]] = covered[inside]
@@ -256,14 +263,15 @@ def passes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 INDEX = "names binary, counts binary, ahead binary, behind binary"
 
 
-def build_indexes(df: DataFrame, lang: str, text: str, frequent_words: np.ndarray) -> DataFrame:
+def build_indexes(df: DataFrame, lang: str, text: str, frequent_words: np.ndarray, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per shard: its dictionary and both transforms as packed integers.  Words that are
     not frequent end a piece, since no phrase with one can be frequent."""
     shared = df.sparkSession.sparkContext.broadcast(frequent_words)
 
     def run(batches):
+        _free_at_once()
         bitmap = shared.value
-        for held in shards(batches):
+        for held in shards(batches, shard_bytes):
             codes, names, size = [], [], 0
             for name, texts in held.items():
                 c, words = word_codes(texts)
@@ -309,6 +317,7 @@ def phrase_counts(indexes: DataFrame, length: int, bitmaps: dict[int, np.ndarray
     names = [f"h{k + 1}" for k in range(length)]
 
     def run(batches):
+        _free_at_once()
         maps = shared.value
         for b in batches:
             for row in range(b.num_rows):
@@ -352,7 +361,7 @@ def scored(words: DataFrame, phrases: dict[int, DataFrame], covered: int) -> Dat
 
 
 def collocations(df: DataFrame, lang: str = "lang", text: str = "text", min_count: int = MIN_COUNT,
-                 covered: int = COVERED, top: int = TOP) -> DataFrame:
+                 covered: int = COVERED, top: int = TOP, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Per language its ``top`` phrases of 2 to 4 words: ``lang``, ``rank``, ``phrase``, ``a``, ``l``,
     ``r``, ``n``, ``score`` and the numbers of frequent phrases that extend it by a word on
     either side, ``n_left`` and ``n_right``.
@@ -367,12 +376,12 @@ def collocations(df: DataFrame, lang: str = "lang", text: str = "text", min_coun
     time, whole texts are read whatever their length, an empty table gives no rows, and
     other columns are not looked at.  Two words of one 64-bit number raise an error.
     """
-    words = written(count_words(df, lang, text), "words")
+    words = written(count_words(df, lang, text, shard_bytes), "words")
     frequent = written(words.filter(F.col("f") >= min_count), "frequent-words")
     if frequent.groupBy("h").count().filter("count > 1").limit(1).count():
         raise RuntimeError("two words share a 64-bit number")
     bitmaps = {1: frequent_bitmap(frequent.select(F.col("h").alias("h1")), 1)}
-    indexes = written(build_indexes(df, lang, text, bitmaps.pop(1)), "shard-indexes")
+    indexes = written(build_indexes(df, lang, text, bitmaps.pop(1), shard_bytes), "shard-indexes")
     phrases = {}
     for n in range(2, LONGEST + 1):
         phrases[n] = written(phrase_counts(indexes, n, bitmaps, min_count), f"phrases-{n}")

@@ -70,11 +70,10 @@ def corpus(rnd, documents=60):
 
 
 @pytest.mark.parametrize("min_count,covered,top", [(3, 80, 2000), (5, 60, 7), (1, 100, 50)])
-def test_collocations_equal_plain_counting(spark, monkeypatch, min_count, covered, top):
-    monkeypatch.setattr(C, "SHARD_BYTES", 300)
+def test_collocations_equal_plain_counting(spark, min_count, covered, top):
     data = corpus(random.Random(min_count)) + [(900, None, None, None), (901, "fr", "", None), (902, "fr", " . ", None)]
     df = spark.createDataFrame(data + data[:5], SCHEMA).repartition(4)
-    got = result(C.collocations(df, min_count=min_count, covered=covered, top=top))
+    got = result(C.collocations(df, min_count=min_count, covered=covered, top=top, shard_bytes=300))
     assert got == brute_force([(r[1], r[2]) for r in data + data[:5]], min_count, covered, top)
     assert got
 
