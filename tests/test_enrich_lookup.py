@@ -9,6 +9,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from marquee.operators.dedup import dedup_first, first_candidates
 from marquee.operators.enrich import enrich_records
+from marquee.operators import lookup
 from marquee.operators.lookup import lookup_name, lookup_names
 from marquee.schemas import MESSAGE_FIELDS, RAW_RECORD
 from marquee.sources.readers import genre_dim_from_doc, records_from_pages
@@ -93,6 +94,55 @@ def test_lookup_is_the_same_for_any_size_of_dimension(spark):
         assert sorted((r.id, r.genres) for r in rows) == [(1, ["Action", expected]), (1, ["Unknown_10"]), (2, ["Action"])]
 
 
+def _large(spark):
+    return dim(spark).unionByName(spark.range(1000, 6000).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("n"), "id").alias("name")))
+
+
+def test_joined_lookup_keeps_rows_arrays_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, [28, 1500, 28, None], "a"), (1, [28, 1500, 28, None], "a"), (2, [], "b"), (3, None, "c"),
+                                (None, [99_999, 1000], None)], "k int, names array<bigint>, __name string")
+    want = sorted([(1, ["Action", "n1500", "Action", "Unknown_None"], "a")] * 2 + [(2, [], "b"), (3, None, "c"),
+                  (None, ["Unknown_99999", "n1000"], None)], key=repr)
+    out = lookup_names(df, "names", _large(spark), "id", "name", "names")  # replaces its own input
+    assert sorted(((r["k"], r["names"], r["__name"]) for r in out.collect()), key=repr) == want
+    assert lookup_names(df.filter("false"), "names", _large(spark), "id", "name", "names").collect() == []
+
+
+def test_hot_and_missing_keys_are_spread_over_tasks(spark, monkeypatch):
+    """A third of all elements has one key, a third none: after the salt no shuffle partition
+    gets more than twice the median, and the result is that of the dictionary."""
+    parts = 8
+    seen = {}
+    original = lookup._salted
+
+    def watched(items, names, hot):
+        seen["hot"] = hot
+        items, names = original(items, names, hot)
+        sizes = items.repartition(parts, "__probe", "__salt").groupBy(F.spark_partition_id()).count().collect()
+        seen["sizes"] = sorted(r["count"] for r in sizes)
+        return items, names
+    monkeypatch.setattr(lookup, "_salted", watched)
+    n = 6000
+    rows = spark.range(n).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, F.array(F.lit(28)))
+                                 .when(F.col("id") % 3 == 1, F.array((F.col("id") + 1000).cast("int"))).alias("ids"))
+    got = {r["k"]: r["names"] for r in lookup_names(rows, "ids", _large(spark), "id", "name", "names").collect()}
+    assert seen["hot"] == [28]
+    assert len(seen["sizes"]) == parts and seen["sizes"][-1] <= 2 * seen["sizes"][parts // 2]
+    for k in range(n):
+        expected = None if k % 3 == 2 else ["Action"] if k % 3 == 0 else [f"n{k + 1000}" if k + 1000 < 6000 else f"Unknown_{k + 1000}"]
+        assert got[k] == expected
+
+
+def test_lookup_plans_its_input_once(spark):
+    """Scans and joins of the registered lookups: each table once."""
+    from marquee.plans.queries import QUERIES
+    root = "/root/testdata/sf0.001"
+    plan = QUERIES["array_lookup"](spark, root)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 4 and plan.count("Join ") == 3
+    plan = QUERIES["catalogue_messages"](spark, root)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 4 and plan.count("Join ") == 3
+
+
 def test_lookup_keys_compare_by_value(spark):
     df = spark.createDataFrame([(1, 28.0), (2, 28.7)], "k int, g double")
     assert {r.k: r.name for r in lookup_name(df, "g", dim(spark), "id", "name", "name").collect()} == {1: "Action", 2: "Unknown_28.7"}
