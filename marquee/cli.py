@@ -26,6 +26,8 @@ from marquee.schemas import STORED
 from marquee.sinks.writers import FILE_FORMATS, write_topic
 from marquee.sources.readers import genre_dim_from_doc, read_genre_doc, read_pages, read_table, records_from_pages
 from marquee.streaming.ingest import BatchCounter, batch_sink, dedup_stream, message_stream, read_stream, start_ingest
+from marquee.streaming.ordered import first_by_order, use_rocksdb
+from marquee.streaming.progress import ProgressLedger, observe_arrived, observe_kept, totals
 
 VALUE = StructType([StructField("value", StringType())])
 
@@ -69,17 +71,34 @@ def ingest(spark: SparkSession, a):
     options = {**(BROKER_DEFAULTS if a.format == "kafka" else {}), **_options(a.option)}
     src = read_stream(spark, a.format, options=options, path=a.path, schema=schema)
     rows = message_stream(src, metrics="ingest", raw="raw" if a.dead_letter else None)
-    if a.dedup:
+    if a.progress:
+        rows = observe_arrived(rows, "id")
+    if a.first_by:
+        use_rocksdb(spark)
+        rows = first_by_order(rows, "id", a.first_by.split(","))
+    elif a.dedup:
         rows = dedup_stream(rows, key="id")
+    name, ledger = "marquee-ingest", None
+    if a.progress:
+        rows = observe_kept(rows)
+        ledger = ProgressLedger(spark, a.progress, name)
+        spark.streams.addListener(ledger)
     counter = BatchCounter()
     sink = batch_sink(a.store, fmt=a.store_format, dead_letter=a.dead_letter, options=_options(a.store_option),
                       counter=counter,
                       preview=None if a.quiet else _print_preview)
     q = start_ingest(rows, sink, checkpoint=a.checkpoint,
-                     trigger={"availableNow": True} if a.available_now else None, query_name="marquee-ingest")
-    q.awaitTermination()
+                     trigger={"availableNow": True} if a.available_now else None, query_name=name)
+    try:
+        q.awaitTermination()
+    finally:
+        if ledger is not None:
+            spark.streams.removeListener(ledger)
+            ledger.settle(q)
     if not a.quiet:
         print("observed:", json.dumps(counter.totals))
+        if ledger is not None:
+            print("over all runs:", json.dumps(totals(spark, a.progress).first().asDict()))
     return q
 
 
@@ -128,6 +147,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--store-format", default="parquet")
     p.add_argument("--store-option", action="append")
     p.add_argument("--checkpoint", required=True)
+    p.add_argument("--first-by", help="columns, comma-separated: keep the first of an id by these, later finds as revisions")
+    p.add_argument("--progress", help="folder for durable counts per micro-batch")
     p.add_argument("--dead-letter")
     p.add_argument("--dedup", action="store_true", help="store each id once, the first to arrive")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")

@@ -253,6 +253,16 @@ SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M
     "stream_dedup": """
 SELECT DISTINCT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts
 FROM events""",
+    "stream_first_by_order": """
+WITH c AS (SELECT * REPLACE (unnest([ts, ts, ts + INTERVAL 1 DAY]) AS ts, unnest([event_type, upper(event_type), event_type]) AS event_type)
+           FROM events)
+SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM c
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts, event_type NULLS LAST, user_id NULLS LAST, value NULLS LAST, props NULLS LAST) = 1
+""",
+    "stream_progress": """
+SELECT 4 * count(*) AS rows, count(*) AS malformed, 2 * count(*) AS repeated, 2 * count(*) AS kept, count(*) AS stored,
+       count(*) AS dead_letters FROM events
+""",
     "stream_quarantine": """
 SELECT (SELECT count(*) FROM events) AS stored_rows,
        (SELECT count(*) FROM documents) + (SELECT count(*) FROM events) AS dead_rows,

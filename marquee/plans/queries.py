@@ -6,6 +6,8 @@ results are rendered as text so that results compare across engines.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
@@ -30,6 +32,8 @@ from marquee.sinks.writers import write_jsonl, write_single_result, write_topic
 from marquee.sources.readers import (genre_dim_from_doc, read_genre_doc, read_pages, read_silver, read_table,
                                      records_from_pages, table)
 from marquee.streaming.ingest import BatchCounter, batch_sink, dedup_stream, message_stream, read_stream, start_ingest
+from marquee.streaming.ordered import first_by_order, latest_revisions, use_rocksdb
+from marquee.streaming.progress import ProgressLedger, observe_arrived, observe_kept, totals
 
 
 def _text_array(c):
@@ -427,6 +431,65 @@ def q_stream_dedup(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(out).drop("processed_at", "batch_id")
 
 
+def _copies_of_events(spark: SparkSession, root: str) -> DataFrame:
+    """Message lines: every event three times, as it is, with its type in capitals and a day later,
+    and its ``props``, which hold no event id; ``place`` deals them over eight files."""
+    ev = table(spark, root, "events")
+    copies = F.array(F.struct("ts", "event_type"), F.struct("ts", F.upper("event_type").alias("event_type")),
+                     F.struct((F.col("ts") + F.expr("interval 1 day")).alias("ts"), F.col("event_type")))
+    three = ev.select("event_id", "user_id", "value", "props", F.posexplode(copies).alias("copy", "c"))
+    three = three.select("event_id", "user_id", "c.event_type", "value", "props", micros_text("c.ts").alias("ts"), "copy")
+    place = lambda *c: F.pmod(F.xxhash64(*c), F.lit(8)).alias("place")
+    return three.select(place("event_id", "copy"), F.to_json(F.struct(*EVENT_FIELDS)).alias("value")).unionByName(
+        ev.select(place("event_id"), F.coalesce("props", F.lit("")).alias("value")))
+
+
+def _run_in_two_parts(spark: SparkSession, lines: DataFrame, transform, sink, name: str):
+    """Half of the files land and a query takes them in, a file per micro-batch, and ends; the
+    others land and it is started again from its checkpoint.  Yields the ended queries."""
+    landing, checkpoint = work_path(spark, "landing-copies"), work_path(spark, "stream-ckpt")
+    for part in ("place < 4", "place >= 4"):
+        lines.filter(part).repartition(4, "place").write.mode("append").partitionBy("place").text(landing)
+        src = read_stream(spark, "text", options={"maxFilesPerTrigger": "1", "recursiveFileLookup": "true"}, path=landing,
+                          schema=StructType([StructField("value", StringType())]))
+        rows = transform(message_stream(src, schema=EVENT_MSG_SCHEMA).drop("processed_at"))
+        q = start_ingest(rows, sink, checkpoint, trigger={"availableNow": True}, query_name=name)
+        q.awaitTermination()
+        yield q
+
+
+def q_stream_first_by_order(spark: SparkSession, root: str) -> DataFrame:
+    """Repeats of an event arrive in any order over eight micro-batches and a restart; what is
+    stored stands for the first by time and type."""
+    use_rocksdb(spark)
+    out = work_path(spark, "stored")
+    for _ in _run_in_two_parts(spark, _copies_of_events(spark, root),
+                               lambda rows: first_by_order(rows.filter(F.col("event_id").isNotNull()), "event_id", ["ts", "event_type"]),
+                               batch_sink(out, key="event_id"), f"first-{uuid.uuid4().hex[:8]}"):
+        pass
+    return latest_revisions(spark.read.parquet(out).drop("batch_id"), "event_id").drop("revision")
+
+
+def q_stream_progress(spark: SparkSession, root: str) -> DataFrame:
+    """Rows arrived, malformed, repeated and kept, from the durable records of a query with
+    de-duplication that was restarted; and the rows in store and dead letter."""
+    out, dead, records = work_path(spark, "stored"), work_path(spark, "dead-letter"), work_path(spark, "progress")
+    name = f"progress-{uuid.uuid4().hex[:8]}"
+    ledger = ProgressLedger(spark, records, name)
+    spark.streams.addListener(ledger)
+    try:
+        for q in _run_in_two_parts(spark, _copies_of_events(spark, root),
+                                   lambda rows: observe_kept(dedup_stream(observe_arrived(rows, "event_id"), "event_id")),
+                                   batch_sink(out, key="event_id", dead_letter=dead), name):
+            ledger.settle(q)
+    finally:
+        spark.streams.removeListener(ledger)
+    stored, letters = spark.read.parquet(out), spark.read.parquet(dead)
+    return totals(spark, records).select("rows", "malformed", "repeated", "kept",
+                                         stored.agg(F.count(F.lit(1))).scalar().alias("stored"),
+                                         letters.agg(F.count(F.lit(1))).scalar().alias("dead_letters"))
+
+
 def q_stream_quarantine(spark: SparkSession, root: str) -> DataFrame:
     """Every event as a valid message, plus messages that carry no event id: each
     document's text as ``{"title": ...}`` and each event's ``props`` object.  The stream
@@ -520,4 +583,6 @@ QUERIES = {
     "lenient_avg": q_lenient_avg,
     "lenient_topk": q_lenient_topk,
     "lenient_buckets": q_lenient_buckets,
+    "stream_first_by_order": q_stream_first_by_order,
+    "stream_progress": q_stream_progress,
 }

@@ -81,10 +81,11 @@ def dedup_stream(stream: DataFrame, key: str = "id") -> DataFrame:
     late, a restart forgets nothing, and no event time is read that could be malformed.
     The state holds a row per distinct key (the RocksDB state store keeps it off the heap),
     and a micro-batch touches only the state of its own keys.  Rows without a key are no
-    repeats of each other and go past the state.
+    repeats of each other: each has a key of its own, so the source is read and decoded once.
+    ``first_by_order`` keeps the first by order instead, and no state for rows without a key.
     """
-    keyed = stream.filter(F.col(key).isNotNull()).dropDuplicates([key])
-    return keyed.unionByName(stream.filter(F.col(key).isNull()))
+    own = F.when(F.col(key).isNull(), F.uuid()).otherwise(F.concat(F.lit("k"), F.col(key).cast("string")))
+    return stream.withColumn("__key", own).dropDuplicates(["__key"]).drop("__key")
 
 
 def batch_sink(path: str | None, fmt: str = "parquet", counter: BatchCounter | None = None,
