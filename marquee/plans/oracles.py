@@ -316,3 +316,10 @@ SELECT to_json(struct_pack(event_id := event_id, event_type := event_type, value
     "lenient_topk": f"WITH {BAD}, {_topk_sql('listed', 'title, year, votes, rating')}",
     "lenient_buckets": f"WITH {BAD}, {_hist_sql('rated')}",
 }
+
+# The same questions asked of user reducers.
+ORACLES |= {f"reducer_{k}": ORACLES[k] for k in ("avg_by_group", "topk_by_group", "bucket_histogram")}
+ORACLES["first_in_input_order"] = """
+SELECT l_partkey, l_orderkey, l_linenumber FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_partkey
+  ORDER BY (l_orderkey * 7919 + l_linenumber * 104729) % 1000003, l_orderkey, l_linenumber) = 1"""

@@ -22,15 +22,15 @@ from marquee.operators.enrich import enrich_records
 from marquee.operators.lookup import lookup_name, lookup_names
 from marquee.operators.messages import decode_messages, encode_messages
 from marquee.operators.preview import batch_preview, preview_rows
-from marquee.plans import catalogue
+from marquee.plans import catalogue, reducers
 from marquee.plans.jobs import etl_report_frame, run_analytics, run_etl
 from marquee.plans.standins import (BEYOND, nation_names, order_lines, part_names, part_ratings, raw_catalogue,
                                      shipments)
 from marquee.schemas import MESSAGE
 from marquee.session import work_path
 from marquee.sinks.writers import write_jsonl, write_single_result, write_topic
-from marquee.sources.readers import (genre_dim_from_doc, read_genre_doc, read_pages, read_silver, read_table,
-                                     records_from_pages, table)
+from marquee.sources.readers import (genre_dim_from_doc, read_genre_doc, read_lines_in_order, read_pages, read_silver,
+                                     read_table, records_from_pages, table)
 from marquee.streaming.ingest import BatchCounter, batch_sink, dedup_stream, message_stream, read_stream, start_ingest
 from marquee.streaming.ordered import first_by_order, latest_revisions, use_rocksdb
 from marquee.streaming.progress import ProgressLedger, observe_arrived, observe_kept, totals
@@ -204,6 +204,31 @@ def q_delimiter_compat(spark: SparkSession, root: str) -> DataFrame:
     return topk_by_group(d, compat_delimiters=True)
 
 
+def q_reducer_avg_by_group(spark: SparkSession, root: str) -> DataFrame:
+    return reducers.avg_by_genre(part_ratings(spark, root))
+
+
+def q_reducer_topk_by_group(spark: SparkSession, root: str) -> DataFrame:
+    return reducers.top_by_year(order_lines(spark, root))
+
+
+def q_reducer_bucket_histogram(spark: SparkSession, root: str) -> DataFrame:
+    return reducers.rating_buckets(part_ratings(spark, root))
+
+
+def q_first_in_input_order(spark: SparkSession, root: str) -> DataFrame:
+    """Line items land in files in an order of their own; of each part the line that stands first
+    in the files is kept, whatever shuffles come between."""
+    li = table(spark, root, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber")
+    order = [F.pmod(F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104_729, F.lit(1_000_003)), F.col("l_orderkey"), F.col("l_linenumber")]
+    path = work_path(spark, "landed-lines")
+    # files are numbered by range, lines sorted inside
+    li.repartitionByRange(8, *order).sortWithinPartitions(*order).select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    lines = read_lines_in_order(spark, path).repartition("value")
+    rows = lines.select(F.from_json("value", li.schema).alias("r"), "input_pos").select("r.*", "input_pos")
+    return dedup_first(rows, ["l_partkey"], ["input_pos"]).drop("input_pos")
+
+
 # --- the catalogue flow ---------------------------------------------------------------
 
 def _message_text(df: DataFrame) -> DataFrame:
@@ -583,6 +608,10 @@ QUERIES = {
     "lenient_avg": q_lenient_avg,
     "lenient_topk": q_lenient_topk,
     "lenient_buckets": q_lenient_buckets,
+    "reducer_avg_by_group": q_reducer_avg_by_group,
+    "reducer_topk_by_group": q_reducer_topk_by_group,
+    "reducer_bucket_histogram": q_reducer_bucket_histogram,
+    "first_in_input_order": q_first_in_input_order,
     "stream_first_by_order": q_stream_first_by_order,
     "stream_progress": q_stream_progress,
 }

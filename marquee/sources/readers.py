@@ -76,3 +76,15 @@ def genre_dim_from_doc(doc: DataFrame) -> DataFrame:
     """``{"genres": [{id, name}, ...]}`` → rows ``(id, name)``; an empty or bad document
     gives no rows (every id then falls back to ``Unknown_<id>``)."""
     return doc.select(F.explode("genres").alias("g")).select("g.id", "g.name").filter(F.col("id").isNotNull())
+
+
+def read_lines_in_order(spark: SparkSession, path: str, value: str = "value") -> DataFrame:
+    """Text lines with their place in the input, ``input_pos`` (file, start of the split, row):
+    ordering by it gives the files by path and their lines as they stand, after any shuffle.
+
+    A task numbers its rows as it reads them, so inside one split of one file the numbers rise
+    from line to line, and splits start in the order of their lines.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                     F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path).select(F.col("value").alias(value), place.alias("input_pos"))
