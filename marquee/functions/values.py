@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import DataType, IntegralType
+
 from marquee.functions._col import as_col
+from marquee.functions.text import strip_text
 
 
 def to_number(c, spark_type: str) -> Column:
@@ -25,6 +28,21 @@ def to_number(c, spark_type: str) -> Column:
     return F.coalesce(plain, F.when(whole != "", whole).try_cast(spark_type))
 
 
+# What Python's int() and float() read, apart from digits of other scripts: no suffixes, and
+# underscores only between digits.
+_DIGITS = r"\d+(?:_\d+)*"
+INT_TEXT = rf"^[+-]?{_DIGITS}$"
+FLOAT_TEXT = rf"(?i)^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?|nan|inf|infinity)$"
+
+
+def number_of_text(c, spark_type: DataType) -> Column:
+    """The number that a text spells, as ``int(text)`` or ``float(text)`` would read it, else NULL
+    (also beyond the type's range)."""
+    c = strip_text(as_col(c))
+    pattern = INT_TEXT if isinstance(spark_type, IntegralType) else FLOAT_TEXT
+    return F.when(c.rlike(pattern), F.replace(c, F.lit("_"), F.lit(""))).try_cast(spark_type)
+
+
 def clamp_range(c, lo, hi, zero) -> Column:
     """Keep ``c`` when ``lo <= c <= hi``, else the sentinel ``zero`` (NULL and NaN included)."""
     c = as_col(c)

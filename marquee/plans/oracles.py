@@ -144,12 +144,12 @@ FROM (WITH {CHAIN}, {_hist_sql('silver')}) h"""
 # The lines of the lenient silver, as the map scripts read them: a row is dropped where a value
 # they convert does not convert; a missing value is 0 or empty.
 BAD = """
-bad AS (SELECT o_orderkey AS movie_id, o_orderkey % 9 AS k, o_orderpriority AS genre, o_orderstatus AS title,
-               (o_custkey % 50) / 5.0 + 0.2 AS rating, CAST(year(o_orderdate) AS INTEGER) AS year,
-               CASE WHEN o_orderkey % 9 = 5 THEN 0 ELSE CAST(trunc(o_totalprice) AS INTEGER) END AS votes,
+bad AS (SELECT o_orderkey AS movie_id, o_orderkey % 12 AS k, CASE WHEN o_orderkey % 12 = 10 THEN 'odd' ELSE o_orderpriority END AS genre, o_orderstatus AS title,
+               CASE WHEN o_orderkey % 12 = 10 THEN 'NaN'::DOUBLE ELSE (o_custkey % 50) / 5.0 + 0.2 END AS rating, CAST(year(o_orderdate) AS INTEGER) AS year,
+               CASE WHEN o_orderkey % 12 = 5 THEN 0 ELSE CAST(trunc(o_totalprice) AS INTEGER) END AS votes,
                '2024-01-01 00:00:00' AS fetched_at
-        FROM orders WHERE o_orderkey % 9 <> 0),
-rated AS (SELECT * FROM bad WHERE k NOT IN (2, 3)),
+        FROM orders WHERE o_orderkey % 12 <> 0),
+rated AS (SELECT * FROM bad WHERE k NOT IN (2, 3, 11)),
 listed AS (SELECT * FROM rated WHERE k NOT IN (1, 6, 7))"""
 
 # The average as fixed-point text of an exact decimal sum.
@@ -312,7 +312,9 @@ FROM r""",
     "read_table": f"WITH {CHAIN} {MSG_SELECT}",
     "topic_sink": """
 SELECT to_json(struct_pack(event_id := event_id, event_type := event_type, value := value)) AS value FROM events""",
-    "lenient_avg": f"WITH {BAD} {_avg_sql('rated')}",
+    "lenient_avg": f"""WITH {BAD}, plain AS (SELECT * FROM rated WHERE NOT isnan(rating))
+{_avg_sql('plain')}
+UNION ALL SELECT genre, 'nan', count(*) FROM rated WHERE isnan(rating) GROUP BY genre HAVING count(*) >= 50""",
     "lenient_topk": f"WITH {BAD}, {_topk_sql('listed', 'title, year, votes, rating')}",
     "lenient_buckets": f"WITH {BAD}, {_hist_sql('rated')}",
 }

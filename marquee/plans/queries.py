@@ -373,18 +373,21 @@ def q_silver_lenient_avg(spark: SparkSession, root: str) -> DataFrame:
 def _land_bad_silver(spark: SparkSession, root: str) -> str:
     """JSON lines with every kind of value the lenient analytics meet, by order key: good
     numbers, numbers as text, unparsable ratings, votes, years, titles that are no text,
-    explicit nulls, missing fields, and lines that are no JSON."""
+    explicit nulls, missing fields, lines that are no JSON, repeated keys, NaN, and numbers with a
+    suffix."""
     o = table(spark, root, "orders")
-    k = F.col("o_orderkey") % 9
+    k = F.col("o_orderkey") % 12
     text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     rating = (F.pmod("o_custkey", F.lit(50)) / 5.0 + 0.2).cast("string")
     votes = F.col("o_totalprice").cast("int").cast("string")
     year = F.year("o_orderdate").cast("string")
     line = F.concat(
-        F.lit('{"movie_id": '), F.col("o_orderkey").cast("string"), F.lit(', "genre": '), text(F.col("o_orderpriority")),
+        F.lit('{"movie_id": '), F.col("o_orderkey").cast("string"), F.lit(', "genre": '), text(F.when(k == 10, F.lit("odd")).otherwise(F.col("o_orderpriority"))),
         F.lit(', "fetched_at": "2024-01-01 00:00:00", "title": '),
         F.when(k == 1, F.lit("17")).otherwise(text(F.col("o_orderstatus"))),
-        F.lit(', "rating": '), F.when(k == 2, F.lit('"abc"')).when(k == 3, F.lit("null")).when(k == 4, text(rating)).otherwise(rating),
+        F.lit(', "rating": '), F.when(k == 2, F.lit('"abc"')).when(k == 3, F.lit("null")).when(k == 4, text(rating))
+        .when(k == 9, F.concat(F.lit('"abc", "rating": '), rating)).when(k == 10, F.lit("NaN"))
+        .when(k == 11, text(F.concat(rating, F.lit("d")))).otherwise(rating),
         F.when(k == 5, F.lit("")).otherwise(F.concat(F.lit(', "votes": '), F.when(k == 6, F.lit('"7.5"')).otherwise(votes))),
         F.lit(', "year": '), F.when(k == 7, F.lit('"soon"')).when(k == 8, text(year)).otherwise(year), F.lit("}"))
     path = work_path(spark, "silver-bad")
@@ -401,6 +404,7 @@ def q_lenient_topk(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_lenient_buckets(spark: SparkSession, root: str) -> DataFrame:
+    """NaN falls into the top bucket, as it is below no edge."""
     return bucket_histogram(read_silver(spark, _land_bad_silver(spark, root), lenient=True))
 
 

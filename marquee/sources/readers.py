@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StringType, StructType
 
-from marquee.functions.text import strip_text
+from marquee.functions.values import number_of_text
 from marquee.schemas import GENRE_DOC, RAW_PAGE, SILVER
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -29,28 +30,30 @@ def read_silver(spark: SparkSession, path: str, lenient: bool = False) -> DataFr
     """Silver JSONL (blank lines are skipped by the reader).
 
     ``lenient=True`` accepts what a JSON number, or a text that spells one, holds, and skips
-    lines that are no JSON object.  It adds ``bad_fields``: names of the fields whose value
+    lines that are no JSON object.  The last value of a repeated key counts.  It adds ``bad_fields``: names of the fields whose value
     is there but does not convert (an unparsable text, an explicit null, a nested value).  A
     missing field is not bad; its column is NULL.  The analytics drop a row with a bad value
     in a field they convert.
     """
     if not lenient:
         return spark.read.schema(SILVER).json(path)
-    # parsed as the one element of an array: text after the object is then an error
-    doc = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
-    lines = spark.read.text(path).select(doc.alias("a")).filter(
-        F.schema_of_variant(F.try_variant_get("a", "$[0]", "variant")).startswith("OBJECT")
-        & F.try_variant_get("a", "$[1]", "variant").isNull()).select(F.try_variant_get("a", "$[0]", "variant").alias("v"))
+    # parsed as the one element of an array: text after the object, or a second one, is an error.
+    # Each field keeps its kind; of a repeated key the last value counts, and NaN or Infinity,
+    # as Python's reader takes them, come as the texts that spell them.
+    fields = T.StructType([T.StructField(f.name, T.VariantType()) for f in SILVER.fields])
+    doc = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), T.ArrayType(fields))
+    lines = spark.read.text(path).select(doc.alias("a")).filter(F.size("a") == 1).select(F.col("a")[0].alias("v")).filter("v is not null")
     cols, bad = [], []
     for f in SILVER.fields:
-        kind = F.schema_of_variant(F.try_variant_get("v", f"$.{f.name}", "variant"))
-        text = F.try_variant_get("v", f"$.{f.name}", "string")
+        field = F.col(f"v.{f.name}")
+        kind = F.schema_of_variant(field)
+        text = F.try_variant_get(field, "$", "string")
         if isinstance(f.dataType, StringType):
             value = F.when(kind == "STRING", text)
         else:
             plain = F.when(kind == "BOOLEAN", (text == "true").cast("int").cast("string")).otherwise(text)
             # a number converts as a number (7.9 to 7); a text must spell one of the type
-            value = F.when(kind == "STRING", strip_text(text).try_cast(f.dataType)).otherwise(
+            value = F.when(kind == "STRING", number_of_text(text, f.dataType)).otherwise(
                 plain.try_cast("double").try_cast(f.dataType))
         cols.append(value.alias(f.name))
         bad.append(F.when(kind.isNotNull() & value.isNull(), F.lit(f.name)))

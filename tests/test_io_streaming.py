@@ -50,6 +50,24 @@ def test_lenient_silver_reader(spark):
     assert read_silver(spark, path, lenient=True).columns == SILVER_FIELDS + ["bad_fields"]
 
 
+def test_lenient_lines_by_python_rules(spark):
+    """Repeated keys, NaN and Infinity, underscores, suffixes, signs: as json.loads, int() and float()."""
+    import math
+    lines = ['{"movie_id": 1, "rating": "x", "rating": 7.5, "title": "a: NaN, b"}', '{"movie_id": 2, "rating": NaN}',
+             '{"movie_id": 3, "rating": -Infinity}', '{"movie_id": 4, "rating": "7.5d", "votes": "8L", "year": "2020f"}',
+             '{"movie_id": 5, "rating": " 1_0.5e1 ", "votes": "+1_000", "year": "-7"}', '{"movie_id": 6, "rating": "inf", "votes": "1_", "year": "0x10"}',
+             '{"movie_id": 7, "rating": 1e400, "votes": NaN}', '{"movie_id": 8},{"movie_id": 9}', '[1]', '"x"', '{"movie_id": 10', "NaN", ""]
+    path = fresh("lenient-python")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(path)
+    got = {r.movie_id: r for r in read_silver(spark, path, lenient=True).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5, 6, 7]
+    assert (got[1].rating, got[1].title, got[1].bad_fields) == (7.5, "a: NaN, b", [])
+    assert math.isnan(got[2].rating) and got[3].rating == -math.inf and got[6].rating == got[7].rating == math.inf
+    assert (got[4].rating, got[4].votes, got[4].year) == (None, None, None) and sorted(got[4].bad_fields) == ["rating", "votes", "year"]
+    assert (got[5].rating, got[5].votes, got[5].year) == (105.0, 1000, -7)
+    assert sorted(got[6].bad_fields) == ["votes", "year"] and got[7].bad_fields == ["votes"]
+
+
 def test_lenient_rows_with_bad_values_are_dropped(spark):
     path = fresh("lenient-bad")
     lines = ['{"movie_id": 1, "title": "good", "year": "2001", "votes": 9, "rating": 7.5}',
