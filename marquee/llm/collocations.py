@@ -28,7 +28,7 @@ LONGEST = 4  # words of a phrase
 MIN_COUNT = 30
 COVERED = 80  # per cent of a phrase's occurrences that a longer one must have to replace it
 TOP = 2000  # phrases reported per language
-SHARD_BYTES = 3_000_000  # text of a shard, rounded up to whole texts
+SHARD_BYTES = 2_000_000  # text of a shard, rounded up to whole texts
 FILTER_BITS = 24  # the bitmap of frequent phrases has 2**FILTER_BITS bits: two megabytes at any size of corpus
 UNKNOWN = "und"  # language of rows without one
 
@@ -283,13 +283,20 @@ def build_indexes(df: DataFrame, lang: str, text: str, frequent_words: np.ndarra
                 codes += [number[c], np.zeros(1, dtype=np.int32)]
                 names.append(h[known])
             index = ShardIndex.of(np.concatenate(codes), np.concatenate(names))
-            packed = [index.names, np.diff(index.ahead.first).astype(np.int32), index.ahead.bwt, index.behind.bwt]
+            code = _code_type(len(index.names))
+            packed = [index.names, np.diff(index.ahead.first).astype(np.int32), index.ahead.bwt.astype(code), index.behind.bwt.astype(code)]
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in packed], ["names", "counts", "ahead", "behind"])
     return df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(run, INDEX)
 
 
+def _code_type(words: int):
+    """The narrowest integers that hold a shard's codes."""
+    return np.uint16 if words < 1 << 16 else np.int32
+
+
 def _loaded(names: bytes, counts: bytes, ahead: bytes, behind: bytes) -> ShardIndex:
-    ahead, behind = np.frombuffer(ahead, dtype=np.int32), np.frombuffer(behind, dtype=np.int32)
+    code = _code_type(len(names) // 8)
+    ahead, behind = np.frombuffer(ahead, dtype=code).astype(np.int32), np.frombuffer(behind, dtype=code).astype(np.int32)
     counts = np.frombuffer(counts, dtype=np.int32)
     ends = len(ahead) - int(counts.sum())
     first = ends + _starts(counts)
