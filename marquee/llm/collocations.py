@@ -14,6 +14,8 @@ in vain and dropped by its sum, and nothing frequent is ever missed.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -42,6 +44,14 @@ def _free_at_once() -> None:
     pa.set_memory_pool(pa.system_memory_pool())
 
 
+def _give_back() -> None:
+    """Hand what a shard has freed back to the machine, where the C library can."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 # --- words of a shard -------------------------------------------------------------------------
 
 def word_codes(texts: list[str]) -> tuple[np.ndarray, list[bytes]]:
@@ -84,8 +94,11 @@ def shards(batches, limit: int):
             if size >= limit:
                 yield held
                 held, size = {}, 0
+                _give_back()
     if held:
         yield held
+        del held
+        _give_back()
 
 
 def count_words(df: DataFrame, lang: str, text: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -334,6 +347,8 @@ def phrase_counts(indexes: DataFrame, length: int, bitmaps: dict[int, np.ndarray
                 for k in range(0, len(p), 200_000):
                     yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(h[k:k + 200_000, j])) for j in range(length)]
                                                      + [pa.array(p.count[k:k + 200_000])], [*names, "f"])
+                del index, p, h
+                _give_back()
     schema = ", ".join(f"{c} long" for c in [*names, "f"])
     found = indexes.mapInArrow(run, schema)
     return found.groupBy(*names).agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
