@@ -31,6 +31,7 @@ MIN_COUNT = 30
 COVERED = 80  # per cent of a phrase's occurrences that a longer one must have to replace it
 TOP = 2000  # phrases reported per language
 SHARD_BYTES = 2_000_000  # text of a shard, rounded up to whole texts
+EMITTED = 25_000  # rows that a task hands over at a time
 FILTER_BITS = 24  # the bitmap of frequent phrases has 2**FILTER_BITS bits: two megabytes at any size of corpus
 UNKNOWN = "und"  # language of rows without one
 
@@ -109,12 +110,12 @@ def count_words(df: DataFrame, lang: str, text: str, shard_bytes: int = SHARD_BY
             for name, texts in held.items():
                 codes, words = word_codes(texts)
                 f = np.bincount(codes, minlength=len(words) + 1)[1:]
-                for k in range(0, len(words), 50_000):
-                    part = words[k:k + 50_000]
+                for k in range(0, len(words), EMITTED):
+                    part = words[k:k + EMITTED]
                     h = np.array([word_hash(name, w) for w in part], dtype=np.uint64)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(part)), pa.array([w.decode() for w in part]), pa.array(h.view(np.int64)),
-                         pa.array(f[k:k + 50_000])], ["lang", "word", "h", "f"])
+                         pa.array(f[k:k + EMITTED])], ["lang", "word", "h", "f"])
     found = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(run, "lang string, word string, h long, f long")
     return found.groupBy("lang", "word", "h").agg(F.sum("f").alias("f"))
 
@@ -344,9 +345,9 @@ def phrase_counts(indexes: DataFrame, length: int, bitmaps: dict[int, np.ndarray
                 index = _loaded(*[b.column(j)[row].as_buffer() for j in range(4)])
                 p = grown(index, length, maps)
                 h = index.hashes(p).view(np.int64)
-                for k in range(0, len(p), 200_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(h[k:k + 200_000, j])) for j in range(length)]
-                                                     + [pa.array(p.count[k:k + 200_000])], [*names, "f"])
+                for k in range(0, len(p), EMITTED):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(h[k:k + EMITTED, j])) for j in range(length)]
+                                                     + [pa.array(p.count[k:k + EMITTED])], [*names, "f"])
                 del index, p, h
                 _give_back()
     schema = ", ".join(f"{c} long" for c in [*names, "f"])
