@@ -17,30 +17,45 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import written
 
-# Titles by gender, and name syllables by script.
+# Titles by gender, particles inside names, and name syllables by script.
 TITLES_M = ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Господин", "Κύριος")
+TITLES_ANY = ("Dr", "Doctor", "Prof", "Professor")
 TITLES_F = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "Госпожа", "Κυρία")
+PARTICLES = ("van", "von", "der", "den", "de", "da", "di", "du", "del", "la", "le", "al", "bin", "ibn")
 SYLLABLES = {
     "latin": ("ba be bo da de do fa fe ga go ha ka ke ko la le li lo ma me mi mo na ne ni no pa ra re ri ro sa se so ta te to va ve vi", "n", "a"),
     "cyrillic": ("ба бе бо да де до га ка ко ла ле ли ло ма ме ми мо на не ни но па ра ре ри ро са се со та те то ва ве ви", "н", "а"),
     "greek": ("βα βε γα δα δε κα κο λα λε λι λο μα με μι μο να νε νι νο πα πε ρα ρε ρι ρο σα σε σο τα τε το φα φι χα", "ς", "α"),
 }
 
+_TITLE = "(?:" + "|".join(TITLES_M + TITLES_F + TITLES_ANY) + ")"
+_HEAD = rf"(?:{_TITLE}\.? ){{1,3}}"  # one title or several, as in "Frau Dr."
+_WORD = r"\p{Lu}(?:\p{L}++|['’]\p{Lu}\p{L}++)"
+_INNER = r"(?:(?:\p{Lu}\.){1,4} ){0,4}(?:(?:" + "|".join(PARTICLES) + r") ){0,3}"  # initials and particles stay
+_SECRET = r"[^\s\"'&<>,;]"
+# Country codes of telephone numbers: the one-digit ones, the two-digit ones, all others have three.
+_COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
+    "pem": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[\w+/=\s:,.\\-]*?-----END [A-Z ]{0,30}PRIVATE KEY-----",
+    "password": rf"(?<![A-Za-z0-9])(?i:passw(?:or)?d|passphrase|pwd)(?:=[\"']?(?={_SECRET}*[\p{{L}}\d]){_SECRET}{{3,}}+|: ?[\"']?(?={_SECRET}*\d){_SECRET}{{6,}}+)",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2}(?: ?\d{4}){1,5}(?: ?\d{1,3})?(?![A-Za-z0-9])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\) ?\d{3}[-.]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\w)",
+    # after a plus sign 7 to 15 digits in any grouping; else an area code in brackets, three-three-four, or a leading zero and groups
+    "phone": r"(?<![\w+])(?:\+[1-9](?:[ .()/-]{0,2}\d){6,14}|\(\d{2,5}\) ?\d(?:[ .-]?\d){5,9}|\d{3}[-. ]\d{3}[-. ]\d{4}"
+             r"|(?=0(?: ?\d){8,13}(?![\d ]*\d))0\d{1,4}(?: \d{2,8}){1,5})(?!\w)",
+    "ipv6": r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+            r"|(?=[0-9A-Fa-f:]*::)(?=[A-Fa-f:]*\d)[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{0,4}){1,6}:[0-9A-Fa-f]{1,4})(?![\w:])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<!\w)[2-6]\d{3}(?:(?: \d{4}){3}|(?:-\d{4}){3}|\d{9,12})(?!\w)",
     "secret": r"(?<!\w)(?:(?=[a-f]*+\d)(?=\d*+[a-f])[0-9a-f]{32,}+|(?=[A-F]*+\d)(?=\d*+[A-F])[0-9A-F]{32,}+"
               r"|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)(?!\w)",
-    "name": r"(?<!\p{L})(?:" + "|".join(TITLES_M + TITLES_F) + r")\.? \p{Lu}\p{L}+(?:[ -]\p{Lu}\p{L}+)?(?!\p{L})",
+    "name": rf"(?<!\p{{L}}){_HEAD}{_INNER}{_WORD}(?:[ -](?!{_TITLE}(?!\p{{L}})){_INNER}{_WORD}){{0,7}}(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # What a text with an entity cannot lack: cheap to look for, before the patterns themselves.
-HINT = r"[@\d]|" + "|".join(TITLES_M + TITLES_F)
+HINT = r"[@\d]|PRIVATE KEY|(?i:passw|passphrase|pwd)|" + "|".join(TITLES_M + TITLES_F + TITLES_ANY)
 
 
 def matches(text: Column) -> Column:
@@ -64,22 +79,38 @@ def parts_of(match: Column, i: Column) -> Column:
     the norm is equal for spellings of the same entity."""
     kind = type_of(match)
     digits = F.regexp_replace(match, "[^0-9]", "")
-    norm = (F.when(kind == "email", F.lower(match))
+    norm = (F.when(kind.isin("email", "ipv6"), F.lower(match))
              .when(kind.isin("card", "ssn"), digits)
              # the country code stays, so it is part of the entity
-             .when(kind == "phone", F.concat(F.regexp_extract(match, r"^\+\d{1,3}", 0), F.lit(":"), digits))
+             .when(kind == "phone", F.concat(F.when(F.startswith(match, F.lit("+")), F.concat(F.lit("+"), F.regexp_extract(digits, _COUNTRY, 0)))
+                                              .otherwise(F.lit("")), F.lit(":"), digits))
+             .when(kind == "password", F.regexp_replace(match, F.lit(_BEFORE_PASSWORD), F.lit("")))
              .when(kind == "iban", F.regexp_replace(match, " ", "")).otherwise(match))
     one = F.array(F.struct(i.alias("i"), F.lit(0).alias("k"), kind.alias("kind"), norm.alias("norm")))
-    words = F.split(match, "[ -]")
-    female = F.rlike(match, F.lit("^(?:" + "|".join(TITLES_F) + r")\b|^(?:Госпожа|Κυρία)"))
-    names = F.transform(F.slice(words, F.lit(2), F.size(words) - 1), lambda w, k: F.struct(
+    words = F.filter(_words(match), _is_name)
+    female = F.rlike(match, F.lit("^(?:" + "|".join(TITLES_F) + r")(?!\p{L})"))
+    either = F.rlike(match, F.lit("^(?:" + "|".join(TITLES_ANY) + r")(?!\p{L})"))
+    names = F.transform(words, lambda w, k: F.struct(
         i.alias("i"), k.alias("k"),
-        F.concat(F.when(k + 2 == F.size(words), F.lit("family")).when(female, F.lit("given_f")).otherwise(F.lit("given_m")),
-                 F.lit("_"), _script(w)).alias("kind"), F.lower(w).alias("norm")))
+        F.concat(F.when(k + 1 == F.size(words), F.lit("family")).when(female, F.lit("given_f")).when(either, F.lit("given_x"))
+                  .otherwise(F.lit("given_m")), F.lit("_"), _script(w)).alias("kind"), F.lower(w).alias("norm")))
     return F.when(kind == "name", names).when(kind.isNotNull(), one).otherwise(F.array().cast(
         "array<struct<i:int,k:int,kind:string,norm:string>>"))
 
 
+_BEFORE_PASSWORD = "^[^=:]*[=:] ?[\"']?"
+
+
+def _words(match: Column) -> Column:
+    """What follows the titles of a name, word by word."""
+    return F.split(F.regexp_replace(match, F.lit("^" + _HEAD), F.lit("")), "[ -]")
+
+
+def _is_name(word: Column) -> Column:
+    """Not an initial or a particle."""
+    return F.rlike(word, F.lit(f"^{_WORD}$"))
+
+
 def _script(word: Column) -> Column:
     return (F.when(F.rlike(word, F.lit(r"^\p{IsCyrillic}")), F.lit("cyrillic"))
              .when(F.rlike(word, F.lit(r"^\p{IsGreek}")), F.lit("greek")).otherwise(F.lit("latin")))
@@ -107,7 +138,8 @@ def _shaped(norm: Column, stream: Column) -> Column:
         c = F.substr(norm, i, F.lit(1))
         low, digit = F.substr(letters, i, F.lit(1)), F.substr(digits, i, F.lit(1))
         return (F.when(F.rlike(c, F.lit(r"^[a-z]$")), low).when(F.rlike(c, F.lit(r"^[A-Z]$")), F.upper(low))
-                 .when(F.rlike(c, F.lit(r"^\d$")), digit).otherwise(c))
+                 .when(F.rlike(c, F.lit(r"^\d$")), digit)
+                 .when(F.rlike(c, F.lit(r"^\p{L}$")), low).otherwise(c))
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(norm)), char), "")
 
 
@@ -121,7 +153,7 @@ def draw(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     email = F.concat(_shaped(F.substr(local, F.lit(1), F.lit(60)), stream), extra, F.lit("@mail"), F.substr(digits, F.lit(100), F.lit(1)),
                      F.lit(".example."), F.element_at(F.array(*map(F.lit, ("com", "net", "org"))),
                                                       (F.conv(F.substr(stream, F.lit(101), F.lit(4)), 16, 10).cast("int") % 3 + 1)))
-    code = F.regexp_extract(norm, r"^\+?(\d*):", 1)
+    code = F.coalesce(F.nullif(F.regexp_extract(norm, r"^\+(\d*):", 1), F.lit("")), F.regexp_extract(norm, "^:(0?)", 1))
     own = F.length(F.regexp_extract(norm, r":(\d*)$", 1)) - F.length(code)
     phone = F.concat(code, F.substr(digits, F.lit(1), own))
     # the body of a card number, then the digit that makes it pass
@@ -135,17 +167,23 @@ def draw(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
               .when(F.rlike(norm, F.lit("^[0-9A-F]+$")), F.upper(F.substr(long, F.lit(1), F.length(norm)))) \
               .otherwise(F.concat(F.regexp_extract(norm, "^(AKIA|gh[a-z]_|sk-)", 1),
                                   _shaped(F.regexp_replace(norm, "^(AKIA|gh[a-z]_|sk-)", ""), long)))
-    iban = F.concat(F.substr(norm, F.lit(1), F.lit(2)), _shaped(F.substr(norm, F.lit(3)), stream))
+    country, account = F.substr(norm, F.lit(1), F.lit(2)), _shaped(F.substr(norm, F.lit(5)), stream)
+    iban = F.concat(country, F.lpad((98 - _mod97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"), account)
+    # an address of the range kept for documents
+    ipv6 = F.concat(F.lit("2001:db8"), *[F.concat(F.lit(":"), F.substr(stream, F.lit(4 * k + 1), F.lit(4))) for k in range(6)])
+    head, tail = F.regexp_extract(norm, "^-----BEGIN [A-Z ]*-----", 0), F.regexp_extract(norm, "-----END [A-Z ]*-----$", 0)
+    pem = F.concat(head, _shaped(F.substr(norm, F.length(head) + 1, F.length(norm) - F.length(head) - F.length(tail)), long), tail)
     out = (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ip", ip)
             .when(kind == "ssn", F.concat(F.lit("9"), F.substr(digits, F.lit(1), F.lit(8)))).when(kind == "iban", iban)
-            .when(kind == "secret", secret))
+            .when(kind == "secret", secret).when(kind == "ipv6", ipv6).when(kind == "pem", pem)
+            .when(kind == "password", F.concat(_shaped(norm, long), extra)))
     for script, (syllables, male, female) in SYLLABLES.items():
         pool = F.array(*map(F.lit, syllables.split()))
         pick = functools.partial(_syllable, pool, len(syllables.split()), stream)
         name = F.array_join(F.transform(F.sequence(F.lit(0), 2 + F.least(attempt, F.lit(12))), pick), "")
         out = out.when(kind == f"given_m_{script}", F.concat(name, F.lit(male))) \
                  .when(kind == f"given_f_{script}", F.concat(name, F.lit(female))) \
-                 .when(kind == f"family_{script}", name)
+                 .when(kind.isin(f"family_{script}", f"given_x_{script}"), name)
     return out
 
 
@@ -153,6 +191,14 @@ def _syllable(pool: Column, n: int, stream: Column, i: Column) -> Column:
     return F.element_at(pool, F.conv(F.substr(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int") % n + 1)
 
 
+def _mod97(text: Column) -> Column:
+    """The remainder of digits and capitals (A is 10) read as one decimal number."""
+    def step(acc, i):
+        c = F.substr(text, i, F.lit(1))
+        return F.when(F.rlike(c, F.lit("[A-Z]")), acc * 100 + F.ascii(c) - 55).otherwise(acc * 10 + F.ascii(c) - 48) % 97
+    return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), step)
+
+
 def _luhn_value(body: Column, i: Column) -> Column:
     """What digit i of a number without its check digit adds: every other one, from the
     right, doubled with its digits summed."""
@@ -161,17 +207,22 @@ def _luhn_value(body: Column, i: Column) -> Column:
     return F.when(twice, F.when(d > 4, 2 * d - 9).otherwise(2 * d)).otherwise(d)
 
 
+ROUNDS = 100  # draws of an entity
+
+
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """``(kind, norm)`` rows with a surrogate each: distinct within a kind and equal to no
     entity of that kind.
 
     Every round draws for the entities still open; of those that drew the same value the
     least keeps it, and one that drew a value taken before, or a real entity's, draws anew.
-    A round is two aggregates and joins over the open entities, its table is written."""
+    A round is two aggregates and joins over the open entities, its table is written.  Kinds of
+    fixed length have a space of fixed size: entities without a surrogate after ``ROUNDS`` rounds
+    (their kind fills about nine tenths of its space) raise a ``ValueError``."""
     open_ = written(entities.select("kind", "norm").distinct(), "entities")
     real = open_.select("kind", _compared(F.col("kind"), F.col("norm")).alias("s")).distinct()
-    done, attempt = None, 0
-    while True:
+    done = None
+    for attempt in range(ROUNDS):
         drawn = open_.withColumn("surrogate", draw(key, F.col("kind"), F.col("norm"), F.lit(attempt)))
         drawn = drawn.withColumn("s", F.lower("surrogate"))
         least = drawn.groupBy("kind", "s").agg(F.min("norm").alias("norm"))
@@ -183,7 +234,8 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         open_ = written(open_.join(won, ["kind", "norm"], "left_anti"), "entities")
         if open_.isEmpty():
             return done
-        attempt += 1
+    full = sorted(r.kind for r in open_.select("kind").distinct().collect())  # kinds are few
+    raise ValueError(f"no free surrogate after {ROUNDS} rounds for entities of: {', '.join(full)}")
 
 
 def _compared(kind: Column, norm: Column) -> Column:
@@ -202,22 +254,24 @@ def written_like(match: Column, surrogate: Column) -> Column:
             return F.when(F.rlike(c, F.lit(r"^[0-9A-Za-z]$")), F.substr(digits_of, at, F.lit(1))).otherwise(c)
         return F.array_join(F.transform(F.sequence(F.lit(1), F.length(match)), char), "")
     kind = type_of(match)
-    spelled = F.when(kind.isin("phone", "card", "ssn", "iban"), refill("[^0-9A-Za-z]")).otherwise(surrogate)
+    spelled = F.when(kind.isin("phone", "card", "ssn", "iban"), refill("[^0-9A-Za-z]"))
+    spelled = spelled.when(kind == "password", F.concat(F.regexp_extract(match, _BEFORE_PASSWORD, 0), surrogate)).otherwise(surrogate)
     all_caps = F.rlike(match, F.lit(r"\p{Lu}")) & ~F.rlike(match, F.lit(r"\p{Ll}"))
-    return F.when((kind == "email") & all_caps, F.upper(spelled)).otherwise(spelled)
+    return F.when(kind.isin("email", "ipv6") & all_caps, F.upper(spelled)).otherwise(spelled)
 
 
 def _renamed(match: Column, names: Column) -> Column:
-    """A titled name with new names, capitalised as the old ones were."""
-    words = F.split(match, "[ -]")
+    """A titled name with new names, capitalised as the old ones were; titles, initials,
+    particles and separators stay."""
+    head = F.regexp_extract(match, "^" + _HEAD, 0)
+    words, between = _words(match), F.regexp_extract_all(F.substr(match, F.length(head) + 1), F.lit("([ -])"), F.lit(1))
 
-    def one(name, k):
-        old = F.element_at(words, k + 2)
+    def one(old, k):
+        name = F.element_at(names, F.size(F.filter(F.slice(words, F.lit(1), k + 1), _is_name)))
         caps = (F.length(old) > 1) & (F.upper(old) == old)
-        return F.when(caps, F.upper(name)).otherwise(F.initcap(name))
-    new = F.transform(names, one)
-    joined = F.when(F.contains(match, F.lit("-")), F.array_join(new, "-")).otherwise(F.array_join(new, " "))
-    return F.concat(F.element_at(words, F.lit(1)), F.lit(" "), joined)
+        new = F.when(~_is_name(old), old).when(caps, F.upper(name)).otherwise(F.initcap(name))
+        return F.concat(F.when(k == 0, F.lit("")).otherwise(F.try_element_at(between, k)), new)
+    return F.concat(head, F.array_join(F.transform(words, one), ""))
 
 
 def replace_entities(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -225,7 +279,8 @@ def replace_entities(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     NULL and empty texts stay as they are; repeated rows stay and read alike; surrogates
     depend on ``key`` and the corpus's entities, not on the order or placing of rows; card
-    numbers that fail their check digit are no entities; an empty table stays empty; a column
+    numbers that fail their check digit are no entities; a name has a title before it and up to
+    eight words (initials and particles stay as they are); an empty table stays empty; a column
     named ``n_replaced`` is replaced.
     """
     keep = [c for c in df.columns if c != "n_replaced"]

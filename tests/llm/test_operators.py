@@ -241,6 +241,41 @@ def test_surrogates_of_long_secrets(spark):
         assert re.fullmatch(r"key (sk-[A-Za-z0-9]+|[0-9a-f]+|[0-9A-F]+)\.", out[i])
 
 
+def test_surrogates_of_names_phones_and_keys_of_any_shape(spark):
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\nMIIEow" + "Ab9/+" * 200 + "==\n-----END RSA PRIVATE KEY-----"
+    private = {"Mr John Ronald Tolkien": r"Mr \w+n \w+n \w+", "Dr. Anna Smith": r"Dr\. \w+ \w+", "Frau Dr. Eva von Berg-Hahn": r"Frau Dr\. \w+a von \w+a-\w+",
+               "Mr J. R. O'Brien": r"Mr J\. R\. \w+", "+33 6 12 34 56 78": r"\+33 \d( \d\d){4}", "+44 (0)20 7946 0958": r"\+44 \(\d\)\d\d \d{4} \d{4}",
+               "+4915112345678": r"\+49\d{11}", "555 123 4567": r"\d{3} \d{3} \d{4}", "030 12345678": r"0\d\d \d{8}", "(030) 1234567": r"\(0\d\d\) \d{7}",
+               "2001:db8:85a3::8a2e:370:7334": r"2001:db8(:[0-9a-f]{4}){6}", "FE80::1": r"2001:DB8(:[0-9A-F]{4}){6}", "password=hunter": "password=[a-z]{6}",
+               "pwd: 'x9 Y7zéq2'": None, "passwd: Zq7zéq2x": r"passwd: [A-Z][a-z]\d[a-z]{3}\d[a-z]", "GB29 NWBK 6016 1331 9268 19": r"GB\d\d [A-Z]{4}( \d{4}){3} \d\d",
+               "DE89370400440532013000": r"DE\d{20}", pem: r"-----BEGIN RSA PRIVATE KEY-----[\w\s:,/+=-]+-----END RSA PRIVATE KEY-----"}
+    clean = ["on 01.02.2003 or 2003-02-01", "std::vector and a::b at 12::30", "from 010 to 020 of 3000", "password: the word you chose", "in 1999 2000 2001", None, "",
+             "Drive on, Mister", "1 + 2", "Herr, der Morgen"]
+    rows = [f"see {x}, please" for x in private] + clean + ["Mr " + "Anna " * 20_000, "+1 " * 50_000]
+    out = surrogates.replace_entities(docs(spark, rows), "k")
+    got = {r.doc_id: (r.text, r.n_replaced) for r in out.collect()}
+    for i, (old, shape) in enumerate(private.items()):
+        if shape is not None:
+            assert got[i][1] == 1 and re.fullmatch(f"see {shape}, please", got[i][0]) and old not in got[i][0], got[i]
+    assert [got[len(private) + i] for i in range(len(clean))] == [(x, 0) for x in clean]
+    assert len(got) == len(rows) and got[len(rows) - 1] == (rows[-1], 0) and got[len(rows) - 2][1] == 1
+    for i in (list(private).index("GB29 NWBK 6016 1331 9268 19"), list(private).index("DE89370400440532013000")):
+        iban = re.search(r"[A-Z]{2}[\w ]+", got[i][0])[0].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+
+def test_one_phone_number_in_two_spellings(spark):
+    out = [r.text for r in surrogates.replace_entities(docs(spark, ["+49 151 1234-5678", "+4915112345678"]), "k").collect()]
+    assert len({re.sub(r"\D", "", t) for t in out}) == 1 and all(t.startswith("+49") for t in out)
+
+
+def test_a_full_space_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "ROUNDS", 2)
+    monkeypatch.setattr(surrogates, "draw", lambda key, kind, norm, attempt: F.lit("900000000"))
+    with pytest.raises(ValueError, match="no free surrogate after 2 rounds for entities of: ssn"):
+        surrogates.replace_entities(docs(spark, [f"123-45-{i}" for i in range(6000, 6009)]), "k")
+
+
 # --- 4: repeated byte strings ----------------------------------------------------------------------
 
 def exact_removed(texts, length=200):
