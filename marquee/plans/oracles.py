@@ -307,6 +307,10 @@ r AS (SELECT * FROM (WITH {_topk_sql('t', 'title, year, votes, rating').lstrip()
 SELECT CAST(row_number() OVER (ORDER BY year, rank) - 1 AS INTEGER) AS line_no,
        concat_ws({TAB}, CAST(year AS VARCHAR), CAST(rank AS VARCHAR), title, CAST(votes AS VARCHAR), rating) AS line
 FROM r""",
+    "numbered_lines": f"""
+SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS line_no,
+       concat_ws({TAB}, CAST(o_orderkey AS VARCHAR), o_orderstatus, o_orderpriority) AS line
+FROM orders""",
     "etl_preview": f"WITH {CHAIN} SELECT title, year, rating, votes, genre FROM silver ORDER BY movie_id, genre LIMIT 5",
     "preview_ordered": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 20",
     "read_table": f"WITH {CHAIN} {MSG_SELECT}",

@@ -28,7 +28,7 @@ from marquee.plans.standins import (BEYOND, nation_names, order_lines, part_name
                                      shipments)
 from marquee.schemas import MESSAGE
 from marquee.session import work_path
-from marquee.sinks.writers import write_jsonl, write_single_result, write_topic
+from marquee.sinks.writers import ordered_lines, write_jsonl, write_single_result, write_topic
 from marquee.sources.readers import (genre_dim_from_doc, read_genre_doc, read_lines_in_order, read_pages, read_silver,
                                      read_table, records_from_pages, table)
 from marquee.streaming.ingest import BatchCounter, batch_sink, dedup_stream, message_stream, read_stream, start_ingest
@@ -285,6 +285,12 @@ def q_result_order(spark: SparkSession, root: str) -> DataFrame:
     return lines.select(F.posexplode(F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")).alias("line_no", "line"))
 
 
+def q_numbered_lines(spark: SparkSession, root: str) -> DataFrame:
+    """All orders as lines of one ordered result, numbered over its sorted parts."""
+    orders = table(spark, root, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    return ordered_lines(orders.orderBy(F.desc("o_totalprice"), "o_orderkey").drop("o_totalprice"))
+
+
 def q_catalog_pages(spark: SparkSession, root: str) -> DataFrame:
     """Landed pages and the category document are written as JSON text, read back with
     their fixed schemas, flattened, and the category ids resolved to names."""
@@ -605,6 +611,7 @@ QUERIES = {
     "field_mapping_defaults": q_field_mapping_defaults,
     "text_shapes": q_text_shapes,
     "result_order": q_result_order,
+    "numbered_lines": q_numbered_lines,
     "etl_preview": q_etl_preview,
     "preview_ordered": q_preview_ordered,
     "read_table": q_read_table,

@@ -4,8 +4,10 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from marquee.operators.preview import batch_preview, preview_rows
-from marquee.sinks.writers import write_topic
+from marquee.sinks.writers import merged_lines, ordered_lines, write_ordered_result, write_single_result, write_topic
 from marquee.sources.readers import read_table
 
 
@@ -41,3 +43,50 @@ def test_write_topic_through_a_file_sink_and_read_table(spark):
     write_topic(df, fmt="json", path=path, fields=["id", "title", "rating"], key="id")
     back = read_table(spark, "json", path, schema="key string, value string").first()
     assert back.key == "1" and json.loads(back.value) == {"id": 1, "title": "t", "rating": None}
+
+
+@pytest.fixture
+def many_parts(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small parts stay apart
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def text_of(path):
+    names = sorted(n for n in os.listdir(path) if n.startswith("part-"))
+    return names, "".join(open(os.path.join(path, n), encoding="utf-8").read() for n in names)
+
+
+def test_a_long_ordered_result_is_merged_from_sorted_parts(spark, many_parts):
+    n = 1_000_000
+    df = spark.range(n).selectExpr("id", "(id * 7919) % 1000003 AS k").repartition(8)
+    want = "".join(f"{i}\t{k}\n" for k, i in sorted((i * 7919 % 1000003, i) for i in range(n)))
+    root = tempfile.mkdtemp(prefix="marquee-ordered-")
+    write_single_result(df, f"{root}/one", order_by=["k"])
+    names, text = text_of(f"{root}/one")
+    assert len(names) == 1 and text == want
+    write_ordered_result(df, f"{root}/parts", order_by=["k"])
+    names, text = text_of(f"{root}/parts")
+    assert len(names) > 4 and text == want
+    manifest = sorted((r.part, r.first, r.n) for r in spark.read.json(f"{root}/parts/_manifest").collect())
+    assert [f for _, f, _ in manifest] == [sum(m[2] for m in manifest[:i]) for i in range(len(manifest))]
+    assert sum(m[2] for m in manifest) == n
+    assert spark.read.text(f"{root}/parts").count() == n  # readers skip the manifest
+
+
+def test_the_merging_task_neither_sorts_nor_shuffles(spark, many_parts):
+    plan = merged_lines(movies(spark, 300).select("id", "title"), order_by=["id"])._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("Coalesce")]
+    assert "Sort" not in above and "Exchange" not in above
+    stream = [x for x in plan.split("BroadcastExchange")[0].splitlines() if "Sort" in x or "Exchange hash" in x or "Exchange range" in x]
+    assert not stream
+
+
+def test_numbered_lines_edges(spark, many_parts):
+    df = spark.createDataFrame([(2, "b\nc"), (1, None), (1, None), (3, "")], "k int, v string")
+    got = sorted((r.line_no, r.line) for r in ordered_lines(df, ["k"]).collect())
+    assert got == [(0, "1\t"), (1, "1\t"), (2, "2\tb\nc"), (3, "3\t")]
+    assert ordered_lines(df.limit(0), ["k"]).count() == 0
+    path = os.path.join(tempfile.mkdtemp(prefix="marquee-empty-"), "one")
+    write_single_result(df.limit(0), path, order_by=["k"])
+    assert text_of(path)[1] == ""
