@@ -42,7 +42,7 @@ PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2}(?: ?\d{4}){1,5}(?: ?\d{1,3})?(?![A-Za-z0-9])",
     # after a plus sign 7 to 15 digits in any grouping; else an area code in brackets, three-three-four, or a leading zero and groups
-    "phone": r"(?<![\w+])(?:\+[1-9](?:[ .()/-]{0,2}\d){6,14}|\(\d{2,5}\) ?\d(?:[ .-]?\d){5,9}|\d{3}[-. ]\d{3}[-. ]\d{4}"
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{4}(?!\w)|\+[1-9](?:[ .()/-]{0,2}\d){6,14}|\(\d{2,5}\) ?\d(?:[ .-]?\d){5,9}|\d{3}[-. ]\d{3}[-. ]\d{4}"
              r"|(?=0(?: ?\d){8,13}(?![\d ]*\d))0\d{1,4}(?: \d{2,8}){1,5})(?!\w)",
     "ipv6": r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
             r"|(?=[0-9A-Fa-f:]*::)(?=[A-Fa-f:]*\d)[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{0,4}){1,6}:[0-9A-Fa-f]{1,4})(?![\w:])",
@@ -53,7 +53,10 @@ PATTERNS = {
               r"|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}+)(?!\w)",
     "name": rf"(?<!\p{{L}}){_HEAD}{_INNER}{_WORD}(?:[ -](?!{_TITLE}(?!\p{{L}})){_INNER}{_WORD}){{0,7}}(?!\p{{L}})",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# The characters a match can start with, looked at before the rest of its pattern.
+STARTS = {"password": "[pP]", "iban": "[A-Z]", "phone": r"[+(\d]", "ipv6": "[0-9A-Fa-f]{1,4}:", "ip": r"\d", "ssn": r"\d", "card": "[2-6]",
+          "secret": "[0-9A-Fa-fgs]", "name": "[" + "".join(sorted({t[0] for t in TITLES_M + TITLES_F + TITLES_ANY})) + "]"}
+ANY = "|".join(f"(?:(?={STARTS[k]}){p})" if k in STARTS else f"(?:{p})" for k, p in PATTERNS.items())
 # What a text with an entity cannot lack: cheap to look for, before the patterns themselves.
 HINT = r"[@\d]|PRIVATE KEY|(?i:passw|passphrase|pwd)|" + "|".join(TITLES_M + TITLES_F + TITLES_ANY)
 

@@ -269,6 +269,12 @@ def test_one_phone_number_in_two_spellings(spark):
     assert len({re.sub(r"\D", "", t) for t in out}) == 1 and all(t.startswith("+49") for t in out)
 
 
+def test_a_phone_number_ends_before_the_next_entity(spark):
+    text = surrogates.replace_entities(docs(spark, ["+1 (415) 555-2671 97.51.17.173"]), "k").first().text
+    phone, ip = text.rsplit(" ", 1)
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", phone) and re.fullmatch(r"(\d+\.){3}\d+", ip) and "17.173" not in text
+
+
 def test_a_full_space_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(surrogates, "ROUNDS", 2)
     monkeypatch.setattr(surrogates, "draw", lambda key, kind, norm, attempt: F.lit("900000000"))
