@@ -38,9 +38,11 @@ FLOAT_TEXT = rf"(?i)^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[
 def number_of_text(c, spark_type: DataType) -> Column:
     """The number that a text spells, as ``int(text)`` or ``float(text)`` would read it, else NULL
     (also beyond the type's range)."""
-    c = strip_text(as_col(c))
-    pattern = INT_TEXT if isinstance(spark_type, IntegralType) else FLOAT_TEXT
-    return F.when(c.rlike(pattern), F.replace(c, F.lit("_"), F.lit(""))).try_cast(spark_type)
+    text = as_col(c)
+    whole = isinstance(spark_type, IntegralType)
+    c, pattern, digits = strip_text(text), INT_TEXT if whole else FLOAT_TEXT, r"\A-?[0-9]+\z" if whole else r"\A-?[0-9]+(\.[0-9]+)?\z"
+    # bare digits, as nearly all numbers are written, need none of the trimming below
+    return F.when(text.rlike(digits), text).when(c.rlike(pattern), F.replace(c, F.lit("_"), F.lit(""))).try_cast(spark_type)
 
 
 def clamp_range(c, lo, hi, zero) -> Column:

@@ -26,6 +26,12 @@ def read_table(spark: SparkSession, fmt: str, path: str | None = None, options:
     return r.load(path) if path is not None else r.load()
 
 
+def _once(df: DataFrame, *cols) -> DataFrame:
+    """``df.select(*cols)`` as a generator of one row from one.  Filters behind a plain projection
+    are pushed below it with a copy of its expressions for each use; these are computed once."""
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def read_silver(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
     """Silver JSONL (blank lines are skipped by the reader).
 
@@ -42,12 +48,13 @@ def read_silver(spark: SparkSession, path: str, lenient: bool = False) -> DataFr
     # as Python's reader takes them, come as the texts that spell them.
     fields = T.StructType([T.StructField(f.name, T.VariantType()) for f in SILVER.fields])
     doc = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), T.ArrayType(fields))
-    lines = spark.read.text(path).select(doc.alias("a")).filter(F.size("a") == 1).select(F.col("a")[0].alias("v")).filter("v is not null")
-    cols, bad = [], []
+    lines = _once(spark.read.text(path), doc.alias("a")).filter(F.size("a") == 1).select(F.col("a")[0].alias("v")).filter("v is not null")
+    names = [f.name for f in SILVER.fields]
+    lines = _once(lines, *[F.schema_of_variant(F.col(f"v.{n}")).alias(f"kind_{n}") for n in names],
+                  *[F.try_variant_get(F.col(f"v.{n}"), "$", "string").alias(f"text_{n}") for n in names])
+    values = []
     for f in SILVER.fields:
-        field = F.col(f"v.{f.name}")
-        kind = F.schema_of_variant(field)
-        text = F.try_variant_get(field, "$", "string")
+        kind, text = F.col(f"kind_{f.name}"), F.col(f"text_{f.name}")
         if isinstance(f.dataType, StringType):
             value = F.when(kind == "STRING", text)
         else:
@@ -55,9 +62,10 @@ def read_silver(spark: SparkSession, path: str, lenient: bool = False) -> DataFr
             # a number converts as a number (7.9 to 7); a text must spell one of the type
             value = F.when(kind == "STRING", number_of_text(text, f.dataType)).otherwise(
                 plain.try_cast("double").try_cast(f.dataType))
-        cols.append(value.alias(f.name))
-        bad.append(F.when(kind.isNotNull() & value.isNull(), F.lit(f.name)))
-    return lines.select(*cols, F.array_compact(F.array(*bad)).alias("bad_fields"))
+        values.append(value.alias(f.name))
+    lines = _once(lines, *values, *[f"kind_{n}" for n in names])
+    bad = [F.when(F.col(f"kind_{n}").isNotNull() & F.col(n).isNull(), F.lit(n)) for n in names]
+    return lines.select(*names, F.array_compact(F.array(*bad)).alias("bad_fields"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -198,3 +198,12 @@ def test_batch_counter_totals_over_many_batches_and_a_replay():
         c.record(i, rows=2, malformed=1, stored=1)
     c.record(299, rows=5, malformed=0, stored=5)            # replay of the last batch replaces it
     assert c.totals == {"rows": 299 * 2 + 5, "malformed": 299, "stored": 299 + 5}
+
+
+def test_lenient_lines_are_parsed_once(spark):
+    path = fresh("lenient-once")
+    spark.createDataFrame([('{"movie_id": "1", "genre": "a", "rating": " 7_0.5 "}',)], "value string").write.mode("overwrite").text(path)
+    rows = avg_by_group(read_silver(spark, path, lenient=True), min_count=1)
+    assert [tuple(r) for r in rows.collect()] == [("a", "70.50", 1)]
+    # the filters on bad values, genre and rating hold no copies of the parser
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
