@@ -300,7 +300,8 @@ def q_catalog_pages(spark: SparkSession, root: str) -> DataFrame:
     pages = raw.select(F.to_json(F.struct(F.col("id").alias("page"),
                                           F.array(F.struct(*record_cols)).alias("results"))).alias("value"))
     pages_path = work_path(spark, "pages")
-    pages.write.mode("overwrite").text(pages_path)
+    # pages are the largest thing written: compressed, in files that a task each reads whole
+    pages.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", 1_000_000).text(pages_path)
     # documents of at most 10 categories each, so that no row grows with the dimension
     doc_path = work_path(spark, "genre-doc")
     (nation_names(spark, root).groupBy(F.floor(F.col("id") / 10).alias("part"))
