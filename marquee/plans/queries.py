@@ -454,16 +454,29 @@ def q_stream_append(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(out).drop("processed_at", "batch_id")
 
 
+def _land_places(lines: DataFrame, landing: str, places: range) -> int:
+    """Land the ``value`` lines of each of ``places`` in turn, every task writing its own file as
+    it reads, and give the files of a place (those of one micro-batch).  Dealt by place instead, a
+    place would be one task's, sorted whole before its one file is written."""
+    spark = lines.sparkSession
+    files = 0
+    for p in places:
+        at = f"{landing}/place={p}"
+        lines.filter(F.col("place") == p).select("value").write.text(at)
+        files += len(spark.read.text(at).inputFiles())
+    return max(1, -(-files // len(places)))
+
+
 def q_stream_dedup(spark: SparkSession, root: str) -> DataFrame:
     """Every event twice, in files of shuffled event time that arrive over several
     micro-batches: each id is stored once and none is lost."""
     ev = table(spark, root, "events").withColumn("ts", micros_text("ts"))
     landing = work_path(spark, "landing-shuffled")
     twice = ev.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
-    files = twice.withColumn("file", F.pmod(F.xxhash64("event_id", "copy"), F.lit(6)))
-    encoded = files.select("file", F.to_json(F.struct(*EVENT_FIELDS)).alias("value"))
-    encoded.repartition(6, "file").write.mode("overwrite").partitionBy("file").text(landing)
-    _, out, _ = _run_stream(spark, landing, dedup=True, max_files=1)
+    files = twice.withColumn("place", F.pmod(F.xxhash64("event_id", "copy"), F.lit(6)))
+    use_rocksdb(spark)  # the ids seen are state that grows with the events
+    max_files = _land_places(files.select("place", F.to_json(F.struct(*EVENT_FIELDS)).alias("value")), landing, range(6))
+    _, out, _ = _run_stream(spark, landing, dedup=True, max_files=max_files)
     return spark.read.parquet(out).drop("processed_at", "batch_id")
 
 
@@ -481,12 +494,13 @@ def _copies_of_events(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _run_in_two_parts(spark: SparkSession, lines: DataFrame, transform, sink, name: str):
-    """Half of the files land and a query takes them in, a file per micro-batch, and ends; the
+    """Half of the files land and a query takes them in, a place per micro-batch, and ends; the
     others land and it is started again from its checkpoint.  Yields the ended queries."""
     landing, checkpoint = work_path(spark, "landing-copies"), work_path(spark, "stream-ckpt")
-    for part in ("place < 4", "place >= 4"):
-        lines.filter(part).repartition(4, "place").write.mode("append").partitionBy("place").text(landing)
-        src = read_stream(spark, "text", options={"maxFilesPerTrigger": "1", "recursiveFileLookup": "true"}, path=landing,
+    use_rocksdb(spark)
+    for part in (range(4), range(4, 8)):
+        max_files = _land_places(lines, landing, part)
+        src = read_stream(spark, "text", options={"maxFilesPerTrigger": str(max_files), "recursiveFileLookup": "true"}, path=landing,
                           schema=StructType([StructField("value", StringType())]))
         rows = transform(message_stream(src, schema=EVENT_MSG_SCHEMA).drop("processed_at"))
         q = start_ingest(rows, sink, checkpoint, trigger={"availableNow": True}, query_name=name)
