@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from marquee.operators.dedup import dedup_first
 from marquee.streaming.ingest import batch_sink, dedup_stream, read_stream, start_ingest
+from marquee.streaming import ordered
 from marquee.streaming.ordered import first_by_order, latest_revisions, use_rocksdb
 from marquee.streaming.progress import ProgressLedger, batch_records, observe_arrived, observe_kept, totals
 
@@ -99,3 +100,23 @@ def test_ingest_command_keeps_the_first_and_counts_over_runs(rocksdb, tmp_path,
     stored = latest_revisions(rocksdb.read.parquet(str(tmp_path / "store")).drop("batch_id"), "id")
     assert sorted((r["id"] or 0, r["title"] or "", r["revision"]) for r in stored.collect()) == [(0, "", 1), (1, "earliest", 2), (2, "late", 1)]
     assert '"rows": 5, "malformed": 1, "repeated": 1, "kept": 4' in capsys.readouterr().out
+
+
+def test_ids_share_groups_and_their_state_stays_right_when_its_blocks_become_one(rocksdb, tmp_path, monkeypatch):
+    monkeypatch.setattr(ordered, "GROUPS", 16)
+    spark, rnd, out = rocksdb, random.Random(5), str(tmp_path / "out")
+    files = ordered.BLOCKS + 4
+    rows = [[{"id": i, "t": rnd.choice("abcdef"), "n": rnd.choice([k, None]), "_x": None} for i in rnd.sample(range(400), 200)] for k in range(files)]
+    for k, part in enumerate(rows):
+        land(tmp_path / "in", f"f{k:02}.json", part)
+    for _ in range(2):  # the second run finds nothing new
+        q = run(spark, tmp_path, lambda r: first_by_order(r, "id", ["t"]), batch_sink(out))
+    stored = spark.read.parquet(out)
+    got = latest_revisions(stored.drop("batch_id"), "id").select("id", "t", "n", "_x")
+    every = spark.createDataFrame([(r["id"], r["t"], r["n"], r["_x"]) for part in rows for r in part], ROW)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, dedup_first(every, ["id"], ["t"]).collect()), key=repr)
+    assert stored.groupBy("id").agg(F.max("revision").alias("r"), F.count("*").alias("n")).filter("r <> n").count() == 0
+    # Python was called and state kept for groups, not for each id
+    state = spark.read.format("statestore").option("stateVarName", "blocks").load(str(tmp_path / "ckpt"))
+    groups = {r["key"]["group_key"] for r in state.collect()}
+    assert len(groups) <= 16 < got.count() and q.exception() is None
