@@ -12,8 +12,6 @@ import base64
 import hashlib
 import heapq
 import re
-import sys
-import types
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import struct_of
+from marquee.llm.common import process_cache, struct_of
 
 # Pieces of more bytes than this are contracted by a priority queue under the same rule: the
 # rows of the recursive query grow with the square of a piece's length.
@@ -166,11 +164,6 @@ def grouped(texts: list[str], chars: int = 8_000_000):
         yield group
 
 
-def process_cache() -> dict:
-    """One dictionary per Python worker process, shared by the tasks it runs in turn."""
-    return sys.modules.setdefault("__marquee_llm_cache__", types.SimpleNamespace(values={})).values
-
-
 def make_encoder(data: bytes, pattern: str):
     """``f(texts) -> [(ids as text, number of ids, decoded bytes)]`` for a rank file and pattern."""
     import regex

@@ -14,8 +14,6 @@ in vain and dropped by its sum, and nothing frequent is ever missed.
 
 from __future__ import annotations
 
-import ctypes
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import written
+from marquee.llm.common import give_back, written
 from marquee.llm.shingles import mixed
 
 LONGEST = 4  # words of a phrase
@@ -45,14 +43,6 @@ def _free_at_once() -> None:
     pa.set_memory_pool(pa.system_memory_pool())
 
 
-def _give_back() -> None:
-    """Hand what a shard has freed back to the machine, where the C library can."""
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):
-        pass
-
-
 # --- words of a shard -------------------------------------------------------------------------
 
 def word_codes(texts: list[str]) -> tuple[np.ndarray, list[bytes]]:
@@ -95,11 +85,11 @@ def shards(batches, limit: int):
             if size >= limit:
                 yield held
                 held, size = {}, 0
-                _give_back()
+                give_back()
     if held:
         yield held
         del held
-        _give_back()
+        give_back()
 
 
 def count_words(df: DataFrame, lang: str, text: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -349,7 +339,7 @@ def phrase_counts(indexes: DataFrame, length: int, bitmaps: dict[int, np.ndarray
                     yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(h[k:k + EMITTED, j])) for j in range(length)]
                                                      + [pa.array(p.count[k:k + EMITTED])], [*names, "f"])
                 del index, p, h
-                _give_back()
+                give_back()
     schema = ", ".join(f"{c} long" for c in [*names, "f"])
     found = indexes.mapInArrow(run, schema)
     return found.groupBy(*names).agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)

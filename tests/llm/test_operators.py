@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.llm import bytebpe, chunkdedup, decontam, hyperminhash, qualityrules, ruleclassifier, suffixdedup, surrogates, textstats, urlfilter
-from marquee.llm.common import vocabulary
+from marquee.llm.common import made, process_cache, vocabulary
 from marquee.llm.htmltext import extract_main_text, main_text, surge_to_dive
 from marquee.llm.hyperminhash import drop_near_duplicates, near_duplicates
 
@@ -30,6 +30,21 @@ def prose(rnd, n):
     return " ".join(word(rnd.randrange(4000)) for _ in range(n))
 
 
+# --- what operators share ----------------------------------------------------------------------
+
+def test_a_worker_keeps_the_tokenizer_only_until_a_task_of_another_operator():
+    data, pattern = open(vocabulary()[0], "rb").read(), vocabulary()[1]
+    process_cache().clear()
+    encode = made(lambda: bytebpe.make_encoder(data, pattern))
+    assert encode(["one two"])[0][1] == 2
+    kept = next(iter(process_cache().values()))
+    made(lambda: bytebpe.make_encoder(data, pattern))  # the next task of the same operator finds it
+    assert next(iter(process_cache().values())) is kept and kept[2]
+    made(textstats.make_stats)
+    assert not process_cache()
+    assert encode(["one two three"])[0][1] == 3  # a task that still runs keeps its own
+
+
 # --- 1: main text -----------------------------------------------------------------------------
 
 def test_main_text_of_pages():
