@@ -14,6 +14,8 @@ in vain and dropped by its sum, and nothing frequent is ever missed.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,6 +32,7 @@ COVERED = 80  # per cent of a phrase's occurrences that a longer one must have t
 TOP = 2000  # phrases reported per language
 SHARD_BYTES = 2_000_000  # text of a shard, rounded up to whole texts
 EMITTED = 25_000  # rows that a task hands over at a time
+JOINED = 4  # input splits of shards that one task counts, so that phrases add up before they are shuffled
 FILTER_BITS = 24  # the bitmap of frequent phrases has 2**FILTER_BITS bits: two megabytes at any size of corpus
 UNKNOWN = "und"  # language of rows without one
 
@@ -102,12 +105,17 @@ def count_words(df: DataFrame, lang: str, text: str, shard_bytes: int = SHARD_BY
                 f = np.bincount(codes, minlength=len(words) + 1)[1:]
                 for k in range(0, len(words), EMITTED):
                     part = words[k:k + EMITTED]
-                    h = np.array([word_hash(name, w) for w in part], dtype=np.uint64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(part)), pa.array([w.decode() for w in part]), pa.array(h.view(np.int64)),
-                         pa.array(f[k:k + EMITTED])], ["lang", "word", "h", "f"])
-    found = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(run, "lang string, word string, h long, f long")
-    return found.groupBy("lang", "word", "h").agg(F.sum("f").alias("f"))
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array([w.decode() for w in part]),
+                                                      pa.array(f[k:k + EMITTED])], ["lang", "word", "f"])
+
+    def numbered(batches):
+        for b in batches:
+            h = [word_hash(name, w.encode()) for name, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(h, dtype=np.uint64).view(np.int64)), b.column(2)],
+                                             ["lang", "word", "h", "f"])
+    found = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(run, "lang string, word string, f long")
+    # numbers are had after the shuffle, in which they would take as much room as the words
+    return found.groupBy("lang", "word").agg(F.sum("f").alias("f")).mapInArrow(numbered, "lang string, word string, h long, f long")
 
 
 # --- the index --------------------------------------------------------------------------------
@@ -341,7 +349,9 @@ def phrase_counts(indexes: DataFrame, length: int, bitmaps: dict[int, np.ndarray
                 del index, p, h
                 give_back()
     schema = ", ".join(f"{c} long" for c in [*names, "f"])
-    found = indexes.mapInArrow(run, schema)
+    files = indexes.rdd.getNumPartitions()  # so many more shards add up before the shuffle, where cores allow it
+    tasks = max(math.ceil(files / JOINED), min(files, indexes.sparkSession.sparkContext.defaultParallelism))
+    found = indexes.coalesce(tasks).mapInArrow(run, schema)
     return found.groupBy(*names).agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
 
 

@@ -6,12 +6,13 @@ import hashlib
 import html as H
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from marquee.llm import bytebpe, chunkdedup, decontam, hyperminhash, qualityrules, ruleclassifier, suffixdedup, surrogates, textstats, urlfilter
-from marquee.llm.common import made, process_cache, vocabulary
+from marquee.llm.common import made, process_cache, vocabulary, written
 from marquee.llm.htmltext import extract_main_text, main_text, surge_to_dive
 from marquee.llm.hyperminhash import drop_near_duplicates, near_duplicates
 
@@ -45,6 +46,24 @@ def test_a_worker_keeps_the_tokenizer_only_until_a_task_of_another_operator():
     assert encode(["one two three"])[0][1] == 3  # a task that still runs keeps its own
 
 
+def test_shuffle_files_go_once_a_table_is_written(spark):
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {blocks.apply(k).name() for k in range(blocks.size()) if blocks.apply(k).name().startswith("shuffle_")}
+    df = spark.range(20000).selectExpr("id % 997 k", "id").groupBy("k").agg(F.sum("id").alias("x"))
+    df = df.repartition(5, "x").join(spark.range(997).withColumnRenamed("id", "k").repartition(7, "k").hint("merge"), "k")
+    before = shuffled()
+    out = written(df, "cleaned")
+    for _ in range(50):  # removed in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert out.count() == 997 and out.agg(F.sum("x")).first()[0] == 199990000
+    df.write.parquet(out.inputFiles()[0].rsplit("/", 1)[0] + "-plain")  # other jobs are as they were
+    assert shuffled() - before
+
+
 # --- 1: main text -----------------------------------------------------------------------------
 
 def test_main_text_of_pages():
