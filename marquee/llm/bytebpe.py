@@ -12,6 +12,8 @@ import base64
 import hashlib
 import heapq
 import re
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +26,13 @@ from marquee.llm.common import process_cache, struct_of
 # Pieces of more bytes than this are contracted by a priority queue under the same rule: the
 # rows of the recursive query grow with the square of a piece's length.
 LONG_PIECE = 512
-# Cached chunks and pieces per worker before a cache starts anew (bounds memory, not the data).
-CACHE = 600_000
+# Pieces in a generation of a worker's cache, of which it keeps two (bounds memory, not the data);
+# a piece counts once more for every 32 characters.
+CACHE = 150_000
+# Characters cut into pieces at a time.
+RUN_CHARS = 1_000_000
 # Pieces and bytes that one query contracts: its rows stay far below the memory it may use.
-QUERY_PIECES, QUERY_BYTES = 40_000, 600_000
+QUERY_PIECES, QUERY_BYTES = 10_000, 100_000
 
 # Positions count through a query, 4096 to a word (g >> 12 is the word).  A row holds its
 # token and its right neighbour; b is the pair that a word contracts, with what lies to the
@@ -68,12 +73,15 @@ class Encoder:
         self.ranks, self.tokens = ranks, {i: t for t, i in ranks.items()}
         # no folder to spill to: a query's rows are bounded
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
-        merges = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t))
-                  if t[:k] in ranks and t[k:] in ranks]
-        self._table("merges", a=[m[0] for m in merges], b=[m[1] for m in merges], merged=[m[2] for m in merges])
+        merges = np.fromiter((x for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks
+                              for x in (ranks[t[:k]], ranks[t[k:]], i)), dtype=np.int32)
+        self._table("merges", a=merges[0::3], b=merges[1::3], merged=merges[2::3])
         self._table("tokens", id=list(self.tokens), digits=[t.hex() for t in self.tokens.values()])
         self.single = np.array([ranks[bytes([x])] for x in range(256)], dtype=np.int32)
-        self.known: dict[str, tuple[str, bytes]] = {}
+        # ids of pieces as the bytes of int32 numbers, in two generations
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.size = 0
 
     def _table(self, name: str, **columns) -> None:
         types = {"g": pa.int64(), "digits": pa.string()}
@@ -82,17 +90,26 @@ class Encoder:
         self.con.execute(f"create or replace temp table {name} as select * from t")
         del t
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces not known yet: ids as text, and the bytes decoded from them."""
+    def learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of at least these pieces; those not known yet are encoded.  A full generation
+        becomes the older one, from which pieces in use move to the new one."""
+        new = pieces - self.known.keys()
+        if self.size + _entries(new) > CACHE:
+            self.older = self.known if self.size <= CACHE else {}
+            self.known, self.size, new = {}, 0, pieces
+        self.size += _entries(new)
         rows = []
-        for p in pieces - self.known.keys():
+        for p in new:
+            ids = self.older.pop(p, None)
+            if ids is not None:
+                self.known[p] = ids
+                continue
             data = p.encode()
             whole = self.ranks.get(data)
             if whole is not None:  # a piece that is a token stays whole
-                self.known[p] = (str(whole), self.tokens[whole])
+                self.known[p] = array("i", (whole,)).tobytes()
             elif len(data) > LONG_PIECE:
-                ids = self._by_queue(data)
-                self.known[p] = (" ".join(map(str, ids)), b"".join([self.tokens[i] for i in ids]))
+                self.known[p] = array("i", self._by_queue(data)).tobytes()
             else:
                 rows.append((p, data))
         ends = np.cumsum([len(d) for _, d in rows])
@@ -107,10 +124,10 @@ class Encoder:
             self._table("start", g=g, tok=self.single[np.frombuffer(b"".join([d for _, d in part]), dtype=np.uint8)])
             for w, ids, digits in self.con.execute(CONTRACT).fetchall():
                 piece, data = part[w]
-                decoded = bytes.fromhex(digits)
-                if decoded != data:  # ids and digits are aggregated in one order
+                if bytes.fromhex(digits) != data:  # ids and digits are aggregated in one order
                     raise RuntimeError(f"a piece does not decode to itself: {piece!r}")
-                self.known[piece] = (ids, decoded)
+                self.known[piece] = array("i", map(int, ids.split())).tobytes()
+        return self.known
 
     def _by_queue(self, data: bytes) -> list[int]:
         """Leftmost minimum-rank contraction of one long piece by a priority queue."""
@@ -133,86 +150,66 @@ class Encoder:
         return [self.ranks[t] for t in tok if t is not None]
 
 
-SPACE_BEFORE_SPACE = re.compile(r" (?:\s|\Z)")
+def _entries(pieces: set[str]) -> int:
+    return len(pieces) + sum(map(len, pieces)) // 32
 
 
-def cut(text: str) -> list[str]:
-    """The text in chunks that the pattern never crosses: cuts are made before a space that
-    is followed by something other than white space, which always starts a new piece."""
-    parts = text.split(" ")
-    if SPACE_BEFORE_SPACE.search(text) is None:
-        return [parts[0], *[" " + p for p in parts[1:]]]
-    out = [parts[0]]
-    for p in parts[1:]:
-        if p and not p[0].isspace():
-            out.append(" " + p)
-        else:
-            out[-1] += " " + p
-    return out
+BEFORE_PIECE = re.compile(r" (?=\S)")
 
 
-def grouped(texts: list[str], chars: int = 8_000_000):
-    """Consecutive texts in groups of about ``chars`` characters."""
+def runs(text: str, chars: int) -> Iterator[str]:
+    """The text in runs of little over ``chars`` characters that the pattern never crosses: cuts are
+    made before a space followed by something other than white space, which always starts a new piece."""
+    at = 0
+    while len(text) - at > chars and (m := BEFORE_PIECE.search(text, at + chars)):
+        yield text[at:m.start()]
+        at = m.start()
+    yield text[at:]
+
+
+def grouped(texts: Iterable[str], chars: int) -> Iterator[list[tuple[int, str]]]:
+    """Consecutive runs, each with the number of its text, in groups of about ``chars`` characters."""
     group, size = [], 0
-    for t in texts:
-        group.append(t)
-        size += len(t)
-        if size >= chars:
-            yield group
-            group, size = [], 0
+    for i, t in enumerate(texts):
+        for run in runs(t, chars):
+            group.append((i, run))
+            size += len(run)
+            if size >= chars:
+                yield group
+                group, size = [], 0
     if group:
         yield group
 
 
 def make_encoder(data: bytes, pattern: str):
-    """``f(texts) -> [(ids as text, number of ids, decoded bytes)]`` for a rank file and pattern."""
+    """``f(texts) -> [(ids as text, number of ids, decoded bytes, ids)]`` for a rank file and pattern."""
     import regex
 
     key = hashlib.sha256(data + pattern.encode()).hexdigest()
     cache = process_cache()
     if key not in cache:
+        encoder = Encoder(load_ranks(data))
         # \\s here means Unicode white space only, as in the tokenizer's own engine
-        cache[key] = (Encoder(load_ranks(data)), regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}")
-                                                               .replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")), {})
-    encoder, splitter, chunks = cache[key]
-
-    def remember(new: set[str]) -> None:
-        """Learn the chunks; a piece that is a chunk by itself is kept among the chunks only."""
-        pieces = {c: splitter.findall(c) for c in new}
-        if len(encoder.known) + len(chunks) + len(new) > CACHE:
-            encoder.known.clear()
-        known = encoder.known
-        encoder.learn({p for ps in pieces.values() for p in ps if p not in chunks})
-        several = {}
-        for c, ps in pieces.items():
-            if len(ps) == 1:
-                chunks[c] = known[ps[0]]
-            else:
-                got = [known[p] if p in known else chunks[p] for p in ps]
-                several[c] = (" ".join([g[0] for g in got]), b"".join([g[1] for g in got]))
-        for c, ps in pieces.items():
-            if len(ps) == 1:
-                known.pop(c, None)
-        chunks.update(several)
-
-    def encode(texts: list[str]) -> list[tuple[str, int, bytes]]:
-        """The chunks of all texts are learnt together, so few queries run."""
-        parts = [cut(t) for t in texts]
-        needed = set().union(*parts) - {""}
-        new = needed - chunks.keys()
-        if len(chunks) + len(new) > CACHE:  # the cache starts anew with what these texts need
-            chunks.clear()
-            new = needed
-        if new:
-            remember(new)
-        out = []
-        for ps in parts:
-            if not ps[0]:
-                ps = ps[1:]
-            ids, back = zip(*map(chunks.__getitem__, ps), strict=True) if ps else ((), ())
-            joined = " ".join(ids)
-            out.append((joined, joined.count(" ") + 1 if joined else 0, b"".join(back)))
-        return out
+        cache[key] = (encoder, regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}")
+                                             .replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")),
+                      {i: str(i) for i in encoder.tokens})
+    encoder, splitter, digits = cache[key]
+
+    def finished(ids: np.ndarray) -> tuple[str, int, bytes, np.ndarray]:
+        """The ids as text and decoded, some at a time: as Python's numbers they take much memory."""
+        blocks = [ids[k:k + 50_000] for k in range(0, len(ids), 50_000)]
+        return (" ".join([" ".join(map(digits.__getitem__, b.tolist())) for b in blocks]), len(ids),
+                b"".join([b"".join(map(encoder.tokens.__getitem__, b.tolist())) for b in blocks]), ids)
+
+    def encode(texts: list[str]) -> list[tuple[str, int, bytes, np.ndarray]]:
+        """The pieces of a group of runs are learnt together, so few queries run."""
+        got: list[list[bytes]] = [[] for _ in texts]
+        for group in grouped(texts, RUN_CHARS):
+            pieces = [splitter.findall(run) for _, run in group]
+            known = encoder.learn(set().union(*pieces))
+            for (i, _), ps in zip(group, pieces, strict=True):
+                got[i].append(b"".join(map(known.__getitem__, ps)))
+        return [finished(np.frombuffer(b"".join(g), dtype=np.int32)) for g in got]
 
     return encode
 
@@ -238,11 +235,11 @@ def encode_and_decode(df: DataFrame, ranks: str, pattern: str, text: str = "text
 
         def f(texts):
             out = []
-            for group in grouped([t or "" for t in texts]):
-                for line, n, back in encode(group):
+            for at in range(0, len(texts), 250):
+                for line, n, back, numbers in encode([t or "" for t in texts[at:at + 250]]):
                     row = [n, hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(back).hexdigest()]
                     if ids:
-                        row.append(np.fromstring(line, dtype=np.int32, sep=" "))
+                        row.append(numbers)
                     if decoded:
                         row.append(back.decode())
                     out.append(row)

@@ -7,6 +7,7 @@ import html as H
 import random
 import re
 import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -485,6 +486,40 @@ def test_bpe_starts_its_cache_anew(reference_encoder, monkeypatch):
         assert [int(x) for x in encode([t])[0][0].split()] == reference_encoder.encode_ordinary(t)
 
 
+def test_bpe_cuts_long_texts_into_runs(reference_encoder, monkeypatch):
+    with open(vocabulary()[0], "rb") as f:
+        encode = bytebpe.make_encoder(f.read(), vocabulary()[1])
+    rnd = random.Random(17)
+    odd = "  \n\t\x1c\x85\xa0\u2003　aab'sdé1%𝒳中"
+    texts = ["".join(rnd.choice(odd) for _ in range(rnd.randrange(150))) for _ in range(60)] + ["", " ", "x" * 2000, prose(rnd, 200)]
+    monkeypatch.setattr(bytebpe, "RUN_CHARS", 30)
+    for t, (line, n, back, ids) in zip(texts, encode(texts), strict=True):
+        assert list(ids) == [int(x) for x in line.split()] == reference_encoder.encode_ordinary(t)
+        assert n == len(ids) and back == t.encode()
+
+
+def test_bpe_takes_little_memory_whatever_it_has_seen():
+    with open(vocabulary()[0], "rb") as f:
+        encode = bytebpe.make_encoder(f.read(), vocabulary()[1])
+    rnd = random.Random(19)
+    words = [word(k) for k in range(300)]
+    encode([" ".join(words)])
+    long = [" ".join(rnd.choices(words, k=150_000)) for _ in range(4)]
+    tracemalloc.start()
+    n = [(x[1], len(x[0]), len(x[2])) for x in encode(long)]
+    most = tracemalloc.get_traced_memory()[1] - sum(a + b + 4 * k for k, a, b in n)
+    tracemalloc.stop()
+    assert [x[2] for x in n] == [len(t.encode()) for t in long]
+    assert most < 4 * sum(map(len, long))  # beyond what it returns
+    unlike = [" ".join(f"{word(k)}, {word(k + 1)}." for k in range(at, at + 2000)) for at in range(0, 20_000, 2000)]
+    tracemalloc.start()
+    for t in unlike:
+        encode([t])
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 250 * 20_000  # a piece is kept once, with its ids
+
+
 # --- 8: decontamination ------------------------------------------------------------------------------
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
