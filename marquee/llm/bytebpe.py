@@ -3,7 +3,8 @@
 A text is cut by the vocabulary's pattern; each distinct piece becomes rows (word, position,
 token).  A recursive query joins neighbouring tokens with the merge table and contracts the
 leftmost pair of minimum rank of every word, until no pair of any word merges.  Ordered
-aggregation gives the ids of a word and, joined with the token table, decodes them again.
+aggregation gives the ids of a word and, joined with the token table, decodes them again, which
+must give the piece.  The ids of a whole text are decoded by the same table.
 """
 
 from __future__ import annotations
