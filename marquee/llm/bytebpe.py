@@ -1,10 +1,10 @@
 """Byte-level BPE encoding and decoding with DuckDB recursive queries inside each task.
 
-A text is cut by the vocabulary's pattern; each distinct piece becomes rows (word, position,
-token).  A recursive query joins neighbouring tokens with the merge table and contracts the
-leftmost pair of minimum rank of every word, until no pair of any word merges.  Ordered
-aggregation gives the ids of a word and, joined with the token table, decodes them again, which
-must give the piece.  The ids of a whole text are decoded by the same table.
+A text is cut by the vocabulary's pattern; each distinct piece becomes one row, the list of its
+tokens, each with the rank of the pair that it starts.  A recursive query contracts the leftmost
+pair of minimum rank of every row and joins the two pairs beside it with the merge table, until
+no pair of any row merges.  The ids of a piece are decoded by the token table, which must give
+the piece, and so are the ids of a whole text.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,28 +36,24 @@ RUN_CHARS = 1_000_000
 # Pieces and bytes that one query contracts: its rows stay far below the memory it may use.
 QUERY_PIECES, QUERY_BYTES = 10_000, 100_000
 
-# Positions count through a query, 4096 to a word (g >> 12 is the word).  A row holds its
-# token and its right neighbour; b is the pair that a word contracts, with what lies to the
-# right of it.  A word without such a pair is sent on once more, marked as done.
-CONTRACT = """
-with recursive step(done, g, tok, nxt, ng) as (
-  select false, g, tok, case when lead(g) over word >> 12 = g >> 12 then lead(tok) over word end,
-         case when lead(g) over word >> 12 = g >> 12 then lead(g) over word end
-  from start window word as (order by g)
+# An entry of a row holds the rank of the pair it starts (from bit 36, UNPAIRED if it merges with
+# nothing), where its token starts (12 bits) and the token (24 bits): the least entry is the
+# leftmost pair of minimum rank.  An entry without a token stands at either end.
+UNPAIRED, TOKEN = 1 << 60, (1 << 24) - 1
+CONTRACT = f"""
+with recursive step(w, entries, least) as (
+  select w, entries, list_min(entries) from start
   union all
-  select b.w is null, s.g,
-         case when s.g = b.g then b.merged else s.tok end,
-         case when s.g = b.g then b.nxt2 when s.ng = b.g then b.merged else s.nxt end,
-         case when s.g = b.g then b.ng2 else s.ng end
-  from step s left join (
-    select k.w, k.w << 12 | (k.least & 4095) as g, (k.least >> 12)::int as merged, k.ng, t.nxt as nxt2, t.ng as ng2
-    from (select p.g >> 12 as w, min(m.merged::bigint * 4096 + (p.g & 4095)) as least,
-                 arg_min(p.ng, m.merged::bigint * 4096 + (p.g & 4095)) as ng
-          from step p join merges m on m.a = p.tok and m.b = p.nxt where not p.done group by p.g >> 12) k
-    join step t on t.g = k.ng) b on b.w = s.g >> 12
-  where not s.done and (b.w is null or s.g <> b.ng))
-select (g >> 12)::int as w, string_agg(tok::varchar, ' ') as ids, string_agg(digits, '') as decoded
-from (select g, tok, digits from step join tokens t on t.id = step.tok where done order by g) group by g >> 12
+  select w, entries, list_min(entries) from (
+    select w, list_concat(entries[:p - 2],
+                          [coalesce(l.rank, {UNPAIRED}) | (entries[p - 1] & {(1 << 36) - 1}),
+                           coalesce(r.rank, {UNPAIRED}) | (least & {TOKEN << 12 & ~TOKEN}) | merged],
+                          entries[p + 2:]) as entries
+    from (select w, entries, least, least >> 36 as merged, list_position(entries, least) as p from step where least < {UNPAIRED})
+    left join merges l on l.pair = ((entries[p - 1] & {TOKEN}) << 24) | merged
+    left join merges r on r.pair = (merged << 24) | (entries[p + 2] & {TOKEN}))
+)
+select w, entries[2:-2] as entries from step where least >= {UNPAIRED}
 """
 
 
@@ -71,26 +68,60 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int]):
         import duckdb
 
-        self.ranks, self.tokens = ranks, {i: t for t, i in ranks.items()}
+        self.ranks = ranks
+        tokens = {i: t for t, i in ranks.items()}
+        if max(tokens) >= TOKEN:
+            raise ValueError(f"a rank does not fit into an entry: {max(tokens)}")
+        self.tokens = pa.array([tokens.get(i) for i in range(max(tokens) + 1)], pa.binary())
         # no folder to spill to: a query's rows are bounded
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges = np.fromiter((x for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks
-                              for x in (ranks[t[:k]], ranks[t[k:]], i)), dtype=np.int32)
-        self._table("merges", a=merges[0::3], b=merges[1::3], merged=merges[2::3])
-        self._table("tokens", id=list(self.tokens), digits=[t.hex() for t in self.tokens.values()])
-        self.single = np.array([ranks[bytes([x])] for x in range(256)], dtype=np.int32)
+                              for x in (ranks[t[:k]] << 24 | ranks[t[k:]], i << 36)), dtype=np.int64)
+        self._table("merges", pair=pa.array(merges[0::2]), rank=pa.array(merges[1::2]))
+        self.single = np.array([ranks[bytes([x])] for x in range(256)], dtype=np.int64)
+        # the ranks of pairs of bytes, those that rows begin with
+        self.pairs = np.array([ranks.get(bytes([x, y]), UNPAIRED >> 36) for x in range(256) for y in range(256)], dtype=np.int64) << 36
         # ids of pieces as the bytes of int32 numbers, in two generations
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.size = 0
 
-    def _table(self, name: str, **columns) -> None:
-        types = {"g": pa.int64(), "digits": pa.string()}
-        t = pa.table({k: pa.array(v, types.get(k, pa.int32())) for k, v in columns.items()})
+    def _table(self, name: str, **columns: pa.Array) -> None:
+        t = pa.table(columns)
         # DuckDB finds t under its variable's name
         self.con.execute(f"create or replace temp table {name} as select * from t")
         del t
 
+    def _contract(self, pieces: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        """The number of each piece and its ids as the bytes of int32 numbers, by one query."""
+        sizes = np.array([len(p) for p in pieces])
+        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        ends = np.cumsum(sizes)
+        rows = np.concatenate([[0], ends + 2 * np.arange(1, len(pieces) + 1)])
+        place = np.arange(len(data)) - np.repeat(ends - sizes, sizes)
+        rank = np.full(len(data), UNPAIRED)
+        rank[:-1] = self.pairs[data[:-1].astype(np.int64) << 8 | data[1:]]
+        rank[ends - 1] = UNPAIRED
+        entries = np.full(rows[-1], UNPAIRED | TOKEN)
+        entries[np.repeat(rows[:-1] + 1, sizes) + place] = rank | place << 24 | self.single[data]
+        self._table("start", w=pa.array(np.arange(len(pieces), dtype=np.int32)),
+                    entries=pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(entries)))
+        out = self.con.sql(CONTRACT).to_arrow_table().combine_chunks()
+        lists = out.column("entries").combine_chunks()
+        ids = (lists.flatten().to_numpy() & TOKEN).astype(np.int32)
+        cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        order = out.column("w").to_numpy()
+        if not np.array_equal(np.sort(order), np.arange(len(pieces))):
+            raise RuntimeError("a piece got no ids, or more than once")
+        decoded = self.tokens.take(pa.array(ids))
+        lengths = np.add.reduceat(pc.binary_length(decoded).to_numpy(), cuts[:-1])
+        words = order.tolist()
+        if not np.array_equal(lengths, sizes[order]) or joined(decoded) != b"".join([pieces[w] for w in words]):
+            raise RuntimeError("a piece does not decode to itself")
+        raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+        for w, at, end in zip(words, cuts, cuts[1:]):
+            yield w, raw[at:end]
+
     def learn(self, pieces: set[str]) -> dict[str, bytes]:
         """The ids of at least these pieces; those not known yet are encoded.  A full generation
         becomes the older one, from which pieces in use move to the new one."""
@@ -113,21 +144,15 @@ class Encoder:
                 self.known[p] = array("i", self._by_queue(data)).tobytes()
             else:
                 rows.append((p, data))
+        rows.sort(key=lambda row: len(row[1]))  # a query takes as many steps as its longest piece
         ends = np.cumsum([len(d) for _, d in rows])
         at = 0
         while at < len(rows):
             limit = (ends[at - 1] if at else 0) + QUERY_BYTES
             part = rows[at:min(at + QUERY_PIECES, int(np.searchsorted(ends, limit, side="right")))]
             at += len(part)
-            sizes = np.array([len(d) for _, d in part])
-            starts = np.cumsum(sizes) - sizes
-            g = (np.repeat(np.arange(len(part)) * 4096 - starts, sizes) + np.arange(sizes.sum()))
-            self._table("start", g=g, tok=self.single[np.frombuffer(b"".join([d for _, d in part]), dtype=np.uint8)])
-            for w, ids, digits in self.con.execute(CONTRACT).fetchall():
-                piece, data = part[w]
-                if bytes.fromhex(digits) != data:  # ids and digits are aggregated in one order
-                    raise RuntimeError(f"a piece does not decode to itself: {piece!r}")
-                self.known[piece] = array("i", map(int, ids.split())).tobytes()
+            for w, ids in self._contract([d for _, d in part]):
+                self.known[part[w][0]] = ids
         return self.known
 
     def _by_queue(self, data: bytes) -> list[int]:
@@ -182,6 +207,16 @@ def grouped(texts: Iterable[str], chars: int) -> Iterator[list[tuple[int, str]]]
         yield group
 
 
+# Most pieces are words, and an alternative that starts with an apostrophe never matches where one
+# does: tried first, they are found sooner.  Another pattern stays as it is.
+LETTERS_LAST, LETTERS_FIRST = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+|", r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d|"
+
+
+def joined(values: pa.BinaryArray) -> bytes:
+    """The bytes of all values of a whole array, one behind the other."""
+    return values.buffers()[2].to_pybytes() if len(values) else b""
+
+
 def make_encoder(data: bytes, pattern: str):
     """``f(texts) -> [(ids as text, number of ids, decoded bytes, ids)]`` for a rank file and pattern."""
     import regex
@@ -191,16 +226,16 @@ def make_encoder(data: bytes, pattern: str):
     if key not in cache:
         encoder = Encoder(load_ranks(data))
         # \\s here means Unicode white space only, as in the tokenizer's own engine
-        cache[key] = (encoder, regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}")
+        cache[key] = (encoder, regex.compile(pattern.replace(LETTERS_LAST, LETTERS_FIRST).replace(r"[^\s", r"[^\p{White_Space}")
                                              .replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")),
-                      {i: str(i) for i in encoder.tokens})
+                      pa.array([b"%d " % i for i in range(len(encoder.tokens))], pa.binary()))
     encoder, splitter, digits = cache[key]
 
     def finished(ids: np.ndarray) -> tuple[str, int, bytes, np.ndarray]:
-        """The ids as text and decoded, some at a time: as Python's numbers they take much memory."""
-        blocks = [ids[k:k + 50_000] for k in range(0, len(ids), 50_000)]
-        return (" ".join([" ".join(map(digits.__getitem__, b.tolist())) for b in blocks]), len(ids),
-                b"".join([b"".join(map(encoder.tokens.__getitem__, b.tolist())) for b in blocks]), ids)
+        """The ids as text and decoded, some at a time."""
+        blocks = [pa.array(ids[k:k + 50_000]) for k in range(0, len(ids), 50_000)]
+        return (b"".join([joined(digits.take(b)) for b in blocks])[:-1].decode(), len(ids),
+                b"".join([joined(encoder.tokens.take(b)) for b in blocks]), ids)
 
     def encode(texts: list[str]) -> list[tuple[str, int, bytes, np.ndarray]]:
         """The pieces of a group of runs are learnt together, so few queries run."""
