@@ -32,6 +32,10 @@ COVERED = 80  # per cent of a phrase's occurrences that a longer one must have t
 TOP = 2000  # phrases reported per language
 SHARD_BYTES = 2_000_000  # text of a shard, rounded up to whole texts
 EMITTED = 25_000  # rows that a task hands over at a time
+BATCH_BYTES = 1_000_000  # of the batches that a task gets, rounded up to whole texts or shards
+# A shard is a row group and a page a column of its own.  Parquet looks at sizes after 100 rows unless told
+# otherwise; pages with all shards of a task take an executor that reads them up to 700 MB more, outside its heap.
+SHARD_FILES = {"parquet.block.size": "1000000", "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
 JOINED = 4  # input splits of shards that one task counts, so that phrases add up before they are shuffled
 FILTER_BITS = 24  # the bitmap of frequent phrases has 2**FILTER_BITS bits: two megabytes at any size of corpus
 UNKNOWN = "und"  # language of rows without one
@@ -399,15 +403,15 @@ def collocations(df: DataFrame, lang: str = "lang", text: str = "text", min_coun
     time, whole texts are read whatever their length, an empty table gives no rows, and
     other columns are not looked at.  Two words of one 64-bit number raise an error.
     """
-    words = written(count_words(df, lang, text, shard_bytes), "words")
+    words = written(count_words(df, lang, text, shard_bytes), "words", BATCH_BYTES)
     frequent = written(words.filter(F.col("f") >= min_count), "frequent-words")
     if frequent.groupBy("h").count().filter("count > 1").limit(1).count():
         raise RuntimeError("two words share a 64-bit number")
     bitmaps = {1: frequent_bitmap(frequent.select(F.col("h").alias("h1")), 1)}
-    indexes = written(build_indexes(df, lang, text, bitmaps.pop(1), shard_bytes), "shard-indexes")
+    indexes = written(build_indexes(df, lang, text, bitmaps.pop(1), shard_bytes), "shard-indexes", BATCH_BYTES, SHARD_FILES)
     phrases = {}
     for n in range(2, LONGEST + 1):
-        phrases[n] = written(phrase_counts(indexes, n, bitmaps, min_count), f"phrases-{n}")
+        phrases[n] = written(phrase_counts(indexes, n, bitmaps, min_count), f"phrases-{n}", BATCH_BYTES)
         if n < LONGEST:
             bitmaps[n] = frequent_bitmap(phrases[n], n)
     kept = scored(frequent, phrases, covered)
